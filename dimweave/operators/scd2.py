@@ -36,9 +36,17 @@ def dedupe_batch(batch: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
     return keep_first(b, [*key, "checksum", VF], [EX, "media_blob", "media_duration"])
 
 
-def batch_bounds(src: DataFrame) -> DataFrame:
-    """One row: min/max start and max extract of the batch (nulls when empty)."""
-    return src.agg(F.min(VF).alias("min_src_ts"), F.max(VF).alias("max_src_ts"),
+def batch_bounds(batch: DataFrame, key: Sequence[str] = KEY) -> DataFrame:
+    """One row: min/max start and max extract of the de-duplicated batch (nulls when empty).
+
+    De-duplication keeps the earliest extract per (key, checksum, start), so
+    the max extract is the max over those groups of their min extract: a
+    two-level aggregate with map-side partial aggregation, never a row-level
+    window.
+    """
+    per = (add_checksum(batch).groupBy(*key, "checksum", VF)
+           .agg(F.min(EX).alias(EX)))
+    return per.agg(F.min(VF).alias("min_src_ts"), F.max(VF).alias("max_src_ts"),
                    F.max(EX).alias("max_extract_ts"))
 
 
@@ -65,12 +73,18 @@ def _flag_untouched(rows: DataFrame, matched) -> DataFrame:
 _TIE = [EX, "seen_count", VT, "media_blob", "media_duration", "is_current", "is_deleted"]
 
 
-def _apply_union(dim: DataFrame, src: DataFrame, key: Sequence[str], parts: int | None,
+def _apply_union(dim: DataFrame, batch: DataFrame, key: Sequence[str], parts: int | None,
                  bounds: DataFrame) -> DataFrame:
-    """Exact apply over the union of dimension rows and batch rows (one shuffle)."""
+    """Exact apply over the union of dimension rows and raw batch rows.
+
+    One exchange (hash on the key) and then a linear chain of windows whose
+    partition specs all contain the key, so no further shuffle and no branch
+    of the plan is computed twice.
+    """
     key = list(key)
+    k4 = [*key, "checksum", VF]
     d = dim.select(*DIM_COLUMNS, F.lit(False).alias("_b"))
-    s = src.select(
+    s = add_checksum(batch).select(
         *key, F.col("media_duration").cast("int").alias("media_duration"), "media_blob",
         F.lit(None).cast("bigint").alias("seen_count"), VF,
         F.lit(None).cast("timestamp_ntz").alias(VT), F.lit(False).alias("is_deleted"),
@@ -79,36 +93,52 @@ def _apply_union(dim: DataFrame, src: DataFrame, key: Sequence[str], parts: int
     u = u.repartition(parts, *key) if parts else u.repartition(*key)
     u = u.crossJoin(bounds)
 
-    w_key = W.partitionBy(*key)
-    w4 = W.partitionBy(*key, "checksum", VF)
+    # 1. keep the earliest extract per (key, checksum, start) among batch rows
+    wb = W.partitionBy(*k4, "_b").orderBy(asc(EX), asc("media_blob"), asc("media_duration"))
+    u = u.withColumn("_rb", F.row_number().over(wb)).where(~F.col("_b") | (F.col("_rb") == 1))
+
+    # 2. existence tests: key in batch, (key, checksum, start) in batch
     cmp_ok = F.col("checksum").isNotNull() & F.col(VF).isNotNull()
-    u = (u.withColumn("_key_in_batch", F.max("_b").over(w_key))
-          .withColumn("_matched", cmp_ok & F.max("_b").over(w4) & ~F.col("_b")))
-    retained_flag = ~F.col("_b") & ((F.col("_matched") & ~F.col("is_deleted")) | ~F.col("_key_in_batch"))
-    u = (u.withColumn("_retained", retained_flag)
-          .withColumn("_excluded", cmp_ok & F.max("_retained").over(w4)))
-
-    retained = keep_first(_flag_untouched(u.where("_retained"), F.col("_matched")),
-                          [*key, "checksum", VF], _TIE)
-    matching = keep_first(u.where(~F.col("_b") & ~F.col("_excluded")),
-                          [*key, "checksum", VF], _TIE).withColumn("is_deleted", F.lit(False))
-    new_batch = u.where(F.col("_b") & ~F.col("_excluded"))
-    combined = matching.unionByName(new_batch)
-    return retained.select(*DIM_COLUMNS).unionByName(_rechain(combined, key))
-
-
-def _rechain(combined: DataFrame, key: list[str]) -> DataFrame:
-    """Ordinal, next start and extract of the recalculated chains."""
-    wc = W.partitionBy(*key).orderBy(asc(VF), asc(EX), asc("checksum"), asc("_b"))
-    wvf = W.partitionBy(*key, VF)
-    r = (combined
-         .withColumn("seen_count", F.row_number().over(wc).cast("bigint"))
-         .withColumn(VT, F.lead(VF).over(wc))
-         .withColumn("_max_extract", F.max(EX).over(wvf))
-         .withColumn("is_current", F.when(F.col(VT).isNull() & ~F.col("is_deleted"), F.lit(True))
-                     .otherwise(F.lit(False))))
-    r = keep_first(r, [*key, "checksum", VF], [EX, "seen_count"])
-    return r.withColumn(EX, F.col("_max_extract")).select(*DIM_COLUMNS)
+    u = (u.withColumn("_key_in_batch", F.max("_b").over(W.partitionBy(*key)))
+          .withColumn("_matched", cmp_ok & ~F.col("_b") & F.max("_b").over(W.partitionBy(*k4))))
+    retained = ~F.col("_b") & ((F.col("_matched") & ~F.col("is_deleted")) | ~F.col("_key_in_batch"))
+    u = u.withColumn("_retained", retained)
+    u = u.withColumn("_excluded", cmp_ok & F.max("_retained").over(W.partitionBy(*k4)))
+    u = u.where(F.col("_retained") | ~F.col("_excluded"))
+
+    # 3. retained rows: delete flag; all rows: keep first per (key, checksum, start, role)
+    u = _flag_untouched_where(u, F.col("_retained"), F.col("_matched"))
+    wd = W.partitionBy(*k4, "_retained", "_b").orderBy(*[asc(c) for c in _TIE])
+    u = u.withColumn("_rd", F.row_number().over(wd)).where(F.col("_rd") == 1)
+
+    # 4. chains over the non-retained rows (partitioned apart from retained ones)
+    chain = ~F.col("_retained")
+    wc = W.partitionBy(*key, "_retained").orderBy(asc(VF), asc(EX), asc("checksum"), asc("_b"))
+    u = (u.withColumn("_seen", F.row_number().over(wc).cast("bigint"))
+          .withColumn("_next", F.lead(VF).over(wc))
+          .withColumn("_max_extract", F.max(EX).over(W.partitionBy(*key, VF, "_retained"))))
+    wf = W.partitionBy(*k4, "_retained").orderBy(asc(EX), asc("_seen"))
+    u = u.withColumn("_rf", F.row_number().over(wf)).where(~chain | (F.col("_rf") == 1))
+    return u.select(
+        *key, "media_duration", "media_blob",
+        F.when(chain, F.col("_seen")).otherwise(F.col("seen_count")).alias("seen_count"),
+        VF,
+        F.when(chain, F.col("_next")).otherwise(F.col(VT)).alias(VT),
+        F.when(chain, F.lit(False)).otherwise(F.col("is_deleted")).alias("is_deleted"),
+        F.when(chain, F.col("_next").isNull()).otherwise(F.col("is_current")).alias("is_current"),
+        F.when(chain, F.col("_max_extract")).otherwise(F.col(EX)).alias(EX),
+        "checksum")
+
+
+def _flag_untouched_where(rows: DataFrame, where, matched) -> DataFrame:
+    """``_flag_untouched`` applied only to rows satisfying ``where``."""
+    inw = where & _in_window(matched)
+    return (rows
+            .withColumn(VT, F.when(inw & F.col(VT).isNull(), F.col("max_extract_ts")).otherwise(F.col(VT)))
+            .withColumn("is_current", F.when(inw & F.col("is_current"), F.lit(False))
+                        .otherwise(F.col("is_current")))
+            .withColumn("is_deleted", F.when(where, F.when(inw, F.lit(True)).otherwise(F.lit(False)))
+                        .otherwise(F.col("is_deleted"))))
 
 
 def apply_batch(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
@@ -137,15 +167,15 @@ def apply_batch(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
     """
     key = list(key)
     dim = reject_null_keys(conform_dim_like(dim), key)
-    src = dedupe_batch(reject_null_keys(batch, key), key)
-    bounds = F.broadcast(batch_bounds(src))
+    batch = reject_null_keys(batch, key)
+    bounds = F.broadcast(batch_bounds(batch, key))
     if not dim_is_versioned:
-        return _apply_union(dim, src, key, parts, bounds)
-    keys = broadcast_if_small(src.select(*key).distinct(), broadcast_rows)
+        return _apply_union(dim, batch, key, parts, bounds)
+    keys = broadcast_if_small(batch.select(*key).distinct(), broadcast_rows)
     touched = dim.join(keys, on=key, how="left_semi")
     untouched = dim.join(keys, on=key, how="left_anti")
     kept = _flag_untouched(untouched.crossJoin(bounds), F.lit(False)).select(*DIM_COLUMNS)
-    return kept.unionByName(_apply_union(touched, src, key, parts, bounds))
+    return kept.unionByName(_apply_union(touched, batch, key, parts, bounds))
 
 
 def conform_dim_like(df: DataFrame) -> DataFrame:
