@@ -34,8 +34,7 @@ def _time_key(col: str):
 
 def monotone_ids(wall: DataFrame, *, ts: str = "posted_ts", media_id: str = "media_id",
                  tie: tuple[str, ...] = ("author_id", "media_id", "post_id"),
-                 bucket: str = "hour", sentinel: int = SENTINEL,
-                 broadcast_rows: int = 5_000_000) -> DataFrame:
+                 bucket: str = "hour", sentinel: int = SENTINEL) -> DataFrame:
     """Add ``max_media_id_yet``, ``media_id_v2`` and ``next_media_id_v2`` to each wall row.
 
     ``max_media_id_yet`` = max id over rows posted at or before this row's time
@@ -58,7 +57,8 @@ def monotone_ids(wall: DataFrame, *, ts: str = "posted_ts", media_id: str = "med
                 .withColumn("_b_first_v2", F.greatest("_before", "_b_first_max"))
                 .withColumn("_next_bucket_v2", F.lead("_b_first_v2").over(wb))
                 .select("_bk", "_before", "_next_bucket_v2"))
-    summ = broadcast_if_small(summ, broadcast_rows)
+    # No broadcast needed: the join below is hash-partitioned on the bucket,
+    # which is exactly the partitioning the per-bucket window reuses.
 
     wt = W.partitionBy("_bk").orderBy("_tk")
     per_ts = (per_ts.join(summ, "_bk")
@@ -87,14 +87,16 @@ def daily_id_bands(wall_v2: DataFrame, *, ts: str = "posted_ts") -> DataFrame:
 
 def range_join(probe: DataFrame, bands: DataFrame, *, value: str = "media_id",
                lo: str = "first_media_id_v2", hi: str = "last_media_id_v2",
-               buckets: int = 1024, how: str = "inner", broadcast_rows: int = 5_000_000) -> DataFrame:
+               buckets: int = 1024, how: str = "inner", broadcast_rows: int | None = None) -> DataFrame:
     """Join each probe row to every band with ``lo <= value < hi`` (half-open).
 
     Bands are clipped to the probe's id range, exploded into ``buckets``
     fixed-width id buckets and equi-joined on the bucket with the exact
-    predicate as residual, so no nested-loop join is needed.  The exploded
-    bands are broadcast only under a checked row count.  ``how='left'`` keeps
-    probe rows without a band (band columns null).
+    predicate as residual, so no nested-loop join is needed.  The join
+    strategy is left to the planner and AQE, which broadcast the exploded
+    bands only when their measured size is under the broadcast threshold;
+    ``broadcast_rows`` forces an explicit row-count check instead.
+    ``how='left'`` keeps probe rows without a band (band columns null).
     """
     stats = probe.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
     width = F.greatest(F.lit(1).cast("bigint"),
@@ -104,7 +106,8 @@ def range_join(probe: DataFrame, bands: DataFrame, *, value: str = "media_id",
     first_b = F.floor((F.greatest(F.col(lo), F.col("_lo")) - F.col("_lo")) / F.col("_w")).cast("bigint")
     last_b = F.floor((F.least(F.col(hi), F.col("_hi") + 1) - 1 - F.col("_lo")) / F.col("_w")).cast("bigint")
     b = b.withColumn("_bucket", F.explode(F.sequence(first_b, last_b))).drop("_lo", "_hi", "_w")
-    b = broadcast_if_small(b, broadcast_rows)
+    if broadcast_rows:
+        b = broadcast_if_small(b, broadcast_rows)
     p = probe.crossJoin(stats).withColumn(
         "_bucket", F.floor((F.col(value) - F.col("_lo")) / F.col("_w")).cast("bigint")).drop("_lo", "_hi", "_w")
     cond = (p["_bucket"] == b["_bucket"]) & (p[value] >= b[lo]) & (p[value] < b[hi])

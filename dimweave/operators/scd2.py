@@ -63,11 +63,11 @@ def _flag_untouched(rows: DataFrame, matched) -> DataFrame:
     when open); outside the range the flag is cleared.
     """
     inw = _in_window(matched)
-    return (rows
-            .withColumn(VT, F.when(inw & F.col(VT).isNull(), F.col("max_extract_ts")).otherwise(F.col(VT)))
-            .withColumn("is_current", F.when(inw & F.col("is_current"), F.lit(False))
-                        .otherwise(F.col("is_current")))
-            .withColumn("is_deleted", F.when(inw, F.lit(True)).otherwise(F.lit(False))))
+    return rows.withColumns({
+        VT: F.when(inw & F.col(VT).isNull(), F.col("max_extract_ts")).otherwise(F.col(VT)),
+        "is_current": F.when(inw & F.col("is_current"), F.lit(False)).otherwise(F.col("is_current")),
+        "is_deleted": F.when(inw, F.lit(True)).otherwise(F.lit(False)),
+    })
 
 
 _TIE = [EX, "seen_count", VT, "media_blob", "media_duration", "is_current", "is_deleted"]
@@ -95,30 +95,29 @@ def _apply_union(dim: DataFrame, batch: DataFrame, key: Sequence[str], parts: in
 
     # 1. keep the earliest extract per (key, checksum, start) among batch rows
     wb = W.partitionBy(*k4, "_b").orderBy(asc(EX), asc("media_blob"), asc("media_duration"))
-    u = u.withColumn("_rb", F.row_number().over(wb)).where(~F.col("_b") | (F.col("_rb") == 1))
+    u = u.select("*", F.row_number().over(wb).alias("_rb")).where(~F.col("_b") | (F.col("_rb") == 1))
 
     # 2. existence tests: key in batch, (key, checksum, start) in batch
     cmp_ok = F.col("checksum").isNotNull() & F.col(VF).isNotNull()
-    u = (u.withColumn("_key_in_batch", F.max("_b").over(W.partitionBy(*key)))
-          .withColumn("_matched", cmp_ok & ~F.col("_b") & F.max("_b").over(W.partitionBy(*k4))))
+    u = u.select("*", F.max("_b").over(W.partitionBy(*key)).alias("_key_in_batch"),
+                 (cmp_ok & ~F.col("_b") & F.max("_b").over(W.partitionBy(*k4))).alias("_matched"))
     retained = ~F.col("_b") & ((F.col("_matched") & ~F.col("is_deleted")) | ~F.col("_key_in_batch"))
-    u = u.withColumn("_retained", retained)
-    u = u.withColumn("_excluded", cmp_ok & F.max("_retained").over(W.partitionBy(*k4)))
-    u = u.where(F.col("_retained") | ~F.col("_excluded"))
+    u = u.select("*", retained.alias("_retained"))
+    u = (u.select("*", (cmp_ok & F.max("_retained").over(W.partitionBy(*k4))).alias("_excluded"))
+          .where(F.col("_retained") | ~F.col("_excluded")))
 
     # 3. retained rows: delete flag; all rows: keep first per (key, checksum, start, role)
     u = _flag_untouched_where(u, F.col("_retained"), F.col("_matched"))
     wd = W.partitionBy(*k4, "_retained", "_b").orderBy(*[asc(c) for c in _TIE])
-    u = u.withColumn("_rd", F.row_number().over(wd)).where(F.col("_rd") == 1)
+    u = u.select("*", F.row_number().over(wd).alias("_rd")).where(F.col("_rd") == 1)
 
     # 4. chains over the non-retained rows (partitioned apart from retained ones)
     chain = ~F.col("_retained")
     wc = W.partitionBy(*key, "_retained").orderBy(asc(VF), asc(EX), asc("checksum"), asc("_b"))
-    u = (u.withColumn("_seen", F.row_number().over(wc).cast("bigint"))
-          .withColumn("_next", F.lead(VF).over(wc))
-          .withColumn("_max_extract", F.max(EX).over(W.partitionBy(*key, VF, "_retained"))))
+    u = u.select("*", F.row_number().over(wc).cast("bigint").alias("_seen"), F.lead(VF).over(wc).alias("_next"),
+                 F.max(EX).over(W.partitionBy(*key, VF, "_retained")).alias("_max_extract"))
     wf = W.partitionBy(*k4, "_retained").orderBy(asc(EX), asc("_seen"))
-    u = u.withColumn("_rf", F.row_number().over(wf)).where(~chain | (F.col("_rf") == 1))
+    u = u.select("*", F.row_number().over(wf).alias("_rf")).where(~chain | (F.col("_rf") == 1))
     return u.select(
         *key, "media_duration", "media_blob",
         F.when(chain, F.col("_seen")).otherwise(F.col("seen_count")).alias("seen_count"),
@@ -133,12 +132,12 @@ def _apply_union(dim: DataFrame, batch: DataFrame, key: Sequence[str], parts: in
 def _flag_untouched_where(rows: DataFrame, where, matched) -> DataFrame:
     """``_flag_untouched`` applied only to rows satisfying ``where``."""
     inw = where & _in_window(matched)
-    return (rows
-            .withColumn(VT, F.when(inw & F.col(VT).isNull(), F.col("max_extract_ts")).otherwise(F.col(VT)))
-            .withColumn("is_current", F.when(inw & F.col("is_current"), F.lit(False))
-                        .otherwise(F.col("is_current")))
-            .withColumn("is_deleted", F.when(where, F.when(inw, F.lit(True)).otherwise(F.lit(False)))
-                        .otherwise(F.col("is_deleted"))))
+    return rows.withColumns({
+        VT: F.when(inw & F.col(VT).isNull(), F.col("max_extract_ts")).otherwise(F.col(VT)),
+        "is_current": F.when(inw & F.col("is_current"), F.lit(False)).otherwise(F.col("is_current")),
+        "is_deleted": F.when(where, F.when(inw, F.lit(True)).otherwise(F.lit(False)))
+                       .otherwise(F.col("is_deleted")),
+    })
 
 
 def apply_batch(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
@@ -185,9 +184,8 @@ def conform_dim_like(df: DataFrame) -> DataFrame:
         out = add_checksum(out)
     if "is_deleted" not in cols:
         out = out.withColumn("is_deleted", F.lit(False))
-    return out.select(*[F.col(c) for c in DIM_COLUMNS]).withColumn(
-        "media_duration", F.col("media_duration").cast("int")).withColumn(
-        "seen_count", F.col("seen_count").cast("bigint"))
+    return out.select(*[F.col(c).cast(t).alias(c) if t else F.col(c) for c, t in
+                        zip(DIM_COLUMNS, [None, None, "int", None, "bigint"] + [None] * 6)])
 
 
 def rebuild_chain(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,

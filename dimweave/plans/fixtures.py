@@ -18,8 +18,16 @@ def ts_lit(s: str):
     return F.lit(TS.fromisoformat(s)).cast("timestamp_ntz")
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver table ``name`` (the DataFrame object is reused per session, so
+    its files are listed and its footers read once; no data is cached)."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _TABLES[key]
 
 
 def events(spark, sf_dir) -> DataFrame:

@@ -65,9 +65,16 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/dimweave-work/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its (shared) file system, via the Hadoop API."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for local-only helpers (tests)."""
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "checkpoint_root", "work_dir", "local_path"]
+__all__ = ["get_spark", "checkpoint_root", "work_dir", "path_exists", "local_path"]

@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators.incremental import outside_seen_range
+from ..session import path_exists
 
 LOG_SCHEMA = "version bigint, committed_at timestamp_ntz, n_rows bigint, tag string"
 
@@ -27,10 +28,9 @@ class VersionedTable:
         self.log_path = f"{self.path}/_commits"
 
     def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
-        except Exception:  # noqa: BLE001 - no commit yet
+        if not path_exists(self.spark, self.log_path):
             return None
+        return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
 
     def current_version(self) -> int | None:
         log = self._log()
@@ -114,9 +114,9 @@ def append_outside_range(spark: SparkSession, path: str, schema: T.StructType, r
     and the count comes from an observation on the write itself, not from a
     second pass over the data.
     """
-    try:
+    if path_exists(spark, path):
         current = spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - first load: empty table
+    else:
         current = spark.createDataFrame([], schema)
     cur = current.select(F.col(ts).cast("timestamp_ntz").alias("_t"))
     keep = outside_seen_range(rows, F.col(ts).cast("timestamp_ntz"), cur, run_ts, target_ts="_t")

@@ -27,17 +27,17 @@ from ..operators.incremental import build_source_batch
 from ..operators.scd2 import apply_batch
 from ..plans.load import DimensionStore
 from ..schemas import CHAT_PAGE_SCHEMA, DIM_SCHEMA, conform_dim
+from ..session import path_exists
 from ..sources.tables import append_snapshot
 
 
 def _frozen_range(spark: SparkSession, staging_path: str, schema: T.StructType, ts: str):
     """(lo, hi) of the staging table's times at the start of the run (two scalars)."""
-    try:
-        cur = spark.read.schema(schema).parquet(staging_path)
-        row = cur.agg(F.min(F.col(ts).cast("timestamp_ntz")), F.max(F.col(ts).cast("timestamp_ntz"))).first()
-        return row[0], row[1]
-    except Exception:  # noqa: BLE001 - no staging table yet
+    if not path_exists(spark, staging_path):
         return None, None
+    cur = spark.read.schema(schema).parquet(staging_path)
+    row = cur.agg(F.min(F.col(ts).cast("timestamp_ntz")), F.max(F.col(ts).cast("timestamp_ntz"))).first()
+    return row[0], row[1]
 
 
 def ingest_pages(spark: SparkSession, pages_dir: str, store: DimensionStore, staging_path: str,
