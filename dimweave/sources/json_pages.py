@@ -29,14 +29,14 @@ def read_envelope(spark: SparkSession, path: str, record_schema: T.StructType, *
 
 
 def schema_from_sample(spark: SparkSession, sample_path: str,
-                       declared: dict[str, T.DataType] | None = None) -> T.StructType:
+                       declared: dict[str, T.DataType] | None = None, *, multi_line: bool = False) -> T.StructType:
     """Infer the page schema once from a sample, then pin the declared columns.
 
     ``declared`` overrides inferred types, e.g. ``media`` as ``array<string>``
     so payload objects keep their raw text (inferred structs would re-encode
     them and change their checksums).
     """
-    inferred = spark.read.json(sample_path).schema
+    inferred = spark.read.option("multiLine", multi_line).json(sample_path).schema
     declared = declared or {}
     return T.StructType([T.StructField(f.name, declared.get(f.name, f.dataType), True) for f in inferred.fields])
 
