@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..schemas import DIM_COLUMNS, KEY, LEGACY_DIM_COLUMNS, reject_null_keys
+from .chains import chain_links, time_bucket
 from .dedupe import asc, keep_first
 from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
@@ -74,49 +75,50 @@ _TIE = [EX, "seen_count", VT, "media_blob", "media_duration", "is_current", "is_
 
 
 def _apply_union(dim: DataFrame, batch: DataFrame, key: Sequence[str], parts: int | None,
-                 bounds: DataFrame) -> DataFrame:
+                 bounds: DataFrame, bucket_unit: str) -> DataFrame:
     """Exact apply over the union of dimension rows and raw batch rows.
 
-    One exchange (hash on the key) and then a linear chain of windows whose
-    partition specs all contain the key, so no further shuffle and no branch
-    of the plan is computed twice.
+    ``dim`` carries ``_key_in_batch``.  Rows are hash-partitioned once on
+    (key, day of start); every window partitions by a superset of that, and
+    the per-key chains are stitched across days from a small per-(key, day)
+    summary (``chains.chain_links``), so a key holding a large share of the
+    rows is still spread over many tasks.
     """
     key = list(key)
-    k4 = [*key, "checksum", VF]
-    d = dim.select(*DIM_COLUMNS, F.lit(False).alias("_b"))
+    k4b = [*key, "checksum", VF, "_bk"]
+    d = dim.select(*DIM_COLUMNS, "_key_in_batch", F.lit(False).alias("_b"))
     s = add_checksum(batch).select(
         *key, F.col("media_duration").cast("int").alias("media_duration"), "media_blob",
         F.lit(None).cast("bigint").alias("seen_count"), VF,
         F.lit(None).cast("timestamp_ntz").alias(VT), F.lit(False).alias("is_deleted"),
-        F.lit(None).cast("boolean").alias("is_current"), EX, "checksum", F.lit(True).alias("_b"))
-    u = d.unionByName(s)
-    u = u.repartition(parts, *key) if parts else u.repartition(*key)
+        F.lit(None).cast("boolean").alias("is_current"), EX, "checksum",
+        F.lit(True).alias("_key_in_batch"), F.lit(True).alias("_b"))
+    u = d.unionByName(s).withColumn("_bk", time_bucket(VF, bucket_unit))
+    u = u.repartition(parts, *key, "_bk") if parts else u.repartition(*key, "_bk")
     u = u.crossJoin(bounds)
 
     # 1. keep the earliest extract per (key, checksum, start) among batch rows
-    wb = W.partitionBy(*k4, "_b").orderBy(asc(EX), asc("media_blob"), asc("media_duration"))
+    wb = W.partitionBy(*k4b, "_b").orderBy(asc(EX), asc("media_blob"), asc("media_duration"))
     u = u.select("*", F.row_number().over(wb).alias("_rb")).where(~F.col("_b") | (F.col("_rb") == 1))
 
-    # 2. existence tests: key in batch, (key, checksum, start) in batch
+    # 2. existence of (key, checksum, start) in the batch; which rows are kept as they are
     cmp_ok = F.col("checksum").isNotNull() & F.col(VF).isNotNull()
-    u = u.select("*", F.max("_b").over(W.partitionBy(*key)).alias("_key_in_batch"),
-                 (cmp_ok & ~F.col("_b") & F.max("_b").over(W.partitionBy(*k4))).alias("_matched"))
+    u = u.select("*", (cmp_ok & ~F.col("_b") & F.max("_b").over(W.partitionBy(*k4b))).alias("_matched"))
     retained = ~F.col("_b") & ((F.col("_matched") & ~F.col("is_deleted")) | ~F.col("_key_in_batch"))
     u = u.select("*", retained.alias("_retained"))
-    u = (u.select("*", (cmp_ok & F.max("_retained").over(W.partitionBy(*k4))).alias("_excluded"))
+    u = (u.select("*", (cmp_ok & F.max("_retained").over(W.partitionBy(*k4b))).alias("_excluded"))
           .where(F.col("_retained") | ~F.col("_excluded")))
 
     # 3. retained rows: delete flag; all rows: keep first per (key, checksum, start, role)
     u = _flag_untouched_where(u, F.col("_retained"), F.col("_matched"))
-    wd = W.partitionBy(*k4, "_retained", "_b").orderBy(*[asc(c) for c in _TIE])
+    wd = W.partitionBy(*k4b, "_retained", "_b").orderBy(*[asc(c) for c in _TIE])
     u = u.select("*", F.row_number().over(wd).alias("_rd")).where(F.col("_rd") == 1)
 
-    # 4. chains over the non-retained rows (partitioned apart from retained ones)
+    # 4. chains over the non-retained rows, stitched across days
     chain = ~F.col("_retained")
-    wc = W.partitionBy(*key, "_retained").orderBy(asc(VF), asc(EX), asc("checksum"), asc("_b"))
-    u = u.select("*", F.row_number().over(wc).cast("bigint").alias("_seen"), F.lead(VF).over(wc).alias("_next"),
-                 F.max(EX).over(W.partitionBy(*key, VF, "_retained")).alias("_max_extract"))
-    wf = W.partitionBy(*k4, "_retained").orderBy(asc(EX), asc("_seen"))
+    u = chain_links(u, key, [VF, EX, "checksum", "_b"], VF, "_bk", include=chain, partitioned=True)
+    u = u.select("*", F.max(EX).over(W.partitionBy(*key, "_bk", VF, "_retained")).alias("_max_extract"))
+    wf = W.partitionBy(*k4b, "_retained").orderBy(asc(EX), asc("_seen"))
     u = u.select("*", F.row_number().over(wf).alias("_rf")).where(~chain | (F.col("_rf") == 1))
     return u.select(
         *key, "media_duration", "media_blob",
@@ -142,7 +144,7 @@ def _flag_untouched_where(rows: DataFrame, where, matched) -> DataFrame:
 
 def apply_batch(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
                 dim_is_versioned: bool = True, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                parts: int | None = None) -> DataFrame:
+                parts: int | None = None, bucket_unit: str = "day") -> DataFrame:
     """Apply a source batch to a type 2 dimension (checksum, soft delete, reactivation).
 
     ``dim`` has the columns of ``schemas.DIM_SCHEMA``; ``batch`` has
@@ -160,21 +162,25 @@ def apply_batch(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
 
     ``dim_is_versioned`` states the invariant every dimension written by this
     library has: at most one row per (key, checksum, start).  Rows of keys the
-    batch does not touch are then neither shuffled nor re-de-duplicated.
-    With ``False`` the whole dimension goes through one shuffle and any
-    duplicates are collapsed as well.
+    batch does not touch are then neither shuffled nor re-de-duplicated:
+    they meet the batch's distinct keys in a broadcast anti join (behind a
+    row-count check; a shuffle join beyond it).  With ``False`` every row
+    goes through the shuffle and duplicates are collapsed as well.
+    ``bucket_unit`` is the time slice that spreads one key over tasks.
     """
     key = list(key)
     dim = reject_null_keys(conform_dim_like(dim), key)
     batch = reject_null_keys(batch, key)
     bounds = F.broadcast(batch_bounds(batch, key))
-    if not dim_is_versioned:
-        return _apply_union(dim, batch, key, parts, bounds)
     keys = broadcast_if_small(batch.select(*key).distinct(), broadcast_rows)
-    touched = dim.join(keys, on=key, how="left_semi")
+    if not dim_is_versioned:
+        flagged = (dim.join(keys.withColumn("_key_in_batch", F.lit(True)), on=key, how="left")
+                      .withColumn("_key_in_batch", F.coalesce(F.col("_key_in_batch"), F.lit(False))))
+        return _apply_union(flagged, batch, key, parts, bounds, bucket_unit)
+    touched = dim.join(keys, on=key, how="left_semi").withColumn("_key_in_batch", F.lit(True))
     untouched = dim.join(keys, on=key, how="left_anti")
     kept = _flag_untouched(untouched.crossJoin(bounds), F.lit(False)).select(*DIM_COLUMNS)
-    return kept.unionByName(_apply_union(touched, batch, key, parts, bounds))
+    return kept.unionByName(_apply_union(touched, batch, key, parts, bounds, bucket_unit))
 
 
 def conform_dim_like(df: DataFrame) -> DataFrame:
@@ -189,26 +195,27 @@ def conform_dim_like(df: DataFrame) -> DataFrame:
 
 
 def rebuild_chain(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
-                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  broadcast_rows: int = DEFAULT_BROADCAST_ROWS, bucket_unit: str = "day") -> DataFrame:
     """Recalculate the whole chain of every key present in the batch.
 
     Stored versions of the touched keys and the batch rows are unioned
     (distinct), then numbered and linked by start time per key; other keys
     are kept unchanged.  Output has the columns of ``LEGACY_DIM_COLUMNS``.
-    Ties on the start are broken by extract time, then payload.
+    Ties on the start are broken by extract time, then payload.  Null keys
+    are rejected.  One shuffle on (key, day of start) serves the distinct and
+    the chain, which is stitched across days (hot keys stay parallel).
     """
     key = list(key)
     cols = ["author_id", "media_id", "media_duration", "media_blob", VF, EX]
-    dim = dim.withColumn("media_duration", F.col("media_duration").cast("int"))
-    b = batch.withColumn("media_duration", F.col("media_duration").cast("int")).select(*cols)
+    dim = reject_null_keys(dim, key).withColumn("media_duration", F.col("media_duration").cast("int"))
+    b = reject_null_keys(batch, key).withColumn("media_duration", F.col("media_duration").cast("int")).select(*cols)
     keys = broadcast_if_small(b.select(*key).distinct(), broadcast_rows)
     touched = dim.join(keys, on=key, how="left_semi").select(*cols)
-    combined = touched.unionByName(b).distinct()
-    w = W.partitionBy(*key).orderBy(asc(VF), asc(EX), asc("media_blob"), asc("media_duration"))
-    chain = (combined
-             .withColumn("seen_count", F.row_number().over(w).cast("bigint"))
-             .withColumn(VT, F.lead(VF).over(w))
-             .withColumn("is_current", F.col(VT).isNull()))
+    combined = touched.unionByName(b).withColumn("_bk", time_bucket(VF, bucket_unit))
+    combined = combined.repartition(*key, "_bk").distinct()
+    chain = chain_links(combined, key, [VF, EX, "media_blob", "media_duration"], VF, "_bk",
+                        seen="seen_count", nxt=VT, partitioned=True)
+    chain = chain.withColumn("is_current", F.col(VT).isNull())
     kept = dim.join(keys, on=key, how="left_anti").withColumn("seen_count", F.col("seen_count").cast("bigint"))
     return kept.select(*LEGACY_DIM_COLUMNS).unionByName(chain.select(*LEGACY_DIM_COLUMNS))
 
