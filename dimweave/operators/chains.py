@@ -27,9 +27,17 @@ def time_bucket(ts: str | Column, unit: str = "day") -> Column:
     return F.coalesce(F.date_trunc(unit, c).cast("timestamp_ntz"), F.lit(LATE_BUCKET).cast("timestamp_ntz"))
 
 
+def id_bucket(value: str, stats: DataFrame, buckets: int = 1024) -> Column:
+    """Fixed-width bucket of a numeric id; ``stats`` is a one-row frame with ``_lo``/``_hi``
+    (cross-joined by the caller) so the width follows the data's id range."""
+    width = F.greatest(F.lit(1).cast("bigint"),
+                       F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(buckets)).cast("bigint"))
+    return F.coalesce(F.floor((F.col(value) - F.col("_lo")) / width).cast("bigint"), F.lit(1 << 62))
+
+
 def chain_links(df: DataFrame, key: Sequence[str], order: Sequence[Column | str], value: str,
                 bucket: str, *, include: Column | None = None, seen: str = "_seen", nxt: str = "_next",
-                partitioned: bool = False) -> DataFrame:
+                partitioned: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """Add ``seen`` (bigint row number) and ``nxt`` (next row's ``value``) per ``key``.
 
     ``order`` must start with ``value`` ascending (nulls last) and ``bucket``
@@ -37,7 +45,9 @@ def chain_links(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]
     so bucket order agrees with row order.  Keys must be non-null.  Only rows
     where ``include`` holds form the chains (others get values to ignore).
     With ``partitioned=True`` the caller has already hash-partitioned ``df``
-    on (key, bucket) and no exchange of the rows is added here.
+    on (key, bucket) and no exchange of the rows is added here.  Each column
+    in ``carry`` also gets its next row's value as ``next_<col>`` (``order``
+    must then be plain ascending, non-null column names).
     """
     key = list(key)
     kb = [*key, bucket]
@@ -46,16 +56,28 @@ def chain_links(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]
     rows = rows.withColumn("_in", inc)
     order_c = [asc(o) if isinstance(o, str) else o for o in order]
     wl = W.partitionBy(*kb, "_in").orderBy(*order_c)
-    local = rows.select("*", F.row_number().over(wl).alias("_rn_l"), F.lead(value).over(wl).alias("_nx_l"))
-    summ = rows.groupBy(*kb).agg(F.count(F.when(F.col("_in"), F.lit(1))).alias("_n"),
-                                 F.min(F.when(F.col("_in"), F.col(value))).alias("_first"))
+    local = rows.select("*", F.row_number().over(wl).alias("_rn_l"), F.lead(value).over(wl).alias("_nx_l"),
+                        F.lead(F.lit(True)).over(wl).alias("_has_nx"),
+                        *[F.lead(c).over(wl).alias(f"_nx_{c}") for c in carry])
+    first_aggs = [F.min(F.when(F.col("_in"), F.col(value))).alias("_first")]
+    if carry:
+        ordkey = F.when(F.col("_in"), F.struct(*[F.col(o) for o in order]))
+        first_aggs.append(F.min_by(F.struct(*[F.col(c) for c in carry]), ordkey).alias("_first_carry"))
+    summ = rows.groupBy(*kb).agg(F.count(F.when(F.col("_in"), F.lit(1))).alias("_n"), *first_aggs)
     wk = W.partitionBy(*key).orderBy(asc(bucket))
+    after = wk.rowsBetween(1, W.unboundedFollowing)
     summ = summ.select(
         *kb,
         F.coalesce(F.sum("_n").over(wk.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.first("_first", ignorenulls=True).over(wk.rowsBetween(1, W.unboundedFollowing)).alias("_next_first"))
+        F.first("_first", ignorenulls=True).over(after).alias("_next_first"),
+        *([F.first("_first_carry", ignorenulls=True).over(after).alias("_next_carry")] if carry else []))
     out = local.join(summ, kb, "inner")
-    return (out.withColumns({
-        seen: (F.col("_off") + F.col("_rn_l")).cast("bigint"),
-        nxt: F.coalesce(F.col("_nx_l"), F.col("_next_first")),
-    }).drop("_rn_l", "_nx_l", "_off", "_next_first", "_in"))
+    in_bucket = F.col("_has_nx").isNotNull()
+    cols = {seen: (F.col("_off") + F.col("_rn_l")).cast("bigint"),
+            nxt: F.when(in_bucket, F.col("_nx_l")).otherwise(F.col("_next_first"))}
+    for c in carry:
+        cols[f"next_{c}"] = F.when(in_bucket, F.col(f"_nx_{c}")).otherwise(F.col(f"_next_carry.{c}"))
+    drop = ["_rn_l", "_nx_l", "_has_nx", "_off", "_next_first", "_in", *[f"_nx_{c}" for c in carry]]
+    if carry:
+        drop.append("_next_carry")
+    return out.withColumns(cols).drop(*drop)

@@ -28,3 +28,16 @@ def keep_first(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Co
     order = [asc(o) if isinstance(o, str) else o for o in order_by]
     w = W.partitionBy(*partition_by).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+
+
+def last_value_default_frame(partition_by: Sequence[str], order_desc: str, value: str) -> Column:
+    """``last_value(value) over (partition by .. order by order_desc desc)`` with the default frame.
+
+    The default frame ends at the last peer of the current row, so when the
+    value is the ordering column itself the result is the row's own value --
+    no shuffle is needed.  Other values use the window.
+    """
+    if value == order_desc:
+        return F.col(value)
+    w = W.partitionBy(*partition_by).orderBy(desc(order_desc))
+    return F.last(value).over(w)

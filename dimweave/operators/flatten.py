@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.json import extract_string, extract_typed, multi_extract
+from .joins import with_group_aggregates
 
 
 def _ts(df: DataFrame, col: str):
@@ -70,11 +71,12 @@ def message_total(flat: DataFrame, duration: str = "media_duration", by: str = "
                   out: str = "tot_duration_per_msg") -> DataFrame:
     """Sum of ``coalesce(duration, 0)`` over each message, on every media row.
 
-    A whole-partition window: one shuffle by message; a message holds a
-    handful of media, so partitions stay small.
+    Same result as ``sum(..) over (partition by message)``, computed as a
+    partially aggregated total joined back, so a message with a huge share
+    of the rows does not sit in one task.
     """
-    w = W.partitionBy(by).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    return flat.withColumn(out, F.sum(F.coalesce(F.col(duration), F.lit(0))).over(w).cast("bigint"))
+    total = F.sum(F.coalesce(F.col(duration), F.lit(0))).cast("bigint")
+    return with_group_aggregates(flat, [by], {out: total})
 
 
 __all__ = ["flatten_chat", "flatten_chat_videos", "flatten_wall", "media_fields",

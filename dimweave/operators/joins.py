@@ -39,3 +39,17 @@ def existence_flag(left: DataFrame, right: DataFrame, on: list[str], name: str)
     marks = right.select(*on).distinct().withColumn(name, F.lit(True))
     return (left.join(marks, on=on, how="left")
                 .withColumn(name, F.coalesce(F.col(name), F.lit(False))))
+
+
+def with_group_aggregates(df: DataFrame, by: list[str], aggs: dict) -> DataFrame:
+    """Attach whole-group aggregates to every row (``agg() over (partition by ..)``).
+
+    Written as an aggregate joined back on the group key instead of a window:
+    the aggregate combines map-side, and the join is an ordinary equi-join
+    that AQE splits when one group is hot, so no group is funnelled through a
+    single task.  Groups compare null-safely, as window partitions do.
+    """
+    totals = df.groupBy(*by).agg(*[e.alias(n) for n, e in aggs.items()])
+    renamed = totals.select(*[F.col(c).alias(f"_g_{c}") for c in by], *aggs.keys())
+    cond = [df[c].eqNullSafe(renamed[f"_g_{c}"]) for c in by]
+    return df.join(renamed, cond, "left").drop(*[f"_g_{c}" for c in by])

@@ -19,8 +19,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.numeric import round_ratio
+from .chains import chain_links, id_bucket
 from .dedupe import asc, desc, keep_first
-from .joins import broadcast_if_small
+from .joins import broadcast_if_small, with_group_aggregates
 
 # Fixed value: the upper bound that closes the newest band.
 SENTINEL = 99999999999
@@ -117,13 +118,16 @@ def range_join(probe: DataFrame, bands: DataFrame, *, value: str = "media_id",
 
 def chat_media_totals(chat_media: DataFrame, *, chat_id: str = "chat_id",
                       duration: str = "media_duration", media_count: str | None = None) -> DataFrame:
-    """Per media row: message total duration and media count (one window by message)."""
-    w = W.partitionBy(chat_id)
-    out = chat_media.withColumn("tot_duration_per_msg",
-                                F.sum(F.coalesce(F.col(duration), F.lit(0))).over(w).cast("bigint"))
+    """Per media row: message total duration and media count.
+
+    Whole-message aggregates joined back (``joins.with_group_aggregates``),
+    so a hot message is split by AQE rather than held by one task.
+    """
+    aggs = {"tot_duration_per_msg": F.sum(F.coalesce(F.col(duration), F.lit(0))).cast("bigint")}
     if media_count is None:
-        out = out.withColumn("media_count", F.count(F.lit(1)).over(w))
-    else:
+        aggs["media_count"] = F.count(F.lit(1))
+    out = with_group_aggregates(chat_media, [chat_id], aggs)
+    if media_count is not None:
         out = out.withColumn("media_count", F.col(media_count))
     return out.withColumn("created_date", F.to_date("created_ts"))
 
@@ -165,30 +169,70 @@ def origin_date(chat_media: DataFrame, wall: DataFrame, *, min_year: int = 2025,
     return out
 
 
+def _id_stats(*frames: DataFrame, value: str) -> DataFrame:
+    """One row ``_lo``, ``_hi``: the id range over the given frames (broadcast)."""
+    parts = [f.select(F.col(value).alias("_v")) for f in frames]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return F.broadcast(u.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
+
+
+def lead_per_author(wall: DataFrame, *, by: str = "author_id", value: str = "media_id",
+                    tie: str = "post_id", carry: tuple[str, ...] = ("posted_ts",),
+                    buckets: int = 1024) -> DataFrame:
+    """``lead(value)`` and ``lead(carry)`` per author ordered by (value, tie).
+
+    Computed per (author, id bucket) and stitched across buckets, so one
+    author with most of the rows still runs in parallel.  Adds
+    ``next_<value>`` and ``next_<carry>`` columns.
+    """
+    stats = _id_stats(wall, value=value)
+    rows = wall.crossJoin(stats).withColumn("_ib", id_bucket(value, stats, buckets)).drop("_lo", "_hi")
+    out = chain_links(rows, [by], [value, tie], value, "_ib", seen="_ord", nxt=f"next_{value}", carry=carry)
+    return out.drop("_ib", "_ord")
+
+
 def asof_band(chat_media: DataFrame, wall: DataFrame, *, by: str = "author_id",
-              value: str = "media_id") -> DataFrame:
+              value: str = "media_id", buckets: int = 1024) -> DataFrame:
     """Per-author id-band join: each chat medium meets the wall row of the same
     author whose id band ``[media_id, next media_id)`` contains it.
 
-    Written as an as-of join -- union both sides, one window per author
-    ordered by id, carry the last wall row forward -- so there is one shuffle
-    by author and no pair enumeration.  The newest band of an author is
-    open-ended.
+    Written as an as-of join: the wall rows get their band end from
+    ``lead_per_author``; wall and chat rows are unioned, partitioned by
+    (author, id bucket), and the last wall band at or before each chat id is
+    carried forward inside the bucket; a small per-(author, bucket) summary
+    supplies the band that is open when a bucket starts.  No pairs are
+    enumerated and no author is held by a single task.  The newest band of an
+    author is open-ended.
     """
-    wl = wall.select(by, F.col(value).alias("_v"), F.lit(0).alias("_side"),
-                     F.col("post_id"), F.col("posted_ts"), F.lit(None).cast("bigint").alias("chat_id"))
+    stats = _id_stats(wall, chat_media, value=value)
+    bands = lead_per_author(wall, by=by, value=value, carry=(), buckets=buckets)
+    band = F.struct(F.col(value).alias("band_from"), F.col(f"next_{value}").alias("band_to"),
+                    F.col("post_id"), F.col("posted_ts"))
+    wl = bands.select(by, F.col(value).alias("_v"), F.lit(0).alias("_side"), F.col("post_id").alias("_ord"),
+                      F.lit(None).cast("bigint").alias("chat_id"), band.alias("_band"))
     ch = chat_media.select(by, F.col(value).alias("_v"), F.lit(1).alias("_side"),
-                           F.lit(None).cast(wall.schema["post_id"].dataType).alias("post_id"),
-                           F.lit(None).cast("timestamp_ntz").alias("posted_ts"), F.col("chat_id"))
-    u = wl.unionByName(ch)
-    side_wall = F.col("_side") == 0
-    w = W.partitionBy(by).orderBy(asc("_v"), asc("_side"), asc("post_id"), asc("chat_id"))
-    ww = W.partitionBy(by, "_side").orderBy(asc("_v"), asc("post_id"))
-    u = u.withColumn("_next", F.when(side_wall, F.lead("_v").over(ww)))
-    band = F.when(side_wall, F.struct(F.col("_v").alias("band_from"), F.col("_next").alias("band_to"),
-                                      F.col("post_id"), F.col("posted_ts")))
-    u = u.withColumn("_band", F.last(band, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    hits = u.where(~side_wall & F.col("_band").isNotNull())
-    return hits.select("chat_id", by, F.col("_v").alias(value), F.col("_band.post_id").alias("post_id"),
-                       F.col("_band.band_from").alias("band_from"), F.col("_band.band_to").alias("band_to"),
-                       F.col("_band.posted_ts").alias("posted_ts"))
+                           F.col("chat_id").cast("bigint").alias("_ord"), F.col("chat_id").cast("bigint"),
+                           F.lit(None).cast(band_type(wall, value)).alias("_band"))
+    u = wl.unionByName(ch).crossJoin(stats)
+    u = u.withColumn("_ib", id_bucket("_v", stats, buckets)).drop("_lo", "_hi").repartition(by, "_ib")
+    w = W.partitionBy(by, "_ib").orderBy(asc("_v"), asc("_side"), asc("_ord"))
+    u = u.withColumn("_local", F.last("_band", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)))
+    summ = u.groupBy(by, "_ib").agg(F.max_by("_band", F.when(F.col("_side") == 0,
+                                                             F.struct("_v", "_ord"))).alias("_last"))
+    wk = W.partitionBy(by).orderBy(asc("_ib"))
+    summ = summ.select(by, "_ib", F.last("_last", ignorenulls=True).over(
+        wk.rowsBetween(W.unboundedPreceding, -1)).alias("_before"))
+    hits = (u.where(F.col("_side") == 1).join(summ, [by, "_ib"], "inner")
+             .withColumn("_b", F.coalesce("_local", "_before"))
+             .where(F.col("_b").isNotNull()))
+    return hits.select("chat_id", by, F.col("_v").alias(value), F.col("_b.post_id").alias("post_id"),
+                       F.col("_b.band_from").alias("band_from"), F.col("_b.band_to").alias("band_to"),
+                       F.col("_b.posted_ts").alias("posted_ts"))
+
+
+def band_type(wall: DataFrame, value: str) -> str:
+    t = wall.schema
+    return (f"struct<band_from:{t[value].dataType.simpleString()},band_to:{t[value].dataType.simpleString()},"
+            f"post_id:{t['post_id'].dataType.simpleString()},posted_ts:{t['posted_ts'].dataType.simpleString()}>")

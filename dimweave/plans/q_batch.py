@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Window as W, functions as F
+from pyspark.sql import functions as F
 
 from ..functions import time as tf
 from ..functions.numeric import round_ratio
 from ..operators import flatten as fl, incremental as inc, scd2
-from ..operators.dedupe import asc, desc
+from ..operators.chains import chain_links, time_bucket
+from ..operators.dedupe import last_value_default_frame
+from ..operators.joins import with_group_aggregates
 from . import fixtures as fx
 from .oracle_views import with_views
 from .registry import query
@@ -189,35 +191,33 @@ select author_id, media_id, valid_from_ts, extract_ts,
        max(extract_ts) over (partition by author_id, media_id, valid_from_ts) as max_extract_ts
 from two_batches""", TWO_BATCHES))
 def window_partition_max(spark, sf):
-    w = W.partitionBy("author_id", "media_id", "valid_from_ts").rowsBetween(
-        W.unboundedPreceding, W.unboundedFollowing)
-    return _two_batches(spark, sf).select(
-        "author_id", "media_id", "valid_from_ts", "extract_ts", F.max("extract_ts").over(w).alias("max_extract_ts"))
+    rows = _two_batches(spark, sf).select("author_id", "media_id", "valid_from_ts", "extract_ts")
+    return with_group_aggregates(rows, ["author_id", "media_id", "valid_from_ts"],
+                                 {"max_extract_ts": F.max("extract_ts")})
 
 
 _CHAIN = "partition by author_id, media_id order by valid_from_ts, extract_ts, media_blob"
 
 
-def _chain_w():
-    return W.partitionBy("author_id", "media_id").orderBy(asc("valid_from_ts"), asc("extract_ts"), asc("media_blob"))
+def _chained(spark, sf):
+    """Ordinal and next start per key, split by day of start (hot keys stay parallel)."""
+    rows = _two_batches(spark, sf).withColumn("_bk", time_bucket("valid_from_ts"))
+    return chain_links(rows, ["author_id", "media_id"], ["valid_from_ts", "extract_ts", "media_blob"],
+                       "valid_from_ts", "_bk", seen="seen_count", nxt="valid_to_ts")
 
 
 @query("window_version_ordinal", with_views(f"""
 select author_id, media_id, valid_from_ts, extract_ts,
        cast(row_number() over ({_CHAIN}) as bigint) as seen_count from two_batches""", TWO_BATCHES))
 def window_version_ordinal(spark, sf):
-    return _two_batches(spark, sf).select(
-        "author_id", "media_id", "valid_from_ts", "extract_ts",
-        F.row_number().over(_chain_w()).cast("bigint").alias("seen_count"))
+    return _chained(spark, sf).select("author_id", "media_id", "valid_from_ts", "extract_ts", "seen_count")
 
 
 @query("window_lead_valid_to", with_views(f"""
 select author_id, media_id, valid_from_ts, extract_ts,
        lead(valid_from_ts) over ({_CHAIN}) as valid_to_ts from two_batches""", TWO_BATCHES))
 def window_lead_valid_to(spark, sf):
-    return _two_batches(spark, sf).select(
-        "author_id", "media_id", "valid_from_ts", "extract_ts",
-        F.lead("valid_from_ts").over(_chain_w()).alias("valid_to_ts"))
+    return _chained(spark, sf).select("author_id", "media_id", "valid_from_ts", "extract_ts", "valid_to_ts")
 
 
 @query("window_last_value_default", with_views("""
@@ -226,6 +226,6 @@ select author_id, media_id, valid_from_ts,
 from v_dim"""))
 def window_last_value_default(spark, sf):
     """``last_value`` with the default frame (ends at the current peer): the row's own start."""
-    w = W.partitionBy("media_id", "author_id").orderBy(desc("valid_from_ts"))
-    return fx.v_dim(spark, sf).select("author_id", "media_id", "valid_from_ts",
-                                      F.last("valid_from_ts").over(w).alias("last_vf"))
+    return fx.v_dim(spark, sf).select(
+        "author_id", "media_id", "valid_from_ts",
+        last_value_default_frame(["media_id", "author_id"], "valid_from_ts", "valid_from_ts").alias("last_vf"))

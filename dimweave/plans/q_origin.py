@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W, functions as F
+from pyspark.sql import functions as F
 
 from ..operators import origin as og
-from ..operators.dedupe import asc
 from . import fixtures as fx
 from .oracle_views import with_views
 from .registry import query
@@ -98,8 +97,6 @@ select author_id, post_id, media_id, posted_ts,
        lead(posted_ts, 1) over (partition by author_id order by media_id, post_id) as next_media_id_ts
 from v_wall"""))
 def window_lead_per_author(spark, sf):
-    w = W.partitionBy("author_id").orderBy(asc("media_id"), asc("post_id"))
-    return fx.v_wall(spark, sf).select(
-        "author_id", "post_id", "media_id", "posted_ts",
-        F.lead("media_id", 1).over(w).alias("next_media_id"),
-        F.lead("posted_ts", 1).over(w).alias("next_media_id_ts"))
+    out = og.lead_per_author(fx.v_wall(spark, sf))
+    return out.select("author_id", "post_id", "media_id", "posted_ts", "next_media_id",
+                      F.col("next_posted_ts").alias("next_media_id_ts"))
