@@ -11,8 +11,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from ..operators.chains import chain_links, time_bucket
-
 TS = dt.datetime
 
 
@@ -103,8 +101,10 @@ def v_dim(spark, sf_dir) -> DataFrame:
     v = v_versions(spark, sf_dir).where(
         (F.col("valid_from_ts") >= ts_lit("2024-01-08 00:00:00"))
         & (F.col("valid_from_ts") < ts_lit("2024-01-22 00:00:00")))
-    z = chain_links(v.withColumn("_bk", time_bucket("valid_from_ts")), ["author_id", "media_id"],
-                    ["valid_from_ts"], "valid_from_ts", "_bk", seen="seen_count", nxt="valid_to_ts")
+    # test-data construction (a stored dimension in production), written as FIXTURES.md states it
+    w = W.partitionBy("author_id", "media_id").orderBy("valid_from_ts")
+    z = (v.withColumn("seen_count", F.row_number().over(w).cast("bigint"))
+          .withColumn("valid_to_ts", F.lead("valid_from_ts").over(w)))
     deleted = F.col("author_id").cast("int") % 10 == 3
     cut = ts_lit("2024-02-01 00:00:00")
     return z.select(
