@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.json import extract_string, extract_typed, multi_extract
+from ..functions.json import extract_typed, multi_extract
 from .joins import with_group_aggregates
 
 
@@ -77,7 +77,3 @@ def message_total(flat: DataFrame, duration: str = "media_duration", by: str = "
     """
     total = F.sum(F.coalesce(F.col(duration), F.lit(0))).cast("bigint")
     return with_group_aggregates(flat, [by], {out: total})
-
-
-__all__ = ["flatten_chat", "flatten_chat_videos", "flatten_wall", "media_fields",
-           "typed_media_fields", "message_total", "extract_string"]

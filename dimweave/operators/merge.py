@@ -26,10 +26,10 @@ VF, VT = "valid_from_ts", "valid_to_ts"
 def _checked_source(source: DataFrame, key: list[str]) -> DataFrame:
     """Source rows with a lazy uniqueness check: a key sent twice fails the job."""
     n = F.count(F.lit(1)).over(W.partitionBy(*key))
-    return (source.withColumn("_dup", n)
-                  .withColumn("_dup", F.when(F.col("_dup") > 1, F.raise_error(
-                      F.lit("merge source holds a key more than once"))).otherwise(F.col("_dup")))
-                  .drop("_dup"))
+    # used as a predicate, so the optimizer cannot prune the check with an unused column
+    ok = F.when(F.col("_n") > 1, F.raise_error(F.lit("merge source holds a key more than once"))) \
+          .otherwise(F.lit(True)).cast("boolean")
+    return source.withColumn("_n", n).where(ok).drop("_n")
 
 
 def _source_defaults(source: DataFrame) -> DataFrame:

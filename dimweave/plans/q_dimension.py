@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import scd2
-from ..schemas import DIM_COLUMNS, empty_dim
+from ..schemas import empty_dim
 from . import fixtures as fx
 from .oracle_views import with_views
 from .registry import query
@@ -98,5 +98,3 @@ where valid_from_ts <= timestamp '2024-01-15 00:00:00'
 def dim_as_of(spark, sf):
     return scd2.as_of(fx.v_dim(spark, sf), AS_OF)
 
-
-__all__ = ["DIM_COLUMNS"]

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from ..operators.incremental import outside_seen_range
 from ..session import path_exists
 
-LOG_SCHEMA = "version bigint, committed_at timestamp_ntz, n_rows bigint, tag string"
+LOG_SCHEMA = ("version bigint, committed_at timestamp_ntz, n_rows bigint, tag string, "
+              "min_ts timestamp_ntz, max_ts timestamp_ntz")
 
 
 class VersionedTable:
@@ -39,9 +40,20 @@ class VersionedTable:
         row = log.agg(F.max("version")).first()
         return None if row is None or row[0] is None else int(row[0])
 
+    def _entry(self, version: int):
+        return self._log().where(F.col("version") == version).first()
+
     def rows(self, version: int) -> int:
         """Row count of a committed version, from the commit log."""
-        return int(self._log().where(F.col("version") == version).first()["n_rows"])
+        return int(self._entry(version)["n_rows"])
+
+    def time_range(self, version: int | None = None):
+        """(min, max) of the version's ``ts_col`` recorded at publish time, or (None, None)."""
+        v = self.current_version() if version is None else version
+        if v is None:
+            return None, None
+        e = self._entry(v)
+        return e["min_ts"], e["max_ts"]
 
     def has_tag(self, tag: str) -> bool:
         log = self._log()
@@ -57,16 +69,26 @@ class VersionedTable:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.version_path(v))
 
-    def publish(self, df: DataFrame, *, partition_by: list[str] | None = None, tag: str | None = None) -> int:
-        """Write ``df`` as the next version and commit it; returns the version number."""
+    def publish(self, df: DataFrame, *, partition_by: list[str] | None = None, tag: str | None = None,
+                ts_col: str | None = None) -> int:
+        """Write ``df`` as the next version and commit it; returns the version number.
+
+        Row count (and min/max of ``ts_col``) are observed on the write itself
+        and kept in the commit log, so later runs read them without a scan.
+        """
         v = (self.current_version() or 0) + 1
         obs = Observation(f"publish_{v}")
-        w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+        metrics = [F.count(F.lit(1)).alias("n")]
+        if ts_col:
+            metrics += [F.min(ts_col).cast("timestamp_ntz").alias("lo"), F.max(ts_col).cast("timestamp_ntz").alias("hi")]
+        w = df.observe(obs, *metrics).write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.version_path(v))
-        n = obs.get["n"]
-        commit = self.spark.createDataFrame([(v, dt.datetime.now(), n, tag)], LOG_SCHEMA)
+        got = obs.get
+        n = got["n"]
+        commit = self.spark.createDataFrame([(v, dt.datetime.now(), n, tag, got.get("lo"), got.get("hi"))],
+                                            LOG_SCHEMA)
         commit.coalesce(1).write.mode("append").parquet(self.log_path)
         return v
 
