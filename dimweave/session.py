@@ -44,6 +44,25 @@ def get_spark(master: str | None = None, app: str = "dimweave",
     return spark
 
 
+def scale_conf(input_bytes: int, *, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Suggested settings for a run that reads ``input_bytes`` on ``total_cores``.
+
+    Shuffle partitions start at input / target size (at least 2x the cores)
+    so no reducer has to spill much; AQE then coalesces small ones and splits
+    skewed ones.  Scan splits use the same target size.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
@@ -77,4 +96,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "checkpoint_root", "work_dir", "path_exists", "local_path"]
+__all__ = ["get_spark", "scale_conf", "checkpoint_root", "work_dir", "path_exists", "local_path"]
