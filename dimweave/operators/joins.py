@@ -10,13 +10,18 @@ from pyspark.sql import DataFrame, functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       known_max: int | None = None) -> DataFrame:
     """Broadcast ``df`` only when its row count is proven under ``max_rows``.
 
-    The count is a job over ``df`` alone (callers pass small, usually cached
-    frames such as distinct batch keys).  Above the bound the frame is
+    ``known_max`` is an upper bound the caller already holds (e.g. the row
+    count of the batch the keys come from, read from a commit log); then no
+    job runs.  Otherwise the count is a job over ``df`` alone (callers pass
+    small frames such as distinct batch keys).  Above the bound the frame is
     returned as is and the planner falls back to a shuffle join.
     """
+    if known_max is not None and known_max <= max_rows:
+        return F.broadcast(df)
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -144,7 +144,8 @@ def _flag_untouched_where(rows: DataFrame, where, matched) -> DataFrame:
 
 def apply_batch(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
                 dim_is_versioned: bool = True, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                parts: int | None = None, bucket_unit: str = "day") -> DataFrame:
+                parts: int | None = None, bucket_unit: str = "day",
+                batch_rows: int | None = None) -> DataFrame:
     """Apply a source batch to a type 2 dimension (checksum, soft delete, reactivation).
 
     ``dim`` has the columns of ``schemas.DIM_SCHEMA``; ``batch`` has
@@ -167,12 +168,14 @@ def apply_batch(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
     row-count check; a shuffle join beyond it).  With ``False`` every row
     goes through the shuffle and duplicates are collapsed as well.
     ``bucket_unit`` is the time slice that spreads one key over tasks.
+    ``batch_rows`` (a known row count of the batch) bounds the number of
+    keys, so the size check needs no job.
     """
     key = list(key)
     dim = reject_null_keys(conform_dim_like(dim), key)
     batch = reject_null_keys(batch, key)
     bounds = F.broadcast(batch_bounds(batch, key))
-    keys = broadcast_if_small(batch.select(*key).distinct(), broadcast_rows)
+    keys = broadcast_if_small(batch.select(*key).distinct(), broadcast_rows, known_max=batch_rows)
     if not dim_is_versioned:
         flagged = (dim.join(keys.withColumn("_key_in_batch", F.lit(True)), on=key, how="left")
                       .withColumn("_key_in_batch", F.coalesce(F.col("_key_in_batch"), F.lit(False))))

@@ -39,14 +39,15 @@ def run_load(store: DimensionStore, chat: DataFrame, run_ts: dt.datetime, *, run
     dimension version, or ``None`` when the batch was empty (an empty batch
     would clear every delete flag, so it is skipped)."""
     dim = store.current()
-    seen = store.dim.time_range() if store.dim.current_version() is not None else (None, None)
+    seen = store.dim.time_range()
     batch = build_source_batch(chat, dim, run_ts, guard_days=guard_days, chat_id=chat_id, created=created,
                                known_range=seen)
     bv = store.batches.publish(batch)
     staged = store.batches.read(bv)
-    if store.batches.rows(bv) == 0:
+    n = store.batches.rows(bv)
+    if n == 0:
         return None
-    new_dim = conform_dim(apply_batch(dim, staged))
+    new_dim = conform_dim(apply_batch(dim, staged, batch_rows=n))
     v = store.dim.publish(new_dim, ts_col="valid_from_ts")
     if history:
         append_snapshot(store.history_path, store.dim.read(v, schema=DIM_SCHEMA), run_id)

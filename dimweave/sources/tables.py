@@ -27,21 +27,33 @@ class VersionedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.log_path = f"{self.path}/_commits"
+        self._entries: dict[int, dict] = {}   # commit rows already seen by this process
 
     def _log(self) -> DataFrame | None:
         if not path_exists(self.spark, self.log_path):
             return None
         return self.spark.read.schema(LOG_SCHEMA).parquet(self.log_path)
 
-    def current_version(self) -> int | None:
+    def latest(self) -> dict | None:
+        """The last commit row (one small read of the log), or ``None``."""
         log = self._log()
         if log is None:
             return None
-        row = log.agg(F.max("version")).first()
-        return None if row is None or row[0] is None else int(row[0])
+        row = log.orderBy(F.col("version").desc()).limit(1).first()
+        if row is None:
+            return None
+        entry = row.asDict()
+        self._entries[int(entry["version"])] = entry
+        return entry
+
+    def current_version(self) -> int | None:
+        e = self.latest()
+        return None if e is None else int(e["version"])
 
-    def _entry(self, version: int):
-        return self._log().where(F.col("version") == version).first()
+    def _entry(self, version: int) -> dict:
+        if version not in self._entries:
+            self._entries[version] = self._log().where(F.col("version") == version).first().asDict()
+        return self._entries[version]
 
     def rows(self, version: int) -> int:
         """Row count of a committed version, from the commit log."""
@@ -49,10 +61,9 @@ class VersionedTable:
 
     def time_range(self, version: int | None = None):
         """(min, max) of the version's ``ts_col`` recorded at publish time, or (None, None)."""
-        v = self.current_version() if version is None else version
-        if v is None:
+        e = self.latest() if version is None else self._entry(version)
+        if e is None:
             return None, None
-        e = self._entry(v)
         return e["min_ts"], e["max_ts"]
 
     def has_tag(self, tag: str) -> bool:
@@ -87,9 +98,10 @@ class VersionedTable:
         w.parquet(self.version_path(v))
         got = obs.get
         n = got["n"]
-        commit = self.spark.createDataFrame([(v, dt.datetime.now(), n, tag, got.get("lo"), got.get("hi"))],
-                                            LOG_SCHEMA)
+        row = (v, dt.datetime.now(), n, tag, got.get("lo"), got.get("hi"))
+        commit = self.spark.createDataFrame([row], LOG_SCHEMA)
         commit.coalesce(1).write.mode("append").parquet(self.log_path)
+        self._entries[v] = dict(zip(["version", "committed_at", "n_rows", "tag", "min_ts", "max_ts"], row))
         return v
 
 

@@ -75,13 +75,14 @@ def ingest_pages(spark: SparkSession, pages_dir: str, store: DimensionStore, sta
         if not apply_dimension or n == 0 or store.dim.has_tag(tag):
             return
         dim = store.current()
-        seen = store.dim.time_range() if store.dim.current_version() is not None else (None, None)
+        seen = store.dim.time_range()
         batch = build_source_batch(staged, dim, run_ts, chat_id="id", created=ts, known_range=seen)
         bv = store.batches.publish(batch, tag=tag)
-        if store.batches.rows(bv) == 0:
+        n_batch = store.batches.rows(bv)
+        if n_batch == 0:
             return
-        v = store.dim.publish(conform_dim(apply_batch(dim, store.batches.read(bv))), tag=tag,
-                              ts_col="valid_from_ts")
+        v = store.dim.publish(conform_dim(apply_batch(dim, store.batches.read(bv), batch_rows=n_batch)),
+                              tag=tag, ts_col="valid_from_ts")
         append_snapshot(store.history_path, store.dim.read(v, schema=DIM_SCHEMA), v)
         stats["versions"].append(v)
 
