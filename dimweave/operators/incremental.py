@@ -71,9 +71,12 @@ def build_source_batch(chat: DataFrame, dim: DataFrame, run_ts: dt.datetime, *,
     flat = flatten_chat(msgs, chat_id=chat_id, author=author, media=media, created="_created")
     rows = media_fields(flat)
     stamp = extract_ts if extract_ts is not None else utc_to_eastern(lit_ts(run_ts))
+    # distinct over the varying columns only; the constant ones are added after it
+    rows = rows.select("author_id", "media_id", "media_duration", "media_blob",
+                       F.col("created_ts").alias("valid_from_ts")).distinct()
     return rows.select(
         "author_id", "media_id", "media_duration", "media_blob",
-        F.lit(1).alias("seen_count"), F.col("created_ts").alias("valid_from_ts"),
+        F.lit(1).alias("seen_count"), "valid_from_ts",
         F.lit(None).cast("timestamp_ntz").alias("valid_to_ts"), F.lit(True).alias("is_current"),
         stamp.alias("extract_ts"),
-    ).distinct()
+    )

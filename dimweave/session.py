@@ -28,6 +28,9 @@ def get_spark(master: str | None = None, app: str = "dimweave",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # coalesce to the advisory size rather than to the core count: fewer,
+        # fuller tasks (the setting Spark recommends for shared clusters)
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
