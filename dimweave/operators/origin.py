@@ -88,21 +88,32 @@ def daily_id_bands(wall_v2: DataFrame, *, ts: str = "posted_ts") -> DataFrame:
 
 def range_join(probe: DataFrame, bands: DataFrame, *, value: str = "media_id",
                lo: str = "first_media_id_v2", hi: str = "last_media_id_v2",
-               buckets: int = 1024, how: str = "inner", broadcast_rows: int | None = None) -> DataFrame:
+               buckets: int | None = None, how: str = "inner", broadcast_rows: int | None = None) -> DataFrame:
     """Join each probe row to every band with ``lo <= value < hi`` (half-open).
 
-    Bands are clipped to the probe's id range, exploded into ``buckets``
-    fixed-width id buckets and equi-joined on the bucket with the exact
-    predicate as residual, so no nested-loop join is needed.  The join
-    strategy is left to the planner and AQE, which broadcast the exploded
-    bands only when their measured size is under the broadcast threshold;
+    Bands are clipped to the probe's id range and exploded into fixed-width
+    id buckets; the join is an equi-join on the bucket with the exact
+    predicate as residual, so no nested-loop join is needed.  The bucket
+    width is the median clipped band width (``percentile_approx``), so a
+    typical band covers one or two buckets and the exploded side stays about
+    twice the band count; ``buckets`` instead divides the probe range into
+    that many buckets.  The join strategy is left to the planner and AQE
+    (broadcast only when the measured size is under the threshold);
     ``broadcast_rows`` forces an explicit row-count check instead.
     ``how='left'`` keeps probe rows without a band (band columns null).
     """
     stats = probe.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    width = F.greatest(F.lit(1).cast("bigint"),
-                       F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(buckets)).cast("bigint"))
-    stats = F.broadcast(stats.withColumn("_w", width))
+    if buckets:
+        width = F.greatest(F.lit(1).cast("bigint"),
+                           F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(buckets)).cast("bigint"))
+        stats = F.broadcast(stats.withColumn("_w", width))
+    else:
+        clipped = bands.crossJoin(F.broadcast(stats)).where((F.col(hi) > F.col("_lo")) & (F.col(lo) <= F.col("_hi")))
+        span = F.least(F.col(hi), F.col("_hi") + 1) - F.greatest(F.col(lo), F.col("_lo"))
+        med = clipped.agg(F.percentile_approx(span, 0.5).alias("_med"))
+        stats = F.broadcast(stats.crossJoin(med).withColumn(
+            "_w", F.greatest(F.lit(1).cast("bigint"), F.coalesce(F.col("_med"), F.lit(1)).cast("bigint")))
+            .drop("_med"))
     b = bands.crossJoin(stats).where((F.col(hi) > F.col("_lo")) & (F.col(lo) <= F.col("_hi")))
     first_b = F.floor((F.greatest(F.col(lo), F.col("_lo")) - F.col("_lo")) / F.col("_w")).cast("bigint")
     last_b = F.floor((F.least(F.col(hi), F.col("_hi") + 1) - 1 - F.col("_lo")) / F.col("_w")).cast("bigint")
@@ -134,7 +145,7 @@ def chat_media_totals(chat_media: DataFrame, *, chat_id: str = "chat_id",
 
 def origin_date(chat_media: DataFrame, wall: DataFrame, *, min_year: int = 2025,
                 media_id: int | None = None, posted_between: tuple | None = None,
-                buckets: int = 1024, bucket: str = "hour", sort: bool = True) -> DataFrame:
+                buckets: int | None = None, bucket: str = "hour", sort: bool = True) -> DataFrame:
     """Approximate origin date of each chat video.
 
     ``chat_media``: one row per chat media (``chat_id, author_id, media_id

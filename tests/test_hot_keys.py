@@ -75,3 +75,9 @@ def test_bucketed_range_join_equals_nested_loop(spark):
     cols = ["chat_id", "media_id", "band_author_id", "posted_date"]
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
     assert got.count() == want.count()
+    auto = og.range_join(chat, bands)          # median band width
+    assert auto.select(cols).exceptAll(want.select(cols)).count() == 0
+    assert auto.count() == want.count()
+    left = og.range_join(chat, bands, how="left")
+    assert left.where(F.col("posted_date").isNull()).count() == chat.join(want.select("chat_id", "media_id"),
+                                                                        ["chat_id", "media_id"], "left_anti").count()
