@@ -46,6 +46,19 @@ def existence_flag(left: DataFrame, right: DataFrame, on: list[str], name: str)
                 .withColumn(name, F.coalesce(F.col(name), F.lit(False))))
 
 
+def split_by_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is in ``keys``, rows whose key is not) from one left join.
+
+    ``keys`` must be distinct.  Both halves come from the same join, so when
+    ``keys`` is too large to broadcast the big side is shuffled once (the
+    exchange is reused by the second half) rather than once per half.
+    A null key is never matched, as in ``NOT EXISTS``.
+    """
+    flagged = df.join(keys.select(*on).withColumn("_in_keys", F.lit(True)), on=on, how="left")
+    hit = F.coalesce(F.col("_in_keys"), F.lit(False))
+    return flagged.where(hit).drop("_in_keys"), flagged.where(~hit).drop("_in_keys")
+
+
 def with_group_aggregates(df: DataFrame, by: list[str], aggs: dict) -> DataFrame:
     """Attach whole-group aggregates to every row (``agg() over (partition by ..)``).
 

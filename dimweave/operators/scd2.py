@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ..schemas import DIM_COLUMNS, KEY, LEGACY_DIM_COLUMNS, reject_null_keys
 from .chains import chain_links, time_bucket
 from .dedupe import asc, keep_first
-from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small, split_by_keys
 
 VF, VT, EX = "valid_from_ts", "valid_to_ts", "extract_ts"
 
@@ -180,8 +180,8 @@ def apply_batch(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
         flagged = (dim.join(keys.withColumn("_key_in_batch", F.lit(True)), on=key, how="left")
                       .withColumn("_key_in_batch", F.coalesce(F.col("_key_in_batch"), F.lit(False))))
         return _apply_union(flagged, batch, key, parts, bounds, bucket_unit)
-    touched = dim.join(keys, on=key, how="left_semi").withColumn("_key_in_batch", F.lit(True))
-    untouched = dim.join(keys, on=key, how="left_anti")
+    touched, untouched = split_by_keys(dim, keys, key)
+    touched = touched.withColumn("_key_in_batch", F.lit(True))
     kept = _flag_untouched(untouched.crossJoin(bounds), F.lit(False)).select(*DIM_COLUMNS)
     return kept.unionByName(_apply_union(touched, batch, key, parts, bounds, bucket_unit))
 
@@ -213,13 +213,14 @@ def rebuild_chain(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
     dim = reject_null_keys(dim, key).withColumn("media_duration", F.col("media_duration").cast("int"))
     b = reject_null_keys(batch, key).withColumn("media_duration", F.col("media_duration").cast("int")).select(*cols)
     keys = broadcast_if_small(b.select(*key).distinct(), broadcast_rows)
-    touched = dim.join(keys, on=key, how="left_semi").select(*cols)
+    touched, kept = split_by_keys(dim, keys, key)
+    touched = touched.select(*cols)
     combined = touched.unionByName(b).withColumn("_bk", time_bucket(VF, bucket_unit))
     combined = combined.repartition(*key, "_bk").distinct()
     chain = chain_links(combined, key, [VF, EX, "media_blob", "media_duration"], VF, "_bk",
                         seen="seen_count", nxt=VT, partitioned=True)
     chain = chain.withColumn("is_current", F.col(VT).isNull())
-    kept = dim.join(keys, on=key, how="left_anti").withColumn("seen_count", F.col("seen_count").cast("bigint"))
+    kept = kept.withColumn("seen_count", F.col("seen_count").cast("bigint"))
     return kept.select(*LEGACY_DIM_COLUMNS).unionByName(chain.select(*LEGACY_DIM_COLUMNS))
 
 
