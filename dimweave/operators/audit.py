@@ -37,10 +37,17 @@ def grain_offenders(df: DataFrame, cols: Sequence[str] = GRAIN) -> DataFrame:
 
 
 def parity(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Set differences both ways over an explicit shared column list (one row)."""
+    """Set differences both ways over an explicit shared column list (one row):
+    ``count(a EXCEPT b)`` and ``count(b EXCEPT a)``.
+
+    Both inputs are tagged, unioned and grouped by all columns once (nulls
+    group together, as set operations compare them); a distinct row seen
+    only on one side counts for that side.  Each input is computed once and
+    the grouping combines map-side.
+    """
     cols = list(columns)
-    a_ = a.select(*cols)
-    b_ = b.select(*cols)
-    left = a_.subtract(b_).agg(F.count(F.lit(1)).alias("a_minus_b"))
-    right = b_.subtract(a_).agg(F.count(F.lit(1)).alias("b_minus_a"))
-    return left.crossJoin(right)
+    u = (a.select(*cols, F.lit(True).alias("_in_a"), F.lit(False).alias("_in_b"))
+          .unionByName(b.select(*cols, F.lit(False).alias("_in_a"), F.lit(True).alias("_in_b"))))
+    rows = u.groupBy(*cols).agg(F.max("_in_a").alias("_a"), F.max("_in_b").alias("_b"))
+    return rows.agg(F.count(F.when(F.col("_a") & ~F.col("_b"), F.lit(1))).alias("a_minus_b"),
+                    F.count(F.when(F.col("_b") & ~F.col("_a"), F.lit(1))).alias("b_minus_a"))
