@@ -4,12 +4,13 @@
 ``rebuild_chain`` plain chain rebuild of the touched keys (no delete, no checksum).
 ``as_of`` / ``current`` point-in-time and current reads.
 
-Physical shape of ``apply_batch``: the batch is de-duplicated and reduced to
-its distinct keys; dimension rows of keys the batch does not touch only get
-their delete flag recomputed against a one-row bounds relation (no shuffle).
-Touched rows and batch rows are unioned and hash-partitioned once on the
-natural key; every window afterwards partitions by the key or a superset of it,
-so that single exchange serves them all.
+Physical shape of ``apply_batch``: the batch is reduced to its distinct keys
+(broadcast behind a size check) and to a one-row bounds relation; dimension
+rows of keys the batch does not touch only get their delete flag recomputed
+against the bounds (no shuffle).  Touched rows and batch rows are unioned and
+hash-partitioned once on (key, day of start); every window afterwards
+partitions by a superset of that, and the per-key chains are stitched across
+days from a small summary, so a hot key is spread over many tasks.
 """
 
 from __future__ import annotations
