@@ -2,7 +2,7 @@
 
 They shape ``events`` into chat messages, wall posts and dimension versions so
 every operator runs on data whose size grows with the tables.  The same views
-exist as DuckDB SQL in ``plans/oracle.py``; both must return identical rows.
+exist as DuckDB SQL in ``plans/oracle_views.py``; both must return identical rows.
 """
 
 from __future__ import annotations
