@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import KEY, LEGACY_DIM_COLUMNS
 from .dedupe import desc, keep_first
@@ -24,12 +24,17 @@ VF, VT = "valid_from_ts", "valid_to_ts"
 
 
 def _checked_source(source: DataFrame, key: list[str]) -> DataFrame:
-    """Source rows with a lazy uniqueness check: a key sent twice fails the job."""
-    n = F.count(F.lit(1)).over(W.partitionBy(*key))
-    # used as a predicate, so the optimizer cannot prune the check with an unused column
-    ok = F.when(F.col("_n") > 1, F.raise_error(F.lit("merge source holds a key more than once"))) \
+    """Source rows with a lazy uniqueness check: a key sent twice fails the job.
+
+    The largest per-key count comes from a partially aggregated count by key
+    reduced to one row (no shuffle of the source rows themselves); it is
+    cross-joined as a broadcast row and used in a predicate, so the optimizer
+    cannot prune the check.
+    """
+    worst = source.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("_max_n"))
+    ok = F.when(F.col("_max_n") > 1, F.raise_error(F.lit("merge source holds a key more than once"))) \
           .otherwise(F.lit(True)).cast("boolean")
-    return source.withColumn("_n", n).where(ok).drop("_n")
+    return source.crossJoin(F.broadcast(worst)).where(ok).drop("_max_n")
 
 
 def _source_defaults(source: DataFrame) -> DataFrame:
