@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..functions.time import lit_ts, minus_years, plus_days
 from ..operators.incremental import build_source_batch
 from ..operators.scd2 import apply_batch
-from ..plans.load import DimensionStore
+from ..plans.load import DimensionStore, clustered
 from ..schemas import CHAT_PAGE_SCHEMA, DIM_SCHEMA, conform_dim
 from ..session import path_exists
 from ..sources.tables import append_snapshot
@@ -81,8 +81,8 @@ def ingest_pages(spark: SparkSession, pages_dir: str, store: DimensionStore, sta
         n_batch = store.batches.rows(bv)
         if n_batch == 0:
             return
-        v = store.dim.publish(conform_dim(apply_batch(dim, store.batches.read(bv), batch_rows=n_batch)),
-                              tag=tag, ts_col="valid_from_ts")
+        new_dim = clustered(conform_dim(apply_batch(dim, store.batches.read(bv), batch_rows=n_batch)))
+        v = store.dim.publish(new_dim, tag=tag, ts_col="valid_from_ts")
         append_snapshot(store.history_path, store.dim.read(v, schema=DIM_SCHEMA), v)
         stats["versions"].append(v)
 
