@@ -144,3 +144,14 @@ def test_shuffle_fallback_equals_broadcast_path(spark):
     a = scd2.apply_batch(dim, batch)
     b = scd2.apply_batch(dim, batch, broadcast_rows=0)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_h6_seen_count_restarts_when_exact_match_stays_outside_the_chain(spark):
+    dim = dim_df(spark, ["937/137 d10 #1 [04-01T00:00,05-01T00:00) x04-01T01:00 del=F cur=F",
+                         "937/137 d20 #2 [05-01T00:00,∅) x05-01T01:00 del=F cur=T"])
+    batch = batch_df(spark, ["937/137 d10 [04-01T00:00) x06-02T00:00",      # exact live re-send of #1
+                             "937/137 d30 [06-01T00:00) x06-02T00:00"])     # new version
+    rows = sorted((r.valid_from_ts.month, r.seen_count, r.is_current)
+                  for r in scd2.apply_batch(dim, batch).collect())
+    # #1 is kept as it is; #2 is re-chained with the new version and restarts at 1
+    assert rows == [(4, 1, False), (5, 1, False), (6, 2, True)]
