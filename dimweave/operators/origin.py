@@ -16,7 +16,7 @@ band into fixed-width id buckets and equi-joins on the bucket.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from ..functions.numeric import round_ratio
 from .chains import chain_links, id_bucket
@@ -215,11 +215,16 @@ def lead_per_author(wall: DataFrame, *, by: str = "author_id", value: str = "med
     """``lead(value)`` and ``lead(carry)`` per author ordered by (value, tie).
 
     Computed per (author, id bucket) and stitched across buckets, so one
-    author with most of the rows still runs in parallel.  Adds
-    ``next_<value>`` and ``next_<carry>`` columns.
+    author with most of the rows still runs in parallel.  Numeric ids are
+    ordered numerically (fixed-width buckets); string ids are ordered
+    lexically, bucketed by their first two characters (an order-preserving
+    prefix).  Adds ``next_<value>`` and ``next_<carry>`` columns.
     """
-    stats = _id_stats(wall, value=value)
-    rows = wall.crossJoin(stats).withColumn("_ib", id_bucket(value, stats, buckets)).drop("_lo", "_hi")
+    if isinstance(wall.schema[value].dataType, T.StringType):
+        rows = wall.withColumn("_ib", F.coalesce(F.substring(value, 1, 2), F.lit("\uffff")))
+    else:
+        stats = _id_stats(wall, value=value)
+        rows = wall.crossJoin(stats).withColumn("_ib", id_bucket(value, stats, buckets)).drop("_lo", "_hi")
     out = chain_links(rows, [by], [value, tie], value, "_ib", seen="_ord", nxt=f"next_{value}", carry=carry)
     return out.drop("_ib", "_ord")
 

@@ -81,3 +81,15 @@ def test_bucketed_range_join_equals_nested_loop(spark):
     left = og.range_join(chat, bands, how="left")
     assert left.where(F.col("posted_date").isNull()).count() == chat.join(want.select("chat_id", "media_id"),
                                                                         ["chat_id", "media_id"], "left_anti").count()
+
+
+def test_lead_per_author_lexical_ids(spark):
+    """String ids (as staged wall posts hold them) are ordered lexically."""
+    wall = fx.v_wall(spark, SF_SMALL).withColumn("media_id", (F.col("media_id") % 997).cast("string"))
+    got = og.lead_per_author(wall)
+    w = W.partitionBy("author_id").orderBy("media_id", "post_id")
+    want = wall.select("*", F.lead("media_id").over(w).alias("next_media_id"),
+                       F.lead("posted_ts").over(w).alias("next_posted_ts"))
+    cols = ["post_id", "media_id", "next_media_id", "next_posted_ts"]
+    assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+    assert got.count() == want.count()
