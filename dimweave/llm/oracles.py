@@ -96,4 +96,28 @@ select b.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(k.n, 0))::bigin
 from base b left join kept k on k.r = b.r
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op8_mixing": OP8, "op10_quality_rules": OP10}
+OP6 = r"""
+with recursive base as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as ws
+  from documents),
+places as (
+  select doc_id, ws, unnest(range(1, greatest(len(ws) - 2, least(len(ws), 1)) + 1)) as i from base),
+grams as (
+  select distinct doc_id, array_to_string(ws[i:i + 2], ' ') as g from places),
+sizes as (
+  select b.doc_id, count(g.g) as n from base b left join grams g using (doc_id) group by b.doc_id),
+common as (
+  select x.doc_id as a, y.doc_id as b, count(*) as c from grams x join grams y on x.g = y.g and x.doc_id < y.doc_id group by all),
+links as (
+  select a, b from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b where 100 * c >= 90 * (p.n + q.n - c)),
+edges as (
+  select a, b from links union all select b, a from links),
+reach as (
+  select doc_id, doc_id as r from sizes
+  union
+  select reach.doc_id, e.b from reach join edges e on e.a = reach.r)
+select s.doc_id, s.n::bigint as n_shingles, min(r.r) as component_id
+from sizes s join reach r on r.doc_id = s.doc_id group by all
+"""
+
+ORACLES = {"op6_ngram_jaccard_join": OP6, "op2_substring_dedup": OP2, "op8_mixing": OP8, "op10_quality_rules": OP10}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, fm_index, mixing, packing, quality_model, quality_rules, suffix_sort
+from . import chat_format, fingerprints, fm_index, jaccard_join, mixing, packing, quality_model, quality_rules, suffix_sort
 from .common import table, word_count
 
 
@@ -28,12 +28,20 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(turns.unionByName(own)))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.cluster(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     mixed = mixing.plan_mix(docs, "size", "source", [F.col("doc_id"), F.col("size")])
@@ -50,4 +58,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_substring_dedup, op3_chat_formatting, op5_packing, op8_mixing, op9_suffix_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_substring_dedup, op3_chat_formatting, op4_fingerprints, op5_packing, op6_ngram_jaccard_join, op8_mixing, op9_suffix_dedup, op10_quality_rules)}
