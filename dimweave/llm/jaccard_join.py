@@ -147,7 +147,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``_rid, <doc_id>, n_shingles, component_id`` per row; ``_rid`` numbers the rows of ``docs`` as ``with_row_id`` does."""
+    """``_rid, <doc_id>, n_shingles, component_id, _root`` per row (``_root`` numbers the component; null without shingles); ``_rid`` numbers the rows of ``docs`` as ``with_row_id`` does."""
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[doc_id]
     src = with_row_id(docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text")))
@@ -276,7 +276,7 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     rooted = rows.join(roots.withColumnRenamed("node", "_sig"), "_sig", "left").withColumn("_root", F.when(F.col("_n") > 0, F.coalesce("root", "_sig")))
     ids = rooted.where("_root is not null").groupBy("_root").agg(F.min("_id").alias("_least"))
     out = rooted.join(ids, "_root", "left")
-    return out.select("_rid", F.col("_id").alias(doc_id), F.col("_n").alias("n_shingles"), F.when(F.col("_n") > 0, F.col("_least")).otherwise(F.col("_id")).alias("component_id"))
+    return out.select("_rid", F.col("_id").alias(doc_id), F.col("_n").alias("n_shingles"), F.when(F.col("_n") > 0, F.col("_least")).otherwise(F.col("_id")).alias("component_id"), "_root")
 
 
 __all__ = ["shingle_sets", "prefix_length", "column_sketch", "components", "verified", "cluster", "PERCENT", "SHINGLE"]

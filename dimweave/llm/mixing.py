@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import stored
+from .common import small_side, stored
 
 #: Schedules dealt to the sources in code point order, repeating.  Integrals 3, 1, 2.
 SCHEDULES = (((0.0, 4.0), (1.0, 2.0)), ((0.0, 0.5), (1.0, 1.5)), ((0.0, 2.0), (1.0, 2.0)))
@@ -88,12 +88,13 @@ def plan_mix(docs: DataFrame, size: str, source: str, order: list[Column], sched
     slices = stored(rows.groupBy(F.col(source).alias("_source"), F.col("_slice").alias("_s")).agg(F.sum(size).alias("_sum")), "mix-slices")
     targets = source_targets(slices.groupBy("_source").agg(F.sum("_sum").alias("source_size")), weights, total_share, cap)
     before = F.sum("_sum").over(W.partitionBy("_source").orderBy("_s").rowsBetween(W.unboundedPreceding, -1))
-    starts = slices.withColumn("_start", F.coalesce(before, F.lit(0))).join(
-        targets.withColumnRenamed("_source", "_tsource"), F.col("_source").eqNullSafe(F.col("_tsource"))).drop("_tsource", "_sum")
-    joined = rows.join(starts, rows[source].eqNullSafe(starts["_source"]) & (rows["_slice"] == starts["_s"]))
-    inside = W.partitionBy("_source", "_slice").orderBy("_key", *[c.asc_nulls_last() for c in order]).rowsBetween(W.unboundedPreceding, -1)
+    starts = stored(slices.withColumn("_start", F.coalesce(before, F.lit(0))).join(
+        targets.withColumnRenamed("_source", "_tsource"), F.col("_source").eqNullSafe(F.col("_tsource"))).drop("_tsource", "_sum"), "mix-starts")
+    inside = W.partitionBy(source, "_slice").orderBy("_key", *[c.asc_nulls_last() for c in order]).rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("_inside", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+    joined = rows.join(small_side(starts), rows[source].eqNullSafe(starts["_source"]) & (rows["_slice"] == starts["_s"]))
     n, total, goal = F.col(size), F.col("source_size"), F.col("target")
-    joined = joined.withColumn("_at", F.col("_start") + F.coalesce(F.sum(size).over(inside), F.lit(0)))
+    joined = joined.withColumn("_at", F.col("_start") + F.col("_inside"))
     joined = joined.withColumn("_full", F.when(total > 0, F.floor(goal / total)).otherwise(F.lit(0)).cast("long"))
     rest = F.round(goal - F.col("_full") * total).cast("long")
     extra = F.greatest(F.lit(0), F.least(n, rest - F.col("_at"))).cast("long")
@@ -109,7 +110,7 @@ def plan_mix(docs: DataFrame, size: str, source: str, order: list[Column], sched
 
     joined = joined.withColumns({"first_time": F.when(F.col("passes") > 0, place(F.lit(0))),
                                  "last_time": F.when(F.col("passes") > 0, place(F.col("passes") - 1))})
-    return joined.drop("_key", "_slice", "_s", "_source", "_start", "_at", "_full", "source_rank")
+    return joined.drop("_key", "_slice", "_s", "_source", "_start", "_inside", "_at", "_full", "source_rank")
 
 
 def mixed_rows(planned: DataFrame, size: str, text: str, schedules=SCHEDULES) -> DataFrame:

@@ -1,7 +1,8 @@
 """Lexical retrieval packing.
 
-Documents are dealt to shards by a hash, each shard of at most ``SHARD``
-bytes of text and one more document.  A shard has a BM25 inverted index over token
+The rows of each input partition, in their order, are cut into shards of at
+most ``SHARD`` bytes of text and one more document; nothing is shuffled, so an
+order by training time survives from shard to shard.  A shard has a BM25 inverted index over token
 ids: the current seed document asks it for its best unused neighbours, which
 fill the seed's window greedily; the last one is cut where the window is full
 and seeds the next window.  What remains at a shard's end is cut into
@@ -10,8 +11,9 @@ sequences whose lengths are powers of two, which need no padding.
 Defined results: a null or empty text is its closing id alone; ties in score
 go to the earlier document of the shard; repeated rows are documents of their
 own; documents longer than a window run through several; an empty table gives
-no pieces.  Only the named columns are read.  A shard's order follows from its
-documents alone, so a recomputed task gives the same pieces.
+no pieces.  Only the named columns are read.  The input should be a file scan
+(or a stored table), whose partitions are the same when a task is recomputed;
+sequence numbers start anew in the high bits for each.
 """
 
 from __future__ import annotations
@@ -162,8 +164,6 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id",
     """Pieces ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``, if asked for)."""
     kind = dict(docs.dtypes)[doc_id]
     src = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"))
-    src = src.withColumn("_key", F.xxhash64("_id", "_text"))
-    src = src.repartition("_key").sortWithinPartitions("_key", "_id", "_text").select("_id", "_text")
     fields = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

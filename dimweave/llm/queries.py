@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, fingerprints, fm_index, jaccard_join, mixing, packing, quality_model, quality_rules, suffix_sort
+from . import chat_format, fingerprints, fm_index, html_extract, jaccard_join, mixing, packing, quality_model, quality_rules, suffix_sort
 from .common import table, word_count
 
 
@@ -42,6 +42,11 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.cluster(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract_pages(table(spark, sf_dir, "pages"), ["page_id", "url"])
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     mixed = mixing.plan_mix(docs, "size", "source", [F.col("doc_id"), F.col("size")])
@@ -58,4 +63,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_substring_dedup, op3_chat_formatting, op4_fingerprints, op5_packing, op6_ngram_jaccard_join, op8_mixing, op9_suffix_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_substring_dedup, op3_chat_formatting, op4_fingerprints, op5_packing, op6_ngram_jaccard_join, op7_html_extraction, op8_mixing, op9_suffix_dedup, op10_quality_rules)}
