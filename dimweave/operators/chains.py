@@ -42,7 +42,7 @@ def chain_links(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]
 
     ``order`` must start with ``value`` ascending (nulls last) and ``bucket``
     must be a non-decreasing function of ``value`` (e.g. ``time_bucket``),
-    so bucket order agrees with row order.  Keys must be non-null.  Only rows
+    so bucket order agrees with row order.  A null key is a chain of its own.  Only rows
     where ``include`` holds form the chains (others get values to ignore).
     With ``partitioned=True`` the caller has already hash-partitioned ``df``
     on (key, bucket) and no exchange of the rows is added here.  Each column
@@ -71,7 +71,9 @@ def chain_links(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]
         F.coalesce(F.sum("_n").over(wk.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.first("_first", ignorenulls=True).over(after).alias("_next_first"),
         *([F.first("_first_carry", ignorenulls=True).over(after).alias("_next_carry")] if carry else []))
-    out = local.join(summ, kb, "inner")
+    side = summ.select(*[F.col(c).alias(f"_s_{c}") for c in kb], *[c for c in summ.columns if c not in kb])
+    same = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in kb]  # a null key is a key like any other
+    out = local.join(side, same, "inner").drop(*[f"_s_{c}" for c in kb])
     in_bucket = F.col("_has_nx").isNotNull()
     cols = {seen: (F.col("_off") + F.col("_rn_l")).cast("bigint"),
             nxt: F.when(in_bucket, F.col("_nx_l")).otherwise(F.col("_next_first"))}

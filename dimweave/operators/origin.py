@@ -10,8 +10,8 @@ Scale: the two global windows (running max, next value) are never run as
 single-partition windows.  Rows are first reduced to one row per distinct
 posting time (map-side partial aggregation absorbs hot times), the times are
 cut into buckets, a small per-bucket summary carries values across bucket
-edges, and results join back on the time key.  The range join explodes each
-band into fixed-width id buckets and equi-joins on the bucket.
+edges, and results join back on the time key.  The range join puts each band
+on the level of its own width and equi-joins on (level, bucket).
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 from ..functions.numeric import round_ratio
 from .chains import chain_links, id_bucket
 from .dedupe import asc, desc, keep_first
-from .joins import broadcast_if_small, with_group_aggregates
+from .joins import with_group_aggregates
 
 # Fixed value: the upper bound that closes the newest band.
 SENTINEL = 99999999999
@@ -71,11 +71,14 @@ def monotone_ids(wall: DataFrame, *, ts: str = "posted_ts", media_id: str = "med
 
     out = rows.join(per_ts, "_tk")
     v2 = F.greatest(F.col(media_id), F.col("_max_yet"))
-    nxt = F.when(F.col("_tie") == F.col("_last_tie"), F.col("_next_v2")).otherwise(v2)
+    # of rows equal in time and tie only one is the last of its time
+    copy = F.row_number().over(W.partitionBy("_tk", "_tie").orderBy(F.col(media_id)))
+    out = out.withColumn("_copy", copy)
+    nxt = F.when(F.col("_tie").eqNullSafe(F.col("_last_tie")) & (F.col("_copy") == 1), F.col("_next_v2")).otherwise(v2)
     return (out.withColumn("max_media_id_yet", F.col("_max_yet"))
                .withColumn("media_id_v2", v2)
                .withColumn("next_media_id_v2", nxt)
-               .drop("_tk", "_tie", "_max_yet", "_next_v2", "_last_tie"))
+               .drop("_tk", "_tie", "_max_yet", "_next_v2", "_last_tie", "_copy"))
 
 
 def daily_id_bands(wall_v2: DataFrame, *, ts: str = "posted_ts") -> DataFrame:
@@ -105,44 +108,33 @@ def merge_bands_by_date(bands: DataFrame, *, lo: str = "first_media_id_v2",
 
 
 def range_join(probe: DataFrame, bands: DataFrame, *, value: str = "media_id",
-               lo: str = "first_media_id_v2", hi: str = "last_media_id_v2",
-               buckets: int | None = None, how: str = "inner", broadcast_rows: int | None = None) -> DataFrame:
+               lo: str = "first_media_id_v2", hi: str = "last_media_id_v2", how: str = "inner") -> DataFrame:
     """Join each probe row to every band with ``lo <= value < hi`` (half-open).
 
-    Bands are clipped to the probe's id range and exploded into fixed-width
-    id buckets; the join is an equi-join on the bucket with the exact
-    predicate as residual, so no nested-loop join is needed.  The bucket
-    width is the median clipped band width (``percentile_approx``), so a
-    typical band covers one or two buckets and the exploded side stays about
-    twice the band count; ``buckets`` instead divides the probe range into
-    that many buckets.  The join strategy is left to the planner and AQE
-    (broadcast only when the measured size is under the threshold);
-    ``broadcast_rows`` forces an explicit row-count check instead.
+    Empty bands are dropped first.  A band lives on the level of its own
+    width, the power of two at or above it, where it touches at most two
+    buckets of that width; a probe is looked up once on every level that has
+    bands (63 at most).  So the band side at most doubles, whatever the
+    widths, and the join is an equi-join on (level, bucket) with the exact
+    predicate as residual, whose strategy is left to the planner and AQE.
     ``how='left'`` keeps probe rows without a band (band columns null).
     """
-    stats = probe.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    if buckets:
-        width = F.greatest(F.lit(1).cast("bigint"),
-                           F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(buckets)).cast("bigint"))
-        stats = F.broadcast(stats.withColumn("_w", width))
-    else:
-        clipped = bands.crossJoin(F.broadcast(stats)).where((F.col(hi) > F.col("_lo")) & (F.col(lo) <= F.col("_hi")))
-        span = F.least(F.col(hi), F.col("_hi") + 1) - F.greatest(F.col(lo), F.col("_lo"))
-        med = clipped.agg(F.percentile_approx(span, 0.5).alias("_med"))
-        stats = F.broadcast(stats.crossJoin(med).withColumn(
-            "_w", F.greatest(F.lit(1).cast("bigint"), F.coalesce(F.col("_med"), F.lit(1)).cast("bigint")))
-            .drop("_med"))
-    b = bands.crossJoin(stats).where((F.col(hi) > F.col("_lo")) & (F.col(lo) <= F.col("_hi")))
-    first_b = F.floor((F.greatest(F.col(lo), F.col("_lo")) - F.col("_lo")) / F.col("_w")).cast("bigint")
-    last_b = F.floor((F.least(F.col(hi), F.col("_hi") + 1) - 1 - F.col("_lo")) / F.col("_w")).cast("bigint")
-    b = b.withColumn("_bucket", F.explode(F.sequence(first_b, last_b))).drop("_lo", "_hi", "_w")
-    if broadcast_rows:
-        b = broadcast_if_small(b, broadcast_rows)
-    p = probe.crossJoin(stats).withColumn(
-        "_bucket", F.floor((F.col(value) - F.col("_lo")) / F.col("_w")).cast("bigint")).drop("_lo", "_hi", "_w")
-    cond = (p["_bucket"] == b["_bucket"]) & (p[value] >= b[lo]) & (p[value] < b[hi])
-    out = p.join(b, cond, how)
-    return out.drop(b["_bucket"]).drop(p["_bucket"])
+    real = bands.where(F.col(hi) > F.col(lo))
+    level = F.ceil(F.log2((F.col(hi) - F.col(lo)).cast("double"))).cast("int")
+    size = F.expr("shiftleft(1L, _level)")
+    real = real.withColumn("_level", F.least(level, F.lit(62)))
+    first, last = F.floor(F.col(lo) / size).cast("bigint"), F.floor((F.col(hi) - 1) / size).cast("bigint")
+    b = real.withColumn("_bucket", F.explode(F.sequence(first, last)))
+    levels = F.broadcast(real.agg(F.collect_set("_level").alias("_levels")))  # one row of small numbers
+    p = probe.crossJoin(levels).withColumn("_level", F.explode("_levels")).drop("_levels")
+    p = p.withColumn("_at", F.floor(F.col(value) / size).cast("bigint")).withColumnRenamed("_level", "_on")
+    cond = (p["_on"] == b["_level"]) & (p["_at"] == b["_bucket"]) & (p[value] >= b[lo]) & (p[value] < b[hi])
+    out = p.join(b, cond, "inner").drop("_on", "_at", "_level", "_bucket")
+    if how == "left":  # whether a probe has a band depends on its value alone
+        without = probe.join(out.select(value).distinct(), value, "left_anti")
+        types = dict(bands.dtypes)
+        out = out.unionByName(without.select(*probe.columns, *[F.lit(None).cast(types[c]).alias(c) for c in bands.columns]))
+    return out
 
 
 def chat_media_totals(chat_media: DataFrame, *, chat_id: str = "chat_id",
@@ -162,8 +154,8 @@ def chat_media_totals(chat_media: DataFrame, *, chat_id: str = "chat_id",
 
 
 def origin_date(chat_media: DataFrame, wall: DataFrame, *, min_year: int = 2025,
-                media_id: int | None = None, posted_between: tuple | None = None,
-                buckets: int | None = None, bucket: str = "hour", sort: bool = True) -> DataFrame:
+                media_id: int | None = None, posted_between: tuple | None = None, sentinel: int = SENTINEL,
+                bucket: str = "hour", sort: bool = True) -> DataFrame:
     """Approximate origin date of each chat video.
 
     ``chat_media``: one row per chat media (``chat_id, author_id, media_id
@@ -183,12 +175,12 @@ def origin_date(chat_media: DataFrame, wall: DataFrame, *, min_year: int = 2025,
     t1 = t1.where(F.col("media_duration") > 0)
     if media_id is not None:
         t1 = t1.where(F.col("media_id") == media_id)
-    bands = daily_id_bands(monotone_ids(wall, bucket=bucket))
+    bands = daily_id_bands(monotone_ids(wall, bucket=bucket, sentinel=sentinel))
     bands = bands.where(F.year("posted_date") >= min_year)
     if posted_between is not None:
         bands = bands.where(F.col("posted_date").between(*posted_between))
     bands = merge_bands_by_date(bands.select("posted_date", "first_media_id_v2", "last_media_id_v2"))
-    j = range_join(t1, bands, buckets=buckets)
+    j = range_join(t1, bands)
     j = j.withColumn("duration_ratio", round_ratio(F.col("media_duration"), F.col("tot_duration_per_msg")))
     top = keep_first(j, ["author_id", "media_id"],
                      [desc("created_date"), desc("chat_id"), desc("created_ts"), desc("posted_date"),
@@ -237,11 +229,12 @@ def asof_band(chat_media: DataFrame, wall: DataFrame, *, by: str = "author_id",
     Written as an as-of join: the wall rows get their band end from
     ``lead_per_author``; wall and chat rows are unioned, partitioned by
     (author, id bucket), and the last wall band at or before each chat id is
-    carried forward inside the bucket; a small per-(author, bucket) summary
+    carried forward inside the bucket (rows without an id lie in no band); a small per-(author, bucket) summary
     supplies the band that is open when a bucket starts.  No pairs are
     enumerated and no author is held by a single task.  The newest band of an
     author is open-ended.
     """
+    wall, chat_media = wall.where(F.col(value).isNotNull()), chat_media.where(F.col(value).isNotNull())
     stats = _id_stats(wall, chat_media, value=value)
     bands = lead_per_author(wall, by=by, value=value, carry=(), buckets=buckets)
     band = F.struct(F.col(value).alias("band_from"), F.col(f"next_{value}").alias("band_to"),

@@ -46,7 +46,7 @@ def run_load(store: DimensionStore, chat: DataFrame, run_ts: dt.datetime, *, run
     dimension version, or ``None`` when the batch was empty (an empty batch
     would clear every delete flag, so it is skipped)."""
     dim = store.current()
-    seen = store.dim.time_range()
+    seen = store.dim.time_range(ts_col="valid_from_ts")
     batch = build_source_batch(chat, dim, run_ts, guard_days=guard_days, chat_id=chat_id, created=created,
                                known_range=seen)
     bv = store.batches.publish(batch)

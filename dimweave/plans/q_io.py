@@ -54,16 +54,15 @@ def src_schema_from_sample(spark, sf):
     return jp.flat_chat_view(jp.read_pages(spark, path, pinned))
 
 
-@query("src_conform_to_target", with_views("""
-select chat_id, fromUser.id as author_id, price, created_ts, cast(null as int) as media_count from v_chat"""))
+@query("src_conform_to_target", with_views(FLAT_V_CHAT))
 def src_conform_to_target(spark, sf):
-    """Pages carrying an extra field, read with an inferred schema, projected onto the target."""
+    """Pages carrying extra fields, read with the schema saved from a sample, projected onto the target."""
     path = _pages(spark, sf, "conform", extra={"files": "null", "isMarkdownDisabled": "true"})
-    raw = spark.read.json(path)
-    staged = jp.conform_to_target(raw, CHAT_PAGE_SCHEMA)
-    return staged.select(F.col("id").alias("chat_id"), F.col("fromUser.id").alias("author_id"), "price",
-                         F.col("createdAt").cast("timestamp_ntz").alias("created_ts"),
-                         F.col("mediaCount").alias("media_count"))
+    first_day = fx.v_chat(spark, sf).agg(F.min(F.to_date("created_ts"))).first()[0]
+    sample = jp.schema_from_sample(spark, f"{path}/page_date={first_day}", declared={"media": T.ArrayType(T.StringType())})
+    jp.save_schema(spark, sample, saved := work_dir(spark, "conform-schema"))
+    staged = jp.conform_to_target(jp.read_pages(spark, path, jp.load_schema(spark, saved)), CHAT_PAGE_SCHEMA)
+    return jp.flat_chat_view(staged)
 
 
 @query("src_page_envelope", with_views("""
@@ -120,7 +119,7 @@ def stream_ingest_pages(spark, sf):
     path = _pages(spark, sf, "stream-pages")
     root = work_dir(spark, "stream")
     store = DimensionStore(spark, f"{root}/store")
-    ingest_pages(spark, path, store, f"{root}/staging", f"{root}/_checkpoint", RUN_2)
+    ingest_pages(spark, path, store, f"{root}/staging", f"{root}/_checkpoint", RUN_2, max_files_per_trigger=20, apply_dimension=False)
     return jp.flat_chat_view(read_staging(spark, f"{root}/staging"))
 
 
@@ -184,6 +183,17 @@ def scd2_full_run(spark, sf):
     return store.current()
 
 
+@query("stream_ingest_dimension", with_views("select * from n_result", {
+    **EMPTY_DIM_SQL, **_batch_ctes("n_", "v_chat", "empty_dim", "2024-02-01 00:00:00"), **apply_ctes("n_", "empty_dim", "n_batch")}))
+def stream_ingest_dimension(spark, sf):
+    """The dimension after a streamed run of many micro-batches: one apply of the whole run."""
+    path = _pages(spark, sf, "stream-dim-pages")
+    root = work_dir(spark, "stream-dim")
+    store = DimensionStore(spark, f"{root}/store")
+    ingest_pages(spark, path, store, f"{root}/staging", f"{root}/_checkpoint", RUN_2, max_files_per_trigger=20)
+    return store.current()
+
+
 _MERGE_TGT = {
     "m_tgt": f"select {LEGACY_COLS} from v_dim where cast(author_id as int) % 10 <> 2",
 }
@@ -259,3 +269,19 @@ def src_reject_null_keys(spark, sf):
         "media_id", F.when(F.col("media_duration") == 0, F.lit(None)).otherwise(F.col("media_id")))
     accepted, _rejected = split_null_keys(v)
     return accepted
+
+
+@query("src_rejected_rows", with_views("""
+select author_id, media_id, media_duration, media_blob, valid_from_ts, checksum,
+       case when author_id is null and media_id is null then 'author_id, media_id'
+            when author_id is null then 'author_id' else 'media_id' end as null_columns
+from (select author_id, case when media_duration = 0 then null else media_id end as media_id,
+             media_duration, media_blob, valid_from_ts, checksum from v_versions) z
+where author_id is null or media_id is null"""))
+def src_rejected_rows(spark, sf):
+    """The reject output: rows with a null key part and the columns that are null."""
+    v = fx.v_versions(spark, sf).withColumn(
+        "media_id", F.when(F.col("media_duration") == 0, F.lit(None)).otherwise(F.col("media_id")))
+    _accepted, rejected = split_null_keys(v)
+    return rejected.select("author_id", "media_id", "media_duration", "media_blob", "valid_from_ts", "checksum",
+                           F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in ("author_id", "media_id")]).alias("null_columns"))

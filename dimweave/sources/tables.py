@@ -10,6 +10,7 @@ A written version also cuts the lineage of the plan that produced it.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -17,11 +18,11 @@ from ..operators.incremental import outside_seen_range
 from ..session import path_exists
 
 LOG_SCHEMA = ("version bigint, committed_at timestamp_ntz, n_rows bigint, tag string, "
-              "min_ts timestamp_ntz, max_ts timestamp_ntz")
+              "min_ts timestamp_ntz, max_ts timestamp_ntz, folder string")
 
 
 class VersionedTable:
-    """A parquet table with immutable versions ``v=NNNNNN`` and an append-only commit log."""
+    """A parquet table with immutable versions ``v=NNNNNN-<attempt>`` and an append-only commit log."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
@@ -59,19 +60,41 @@ class VersionedTable:
         """Row count of a committed version, from the commit log."""
         return int(self._entry(version)["n_rows"])
 
-    def time_range(self, version: int | None = None):
-        """(min, max) of the version's ``ts_col`` recorded at publish time, or (None, None)."""
+    def time_range(self, version: int | None = None, ts_col: str | None = None):
+        """(min, max) of a version's times, or (None, None) if it has none.
+
+        Taken from the commit log; a version published without its ``ts_col``
+        is scanned instead (``ts_col`` must then be given).
+        """
         e = self.latest() if version is None else self._entry(version)
-        if e is None:
+        if e is None or not e["n_rows"]:
             return None, None
+        if e["min_ts"] is None:
+            if ts_col is None:
+                raise ValueError(f"version {e['version']} was published without its time range; pass ts_col to scan it")
+            t = F.col(ts_col).cast("timestamp_ntz")
+            return tuple(self.read(int(e["version"])).agg(F.min(t), F.max(t)).first())
         return e["min_ts"], e["max_ts"]
 
-    def has_tag(self, tag: str) -> bool:
+    def tagged(self, tag: str) -> int | None:
+        """The committed version with this tag, if any."""
         log = self._log()
-        return log is not None and not log.where(F.col("tag") == tag).isEmpty()
+        row = None if log is None else log.where(F.col("tag") == tag).agg(F.max("version")).first()
+        return None if row is None else row[0]
+
+    def has_tag(self, tag: str) -> bool:
+        return self.tagged(tag) is not None
+
+    def _claim(self, version: int) -> None:
+        """Reserve a version number at commit; the mark is created without overwrite, so of two writers one fails."""
+        jvm = self.spark.sparkContext._jvm
+        mark = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_claims/{version:06d}")
+        fs = mark.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.createNewFile(mark):
+            raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
 
     def version_path(self, version: int) -> str:
-        return f"{self.path}/v={version:06d}"
+        return f"{self.path}/{self._entry(version)['folder']}"
 
     def read(self, version: int | None = None, schema: T.StructType | None = None) -> DataFrame | None:
         v = self.current_version() if version is None else version
@@ -92,16 +115,18 @@ class VersionedTable:
         metrics = [F.count(F.lit(1)).alias("n")]
         if ts_col:
             metrics += [F.min(ts_col).cast("timestamp_ntz").alias("lo"), F.max(ts_col).cast("timestamp_ntz").alias("hi")]
-        w = df.observe(obs, *metrics).write.mode("overwrite")
+        folder = f"v={v:06d}-{uuid.uuid4().hex[:12]}"  # no attempt writes into another's folder
+        w = df.observe(obs, *metrics).write
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self.version_path(v))
+        w.parquet(f"{self.path}/{folder}")
         got = obs.get
         n = got["n"]
-        row = (v, dt.datetime.now(), n, tag, got.get("lo"), got.get("hi"))
+        row = (v, dt.datetime.now(), n, tag, got.get("lo"), got.get("hi"), folder)
+        self._claim(v)
         commit = self.spark.createDataFrame([row], LOG_SCHEMA)
         commit.coalesce(1).write.mode("append").parquet(self.log_path)
-        self._entries[v] = dict(zip(["version", "committed_at", "n_rows", "tag", "min_ts", "max_ts"], row))
+        self._entries[v] = dict(zip(["version", "committed_at", "n_rows", "tag", "min_ts", "max_ts", "folder"], row))
         return v
 
 
@@ -111,14 +136,8 @@ def append_snapshot(history_path: str, dim: DataFrame, run_id: int) -> None:
     Dynamic partition overwrite makes a retried run replace its own snapshot
     instead of adding a second copy.
     """
-    spark = dim.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (dim.withColumn("run_id", F.lit(int(run_id)).cast("bigint"))
-            .write.mode("overwrite").partitionBy("run_id").parquet(history_path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (dim.withColumn("run_id", F.lit(int(run_id)).cast("bigint"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(history_path))
 
 
 def read_history(spark: SparkSession, history_path: str) -> DataFrame:

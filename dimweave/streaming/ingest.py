@@ -1,17 +1,18 @@
 """Streaming ingest of JSON chat pages into staging and the type 2 dimension.
 
-``readStream`` over a folder of pages (fixed schema) -> ``foreachBatch``:
-append the rows outside the staging table's range to staging, build the
-source batch against the current dimension, apply it, publish the new
-dimension version and its history snapshot.
-
-* The staging range is frozen when the run starts, not re-read after each
-  page: with a newest-first feed the second page would otherwise fall inside
-  the range just loaded and be dropped.
-* Every micro-batch is idempotent: staging rows are written to a partition
-  of their batch id (dynamic overwrite), and a dimension version is tagged
-  with the batch id, so a batch re-run after a failure replaces its own
-  output instead of doubling it.
+``foreachBatch`` only stages: the rows outside the staging table's range go to
+a folder of their own per run and micro-batch.  When the pages are drained,
+the source batch of the whole run is built and applied to the dimension once.
+
+* A run is recorded before its stream starts, with the time ranges that
+  staging and the dimension hold at that moment.  A run that dies is resumed
+  under the same id and ranges, so nothing it staged itself shuts out its
+  later pages, and a newest-first feed keeps its older pages.
+* Every step may be repeated: a micro-batch overwrites its own folder, a
+  dimension version is tagged with the run id, and a snapshot that a crash
+  left out is written when the run is resumed.
+* How files fall into micro-batches does not reach the dimension, since only
+  the whole run is applied.
 * ``trigger(availableNow=True)`` drains what is there and stops, which
   replaces the feed's own stop rule (no more pages / nothing inserted).
 """
@@ -19,6 +20,7 @@ dimension version and its history snapshot.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -30,68 +32,104 @@ from ..schemas import CHAT_PAGE_SCHEMA, DIM_SCHEMA, conform_dim
 from ..session import path_exists
 from ..sources.tables import append_snapshot
 
+RUN_SCHEMA = ("run_id string, checkpoint string, state string, noted_at timestamp_ntz, lo timestamp_ntz, hi timestamp_ntz, "
+              "dim_lo timestamp_ntz, dim_hi timestamp_ntz")
+
+
+def _batches_path(staging_path: str) -> str:
+    return f"{staging_path.rstrip('/')}/pages"
+
+
+def _runs_path(staging_path: str) -> str:
+    return f"{staging_path.rstrip('/')}/runs"
+
 
-def _frozen_range(spark: SparkSession, staging_path: str, schema: T.StructType, ts: str):
-    """(lo, hi) of the staging table's times at the start of the run (two scalars)."""
-    if not path_exists(spark, staging_path):
-        return None, None
-    cur = spark.read.schema(schema).parquet(staging_path)
-    row = cur.agg(F.min(F.col(ts).cast("timestamp_ntz")), F.max(F.col(ts).cast("timestamp_ntz"))).first()
-    return row[0], row[1]
+def _note(spark: SparkSession, staging_path: str, row: tuple) -> None:
+    spark.createDataFrame([row], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(_runs_path(staging_path))
+
+
+def _open_run(spark: SparkSession, staging_path: str, checkpoint: str) -> dict | None:
+    """The run of this checkpoint that was begun and not finished, if any."""
+    path = _runs_path(staging_path)
+    if not path_exists(spark, path):
+        return None
+    runs = spark.read.schema(RUN_SCHEMA).parquet(path).where(F.col("checkpoint") == checkpoint)
+    last = runs.orderBy(F.col("noted_at").desc(), F.col("state").asc()).first()
+    return last.asDict() if last is not None and last["state"] == "open" else None
+
+
+def read_staging(spark: SparkSession, staging_path: str, schema: T.StructType = CHAT_PAGE_SCHEMA) -> DataFrame:
+    """All staged rows of all runs."""
+    path = _batches_path(staging_path)
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
 def ingest_pages(spark: SparkSession, pages_dir: str, store: DimensionStore, staging_path: str,
                  checkpoint: str, run_ts: dt.datetime, *, schema: T.StructType = CHAT_PAGE_SCHEMA,
                  ts: str = "createdAt", max_files_per_trigger: int | None = None,
-                 apply_dimension: bool = True) -> dict:
-    """Drain the pages folder once; returns per-run counters."""
-    lo, hi = _frozen_range(spark, staging_path, schema, ts)
-    run = lit_ts(run_ts)
-    lo_c = F.lit(lo).cast("timestamp_ntz") if lo is not None else plus_days(run, 1)
-    hi_c = F.lit(hi).cast("timestamp_ntz") if hi is not None else minus_years(run, 99)
-    stats = {"batches": 0, "inserted": 0, "versions": []}
-
-    reader = spark.readStream.schema(schema).option("multiLine", False)
+                 apply_dimension: bool = True, multi_line: bool = False, envelope: bool = False) -> dict:
+    """Drain the pages folder once; returns per-run counters.
+
+    ``multi_line`` reads indented page files, ``envelope`` pages of the form
+    ``{"list": [...], "hasMore": ..}``.
+    """
+    run = _open_run(spark, staging_path, checkpoint)
+    if run is None:
+        t = F.col(ts).cast("timestamp_ntz")
+        lo, hi = read_staging(spark, staging_path, schema).agg(F.min(t), F.max(t)).first()
+        dim_lo, dim_hi = store.dim.time_range(ts_col="valid_from_ts")
+        run = dict(run_id=uuid.uuid4().hex, checkpoint=checkpoint, state="open", noted_at=dt.datetime.now(), lo=lo, hi=hi, dim_lo=dim_lo, dim_hi=dim_hi)
+        _note(spark, staging_path, tuple(run.values()))
+    now = lit_ts(run_ts)
+    lo_c = F.lit(run["lo"]).cast("timestamp_ntz") if run["lo"] is not None else plus_days(now, 1)
+    hi_c = F.lit(run["hi"]).cast("timestamp_ntz") if run["hi"] is not None else minus_years(now, 99)
+    run_path = f"{_batches_path(staging_path)}/run={run['run_id']}"
+    stats = {"run_id": run["run_id"], "batches": 0, "inserted": 0, "versions": []}
+
+    page = T.StructType([T.StructField("list", T.ArrayType(schema)), T.StructField("hasMore", T.BooleanType())]) if envelope else schema
+    reader = spark.readStream.schema(page).option("multiLine", multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     pages = reader.json(pages_dir)
+    if envelope:
+        pages = pages.select(F.explode("list").alias("_r")).select("_r.*")
 
-    def per_batch(df: DataFrame, batch_id: int) -> None:
+    def stage(df: DataFrame, batch_id: int) -> None:
         t = F.col(ts).cast("timestamp_ntz")
         rows = df.where((t < lo_c) | (t > hi_c))
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            (rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-                 .withColumn("_batch_id", F.lit(int(batch_id)).cast("bigint"))
-                 .write.mode("overwrite").partitionBy("_batch_id").parquet(staging_path))
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        staged = spark.read.parquet(f"{staging_path}/_batch_id={int(batch_id)}")
-        n = staged.count()
+        (rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+             .write.mode("overwrite").parquet(f"{run_path}/batch={int(batch_id)}"))
         stats["batches"] += 1
-        stats["inserted"] += n
-        tag = f"stream-batch-{batch_id}"
-        if not apply_dimension or n == 0 or store.dim.has_tag(tag):
-            return
-        dim = store.current()
-        seen = store.dim.time_range()
-        batch = build_source_batch(staged, dim, run_ts, chat_id="id", created=ts, known_range=seen)
-        bv = store.batches.publish(batch, tag=tag)
-        n_batch = store.batches.rows(bv)
-        if n_batch == 0:
-            return
-        new_dim = clustered(conform_dim(apply_batch(dim, store.batches.read(bv), batch_rows=n_batch)))
-        v = store.dim.publish(new_dim, tag=tag, ts_col="valid_from_ts")
-        append_snapshot(store.history_path, store.dim.read(v, schema=DIM_SCHEMA), v)
-        stats["versions"].append(v)
 
-    q = (pages.writeStream.foreachBatch(per_batch)
+    q = (pages.writeStream.foreachBatch(stage)
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+    if path_exists(spark, run_path):
+        staged = spark.read.schema(schema).parquet(run_path)
+        stats["inserted"] = staged.count()
+        if apply_dimension and stats["inserted"]:
+            version = _apply_run(store, staged, run, run_ts, ts)
+            if version is not None:
+                stats["versions"].append(version)
+    _note(spark, staging_path, (run["run_id"], checkpoint, "done", dt.datetime.now(), run["lo"], run["hi"], run["dim_lo"], run["dim_hi"]))
     return stats
 
 
-def read_staging(spark: SparkSession, staging_path: str) -> DataFrame:
-    return spark.read.parquet(staging_path)
+def _apply_run(store: DimensionStore, staged: DataFrame, run: dict, run_ts: dt.datetime, ts: str) -> int | None:
+    """Apply a run's staged rows to the dimension once; a repeated call completes what is missing."""
+    tag = f"stream-run-{run['run_id']}"
+    version = store.dim.tagged(tag)
+    if version is None:
+        dim = store.current()
+        batch = build_source_batch(staged, dim, run_ts, chat_id="id", created=ts, known_range=(run["dim_lo"], run["dim_hi"]))
+        bv = store.batches.publish(batch, tag=tag)
+        n_batch = store.batches.rows(bv)
+        if n_batch == 0:
+            return None
+        new_dim = clustered(conform_dim(apply_batch(dim, store.batches.read(bv), batch_rows=n_batch)))
+        version = store.dim.publish(new_dim, tag=tag, ts_col="valid_from_ts")
+    if not path_exists(store.spark, f"{store.history_path}/run_id={version}"):
+        append_snapshot(store.history_path, store.dim.read(version, schema=DIM_SCHEMA), version)
+    return version

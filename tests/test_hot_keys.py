@@ -69,15 +69,12 @@ def test_bucketed_range_join_equals_nested_loop(spark):
     chat = fx.v_ochat(spark, SF_SMALL).select("chat_id", "author_id", "media_id")
     bands = og.daily_id_bands(og.monotone_ids(fx.v_wall(spark, SF_SMALL))).withColumnRenamed(
         "author_id", "band_author_id")
-    got = og.range_join(chat, bands, buckets=7)
+    got = og.range_join(chat, bands)
     cond = (chat["media_id"] >= bands["first_media_id_v2"]) & (chat["media_id"] < bands["last_media_id_v2"])
     want = chat.join(bands, cond, "inner")
     cols = ["chat_id", "media_id", "band_author_id", "posted_date"]
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
     assert got.count() == want.count()
-    auto = og.range_join(chat, bands)          # median band width
-    assert auto.select(cols).exceptAll(want.select(cols)).count() == 0
-    assert auto.count() == want.count()
     left = og.range_join(chat, bands, how="left")
     assert left.where(F.col("posted_date").isNull()).count() == chat.join(want.select("chat_id", "media_id"),
                                                                         ["chat_id", "media_id"], "left_anti").count()
@@ -93,3 +90,27 @@ def test_lead_per_author_lexical_ids(spark):
     cols = ["post_id", "media_id", "next_media_id", "next_posted_ts"]
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
     assert got.count() == want.count()
+
+
+def test_range_join_with_empty_and_very_wide_bands(spark):
+    """80 % empty bands and one over 6e9 ids: the band side at most doubles."""
+    bands = spark.createDataFrame([(i, 1000 * i, 1000 * i) for i in range(40)] + [(100 + i, 1000 * i, 1000 * i + 7) for i in range(10)]
+                                  + [(999, 0, 6_000_000_000)], "band int, first_media_id_v2 bigint, last_media_id_v2 bigint")
+    probe = spark.createDataFrame([(3003,), (9006,), (9007,), (5_999_999_999,), (6_000_000_000,), (None,)], "media_id bigint")
+    got = sorted((r.media_id, r.band) for r in og.range_join(probe, bands).collect())
+    assert got == [(3003, 103), (3003, 999), (9006, 109), (9006, 999), (9007, 999), (5_999_999_999, 999)]
+    left = og.range_join(probe, bands, how="left").where("band is null").collect()
+    assert sorted((r.media_id for r in left), key=str) == [6_000_000_000, None]
+
+
+def test_rows_without_author_or_id(spark):
+    """A null author is a chain of its own; a null media id lies in no band; equal wall rows get one successor."""
+    import datetime as dt
+    t = [dt.datetime(2025, 1, 1, 0, i) for i in range(3)]
+    wall = spark.createDataFrame([(None, 1, 10, t[0]), (None, 2, 20, t[1]), ("a", 3, 30, t[2])],
+                                 "author_id string, post_id bigint, media_id bigint, posted_ts timestamp_ntz")
+    assert sorted((r.post_id, r.next_media_id) for r in og.lead_per_author(wall).collect()) == [(1, 20), (2, None), (3, None)]
+    chat = spark.createDataFrame([(1, "a", 31), (2, "a", None)], "chat_id bigint, author_id string, media_id bigint")
+    assert [r.chat_id for r in og.asof_band(chat, wall).collect()] == [1]
+    twice = spark.createDataFrame([("a", 1, 10, t[0]), ("a", 1, 10, t[0]), ("a", 2, 20, t[1])], wall.schema)
+    assert sorted(r.next_media_id_v2 for r in og.monotone_ids(twice).collect()) == [10, 20, og.SENTINEL]

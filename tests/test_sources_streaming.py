@@ -4,6 +4,7 @@ streaming ingest."""
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F, types as T
 
 from dimweave.plans import fixtures as fx
@@ -11,7 +12,8 @@ from dimweave.plans.load import DimensionStore, run_load
 from dimweave.schemas import CHAT_PAGE_SCHEMA
 from dimweave.session import local_path, work_dir
 from dimweave.sources import json_pages as jp
-from dimweave.streaming.ingest import ingest_pages
+from dimweave.sources.tables import VersionedTable
+from dimweave.streaming.ingest import ingest_pages, read_staging
 
 from conftest import SF_SMALL
 
@@ -80,18 +82,94 @@ def test_stream_matches_batch_run(spark):
     root = work_dir(spark, "t-stream")
     store = DimensionStore(spark, f"{root}/store")
     run_ts = dt.datetime(2024, 2, 1)
-    stats = ingest_pages(spark, path, store, f"{root}/staging", f"{root}/_ckpt", run_ts)
+    stats = ingest_pages(spark, path, store, f"{root}/staging", f"{root}/_ckpt", run_ts, max_files_per_trigger=20)
+    assert stats["batches"] > 1
     assert stats["inserted"] == chat.where(F.col("created_ts").isNotNull()).count()
     ref = DimensionStore(spark, work_dir(spark, "t-batch"))
     run_load(ref, chat, run_ts, run_id=1, history=False)
-    if stats["batches"] == 1:
-        a, b = store.current(), ref.current()
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    a, b = store.current(), ref.current()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     # re-running the drained stream adds nothing
     again = ingest_pages(spark, path, store, f"{root}/staging", f"{root}/_ckpt", run_ts)
     assert again["inserted"] == 0
 
 
+def _page(folder, name, days, **kw):
+    rows = [{"id": 100 + d, "fromUser": {"id": "9"}, "media": [{"id": str(d), "duration": 5}], "createdAt": f"2025-01-{d:02d} 10:00:00",
+             "price": 1.0} for d in days]
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(json.dumps({"list": rows, "hasMore": True} if kw.get("envelope") else rows, indent=kw.get("indent")))
+
+
+def _days(frame, column):
+    return sorted(r[0].day for r in frame.select(F.col(column).cast("timestamp_ntz")).collect())
+
+
+def test_stream_keeps_every_batch_and_run(spark, tmp_path):
+    """Newest-first pages, two folders with checkpoints of their own, nothing new, indented pages and envelopes."""
+    store, run_ts = DimensionStore(spark, work_dir(spark, "t-keep")), dt.datetime(2025, 2, 1)
+    staging, root = work_dir(spark, "t-keep-staging"), work_dir(spark, "t-keep-ck")
+    first = tmp_path / "a"
+    _page(first, "1.json", [20], indent=1)
+    _page(first, "2.json", [9, 15], indent=1)
+    got = ingest_pages(spark, str(first), store, staging, f"{root}/a", run_ts, max_files_per_trigger=1, multi_line=True)
+    assert (got["batches"], got["inserted"]) == (2, 3)
+    again = ingest_pages(spark, str(first), store, staging, f"{root}/a", run_ts, multi_line=True)
+    assert again["inserted"] == 0 and not again["versions"]
+    second = tmp_path / "b"
+    _page(second, "1.json", [25, 12], envelope=True)  # the 12th lies inside the loaded range
+    _page(second, "2.json", [3], envelope=True)
+    got = ingest_pages(spark, str(second), store, staging, f"{root}/b", run_ts, max_files_per_trigger=1, envelope=True)
+    assert got["inserted"] == 2
+    assert _days(read_staging(spark, staging), "createdAt") == [3, 9, 15, 20, 25]
+    assert _days(store.current(), "valid_from_ts") == [3, 9, 15, 20, 25]
+    third = tmp_path / "c"
+    _page(third, "1.json", [10])
+    assert ingest_pages(spark, str(third), store, staging, f"{root}/c", run_ts)["inserted"] == 0
+
+
+def test_stream_resumes_a_broken_run(spark, tmp_path, monkeypatch):
+    """A run that dies after its first batch goes on under the same ranges; one that dies before its snapshot writes it later."""
+    from dimweave.streaming import ingest as ing
+
+    store, run_ts = DimensionStore(spark, work_dir(spark, "t-crash")), dt.datetime(2025, 2, 1)
+    staging, ck = work_dir(spark, "t-crash-staging"), work_dir(spark, "t-crash-ck")
+    folder = tmp_path / "p"
+    _page(folder, "1.json", [9, 1])
+    calls = []
+
+    def broken(*a, **k):
+        calls.append(1)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(ing, "_apply_run", broken)
+        with pytest.raises(RuntimeError):
+            ingest_pages(spark, str(folder), store, staging, ck, run_ts)
+    _page(folder, "2.json", [5, 20])
+    with monkeypatch.context() as m:
+        m.setattr(ing, "append_snapshot", broken)
+        with pytest.raises(RuntimeError):
+            ingest_pages(spark, str(folder), store, staging, ck, run_ts)
+    got = ingest_pages(spark, str(folder), store, staging, ck, run_ts)
+    assert got["inserted"] == 4 and len(got["versions"]) == 1
+    assert _days(store.current(), "valid_from_ts") == [1, 5, 9, 20]
+    assert spark.read.parquet(store.history_path).select("run_id").distinct().count() == 1
+
+
+def test_time_range_is_scanned_when_not_recorded(spark):
+    t = VersionedTable(spark, work_dir(spark, "t-range"))
+    rows = spark.createDataFrame([(dt.datetime(2025, 1, 2),)], "valid_from_ts timestamp_ntz")
+    t.publish(rows)
+    assert t.time_range(ts_col="valid_from_ts") == (dt.datetime(2025, 1, 2), dt.datetime(2025, 1, 2))
+    with pytest.raises(ValueError):
+        t.time_range()
+    other = VersionedTable(spark, t.path)
+    other._claim(2)  # a second writer has committed version 2 meanwhile
+    with pytest.raises(RuntimeError):
+        t.publish(rows)
+
+
 def test_work_dir_under_checkpoint(spark):
     d = work_dir(spark, "x")
     root = spark.sparkContext.getCheckpointDir()
