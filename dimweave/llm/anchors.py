@@ -9,24 +9,28 @@ picked it: each window of the corpus lies in one segment, and equal windows
 lie in segments of the same anchor.  An index over whole anchor groups sees
 every pair of equal windows, whatever the number of indexes.
 
-An anchor that picks up more than ``HOT`` segments is not gathered.  Its
-windows are counted one by one by a 128-bit content hash instead: partial sums
-before the shuffle, and no group in one task.
+Equal segments collapse to one text with its number of copies before they
+travel.  An anchor picked by more than ``HOT`` segments is not gathered: the
+windows of its distinct segments are counted one by one by a 128-bit content
+hash, with partial sums before the shuffle and no group in one task.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .common import byte_rows, stored, with_row_id
 
-#: Segments of one anchor that an index may gather.
-HOT = 2000
+#: Segments of one anchor that an index may gather: with twice the width each,
+#: some MB of text and about a hundred bytes of index per byte of it.
+HOT = 5000
 #: Bytes handled at once; also keeps places within 24 bits.
 PIECE = 1 << 21
 #: Bytes of distinct segments put into one index, but for a last whole anchor group.
@@ -152,6 +156,20 @@ def anchor_rows(docs: DataFrame, width: int, gram: int, symbols: Callable) -> Da
     return docs.mapInArrow(run, "_anchor long, _rid long, _first int, _windows int")
 
 
+def squeezed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_text`` as zstd bytes (null: empty), for shuffles that carry whole texts."""
+    types = dict(docs.dtypes)
+    at = docs.columns.index("_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for b in batches:
+            texts = b.column("_text").cast(pa.large_binary()).to_pylist()
+            yield b.set_column(at, "_text", pa.array([squeeze(t or b"") for t in texts], pa.binary()))
+
+    return docs.mapInArrow(run, ", ".join(f"{c} {'binary' if c == '_text' else types[c]}" for c in docs.columns))
+
+
 def repeated_places(docs: DataFrame, width: int, gram: int, symbols: Callable, cut: Callable, index: Callable, name: str) -> tuple[DataFrame, DataFrame]:
     """``(docs, places)``: the documents with ``_rid``, and ``_rid, _first, _count`` runs of window starts whose window occurs elsewhere.
 
@@ -164,80 +182,83 @@ def repeated_places(docs: DataFrame, width: int, gram: int, symbols: Callable, c
     often = anchors.groupBy("_anchor").agg(F.count("*").alias("_n")).where("_n > 1")
     chosen = anchors.join(often, "_anchor").groupBy("_rid").agg(
         F.array_sort(F.collect_list(F.struct("_first", "_windows", "_anchor", (F.col("_n") > HOT).alias("_hot")))).alias("_picks"))
-    with_text = thin.join(chosen, "_rid")  # a document's own anchors: as long as its text at most
+    with_text = squeezed(thin).join(chosen, "_rid")  # a document's own anchors: as long as its text at most
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rids = b.column("_rid").to_numpy(zero_copy_only=False)
-            texts = b.column("_text").cast(pa.large_binary()).fill_null(b"")
-            lists = b.column("_picks")
+            texts, lists = b.column("_text"), b.column("_picks")
             picks = lists.flatten()
             ends = np.cumsum(np.append(0, lists.value_lengths().to_numpy(zero_copy_only=False)))
-            first, windows, anchor, hot = (picks.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-            for r in range(len(rids)):
-                text, lo, hi = texts[r].as_py(), ends[r], ends[r + 1]
-                cold = np.flatnonzero(~hot[lo:hi]) + lo
-                got = [(anchor[cold], np.full(len(cold), rids[r]), first[cold], windows[cold], list(cut(text, first[cold], windows[cold])), np.zeros(len(cold), np.int64))]
-                if len(cold) < hi - lo:
-                    warm = np.flatnonzero(hot[lo:hi]) + lo
-                    data = np.frombuffer(text, np.uint8)
-                    s, _ = symbols(data, np.array([0, len(data)]))
-                    at = np.concatenate([np.arange(f, f + w) for f, w in zip(first[warm], windows[warm])])
-                    one, two = (gram_hash(prefix_hash(s, k), at, at + width, k).view(np.int64) for k in (0, 1))
-                    got.append((one, np.full(len(at), rids[r]), at, np.ones(len(at), np.int64), [None] * len(at), two))
-                for a, i, f, w, seg, two in got:
-                    if len(a):
-                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(i), pa.array(f.astype(np.int32)), pa.array(w.astype(np.int32)), pa.array(seg, pa.binary()), pa.array(two)],
-                                                         ["_anchor", "_rid", "_first", "_windows", "_segment", "_second"])
-
-    segments = stored(with_text.mapInArrow(cut_out, "_anchor long, _rid long, _first int, _windows int, _segment binary, _second long"), name)
+            first, windows = (picks.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            expand = zstandard.ZstdDecompressor().decompress
+            lo = 0
+            while lo < len(rids):  # some documents at a time
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + 4000, side="right")) - 1)
+                found = [seg for r in range(lo, hi) for seg in cut(expand(texts[r].as_py()), first[ends[r]:ends[r + 1]], windows[ends[r]:ends[r + 1]])]
+                at = slice(int(ends[lo]), int(ends[hi]))
+                keys = [hashlib.blake2b(x, digest_size=16).digest() for x in found]
+                yield pa.RecordBatch.from_arrays(
+                    [picks.field(2)[at], picks.field(3)[at], pa.array(np.repeat(rids[lo:hi], np.diff(ends[lo:hi + 1]))), pa.array(first[at]), pa.array(windows[at]), pa.array(keys, pa.binary()), pa.array(found, pa.binary())],
+                    ["_anchor", "_hot", "_rid", "_first", "_windows", "_key", "_segment"])
+                lo = hi
+
+    segments = stored(with_text.mapInArrow(cut_out, "_anchor long, _hot boolean, _rid long, _first int, _windows int, _key binary, _segment binary"), name)
+    texts = segments.groupBy("_anchor", "_hot", "_key", "_segment").agg(F.max("_windows").alias("_windows"), F.count("*").alias("_copies"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Gathers whole anchor groups up to ``SHARD`` bytes of distinct segments per index.
+        """Gathers whole anchor groups up to ``SHARD`` bytes of segments per index.
 
-        Equal segments are held once with their copies.  A group that is one
-        text needs no index: its windows differ from each other (they would
-        pick different anchors), so they repeat if the text has copies.
+        A group that is one text needs no index: its windows differ from each
+        other (they would pick different anchors), so they repeat if the text
+        has copies.
         """
-        groups: dict = {}  # (anchor, segment) -> its members
-        held, last = 0, None
+        held: list = []
+        size, last = 0, None
 
         def answer():
-            texts = Counter(a for a, _ in groups)
-            keys = [k for k in groups if texts[k[0]] > 1]
-            found = index([(k[1], groups[k][0][2], len(groups[k])) for k in keys]) if keys else []
-            alone = [k for k in groups if texts[k[0]] == 1 and len(groups[k]) > 1]
-            keys, found = keys + alone, [*found, *(np.ones(groups[k][0][2], bool) for k in alone)]
-            rid, first, count = [], [], []
-            for k, hit in zip(keys, found):
+            of = Counter(x[0] for x in held)
+            many = [x for x in held if of[x[0]] > 1]
+            hits = index([(x[2], x[3], x[4]) for x in many]) if many else []
+            alone = [x for x in held if of[x[0]] == 1 and x[4] > 1]
+            out = []
+            for x, hit in zip(many + alone, [*hits, *(np.ones(x[3], bool) for x in alone)]):
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
-                for a, e in zip(edge[::2], edge[1::2]):
-                    for r, f, _ in groups[k]:
-                        rid.append(r)
-                        first.append(f + a)
-                        count.append(e - a)
-            return pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(first, pa.int32()), pa.array(count, pa.int32())], ["_rid", "_first", "_count"])
+                out += [(x[0], x[1], int(a), int(e - a)) for a, e in zip(edge[::2], edge[1::2])]
+            columns = list(zip(*out)) or [(), (), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int32(), pa.int32()))], ["_anchor", "_key", "_offset", "_count"])
 
         for b in batches:
-            for a, r, f, w, s in zip(*(b.column(c).to_pylist() for c in ("_anchor", "_rid", "_first", "_windows", "_segment"))):
-                if a != last and held >= SHARD:
+            for x in zip(*(b.column(c).to_pylist() for c in ("_anchor", "_key", "_segment", "_windows", "_copies"))):
+                if x[0] != last and size >= SHARD:
                     yield answer()
-                    groups, held = {}, 0
-                last = a
-                mine = groups.get((a, s))
-                if mine is None:
-                    mine = groups[a, s] = []
-                    held += len(s)
-                mine.append((r, f, w))
-        if groups:
+                    held, size = [], 0
+                last = x[0]
+                held.append(x)
+                size += len(x[2])
+        if held:
             yield answer()
 
-    spread = segments.where("_segment is not null").select("_anchor", "_rid", "_first", "_windows", "_segment").repartition("_anchor").sortWithinPartitions("_anchor", "_rid", "_first")
-    cold = spread.mapInArrow(search, "_rid long, _first int, _count int")
-    single = segments.where("_segment is null").select("_anchor", "_second", "_rid", "_first")
-    twice = single.groupBy("_anchor", "_second").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    hot = single.join(twice, ["_anchor", "_second"]).select("_rid", "_first", F.lit(1).alias("_count"))
-    return docs, cold.unionByName(hot)
-
-
-__all__ = ["HOT", "SHARD", "byte_symbols", "word_symbols", "word_bounds", "pick_anchors", "anchor_rows", "repeated_places", "mix", "prefix_hash", "gram_hash", "powers"]
+    def window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for a, key, seg, w, n in zip(*(b.column(c).to_pylist() for c in ("_anchor", "_key", "_segment", "_windows", "_copies"))):
+                data = np.frombuffer(seg, np.uint8)
+                s, _ = symbols(data, np.array([0, len(data)]))
+                at = np.arange(w)
+                one, two = (pa.array(gram_hash(prefix_hash(s, k), at, at + width, k).view(np.int64)) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(w, a)), pa.array([key] * w, pa.binary()), pa.array(at.astype(np.int32)), one, two, pa.array(np.full(w, n))],
+                                                 ["_anchor", "_key", "_offset", "_one", "_two", "_copies"])
+
+    shape = "_anchor long, _key binary, _offset int"
+    columns = ["_anchor", "_key", "_segment", "_windows", "_copies"]
+    spread = texts.where("not _hot").select(*columns).repartition("_anchor").sortWithinPartitions("_anchor", "_key")
+    cold = spread.mapInArrow(search, f"{shape}, _count int")
+    single = texts.where("_hot").select(*columns).mapInArrow(window_hashes, f"{shape}, _one long, _two long, _copies long")
+    twice = single.groupBy("_one", "_two").agg(F.sum("_copies").alias("_n")).where("_n > 1").drop("_n")
+    hot = single.join(twice, ["_one", "_two"]).select("_anchor", "_key", "_offset", F.lit(1).alias("_count"))
+    members = segments.select("_anchor", "_key", "_rid", "_first")
+    places = members.join(cold.unionByName(hot), ["_anchor", "_key"]).select("_rid", (F.col("_first") + F.col("_offset")).alias("_first"), "_count")
+    return docs, places
+
+
+__all__ = ["HOT", "SHARD", "byte_symbols", "word_symbols", "word_bounds", "pick_anchors", "anchor_rows", "repeated_places", "squeezed", "mix", "prefix_hash", "gram_hash", "powers"]

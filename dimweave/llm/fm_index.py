@@ -21,9 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .anchors import repeated_places, word_symbols
+from .anchors import repeated_places, squeezed, word_symbols
 
 WIDTH = 35
 GRAM = 14
@@ -148,14 +149,15 @@ def remove_repeats(docs: DataFrame, keep: list[str], text: str = "text", width:
     src, places = repeated_places(
         src, width, GRAM, word_symbols, lambda t, f, c: cut_words(t, f, c, width), lambda s: search_segments(s, width), "fm-segments")
     marks = places.groupBy("_rid").agg(F.collect_list(F.struct("_first", "_count")).alias("_runs"))
-    joined = src.join(marks, "_rid", "left").drop("_rid")
+    joined = squeezed(src).join(marks, "_rid", "left").drop("_rid")
     types = dict(src.dtypes)
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor().decompress
         for b in batches:
             total, gone, kept = [], [], []
-            for t, runs in zip(b.column("_text").cast(pa.large_binary()).to_pylist(), b.column("_runs").to_pylist()):
-                words = (t or b"").split()
+            for t, runs in zip(b.column("_text"), b.column("_runs").to_pylist()):
+                words = expand(t.as_py()).split()
                 total.append(len(words))
                 if runs:
                     change = np.zeros(len(words) + 1, np.int32)

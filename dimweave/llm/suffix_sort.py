@@ -24,9 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from .anchors import byte_symbols, gram_hash, prefix_hash, repeated_places
+from .anchors import byte_symbols, gram_hash, prefix_hash, repeated_places, squeezed
 
 WIDTH = 400
 GRAM = 160
@@ -274,26 +275,32 @@ def cut_bytes(text: bytes, firsts: np.ndarray, counts: np.ndarray, width: int =
         yield text[f:f + c + width - 1]
 
 
-def remove_repeats(docs: DataFrame, keep: list[str], text: str = "text", width: int = WIDTH) -> DataFrame:
-    """``keep`` columns, ``n_bytes, n_removed, n_spans, kept`` (binary)."""
+def remove_repeats(docs: DataFrame, keep: list[str], text: str = "text", width: int = WIDTH, as_text: bool = False) -> DataFrame:
+    """``keep`` columns, ``n_bytes, n_removed, n_spans, kept``: binary, or a string without the code points that a cut went through."""
     names = [f"_k{i}" for i in range(len(keep))]
     src = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names)], docs[text].cast("string").alias("_text"))
     src, places = repeated_places(
         src, width, GRAM, byte_symbols, lambda t, f, c: cut_bytes(t, f, c, width), lambda s: search_segments(s, width), "suffix-segments")
     marks = places.groupBy("_rid").agg(F.collect_list(F.struct("_first", "_count")).alias("_runs"))
-    joined = src.join(marks, "_rid", "left").drop("_rid")
+    joined = squeezed(src).join(marks, "_rid", "left").drop("_rid")
     types = dict(src.dtypes)
 
+    kind = pa.string() if as_text else pa.binary()
+
+    def finish(left: bytes):
+        return left.decode("utf-8", "ignore") if as_text else left
+
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor().decompress
         for b in batches:
             total, gone, spans, kept = [], [], [], []
-            for t, runs in zip(b.column("_text").cast(pa.large_binary()).to_pylist(), b.column("_runs").to_pylist()):
-                t = t or b""
+            for t, runs in zip(b.column("_text"), b.column("_runs").to_pylist()):
+                t = expand(t.as_py())
                 total.append(len(t))
                 if not runs:
                     gone.append(0)
                     spans.append(0)
-                    kept.append(t)
+                    kept.append(finish(t))
                     continue
                 change = np.zeros(len(t) + 1, np.int32)
                 for r in runs:
@@ -302,11 +309,11 @@ def remove_repeats(docs: DataFrame, keep: list[str], text: str = "text", width:
                 removed = np.cumsum(change[:-1]) > 0
                 gone.append(int(removed.sum()))
                 spans.append(int(np.count_nonzero(np.diff(np.concatenate([[False], removed]).astype(np.int8)) > 0)))
-                kept.append(np.frombuffer(t, np.uint8)[~removed].tobytes())
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())],
+                kept.append(finish(np.frombuffer(t, np.uint8)[~removed].tobytes()))
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, kind)],
                                              [*names, "n_bytes", "n_removed", "n_spans", "kept"])
 
-    out = joined.mapInArrow(strip, ", ".join(f"{n} {types[n]}" for n in names) + ", n_bytes long, n_removed long, n_spans long, kept binary")
+    out = joined.mapInArrow(strip, ", ".join(f"{n} {types[n]}" for n in names) + ", n_bytes long, n_removed long, n_spans long, kept " + ("string" if as_text else "binary"))
     return out.withColumnsRenamed(dict(zip(names, keep)))
 
 
