@@ -1,9 +1,10 @@
 """N-gram Jaccard join as a blocked sparse matrix product.
 
 The incidence matrix has a row per distinct shingle set (equal sets are one
-row) and a column per shingle.  Columns are ordered rarest first by a
-count sketch of fixed size over the whole corpus; a row's first columns, as
-many as its size bound asks for, must meet any partner's, so the product over
+row) and a column per shingle.  Columns that stand out in a count sketch of
+fixed size over the whole corpus come last, the others by descending length,
+since long shingles are rare (any common order is right, a rare-first one is
+cheap); a row's first columns, as many as its size bound asks for, must meet any partner's, so the product over
 those columns finds every pair.  Overlap counts are accumulated per pair, and
 pairs that the size-derived bounds rule out are discarded; the rows left over
 are multiplied in full, which gives the exact overlap.
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .anchors import gram_hash, mix, prefix_hash, squeezed, word_bounds
-from .common import byte_rows, stored, with_row_id
+from .common import BROADCAST_ROWS, byte_rows, stored, with_row_id
 
 SHINGLE = 3
 #: Link when 100 * intersection >= PERCENT * union.
@@ -43,8 +44,8 @@ BLOCK = 3000
 PIECE = 1 << 21
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """``(hashes, bounds)``: sorted distinct shingle hashes per document."""
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(hashes, bounds, lengths)``: sorted distinct shingle hashes per document, and the bytes of each one's words."""
     upper = (data >= 65) & (data <= 90)
     data = data + (upper.astype(np.uint8) << 5)
     starts, ends, first = word_bounds(data, offsets)
@@ -54,12 +55,15 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) ->
     many = np.where(count >= size, count - size + 1, np.minimum(count, 1))
     owner = np.repeat(np.arange(len(count)), many)
     at = np.repeat(first[:-1], many) + np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
-    hashes = gram_hash(prefix, at, at + np.minimum(size, np.repeat(count, many)))
+    until = at + np.minimum(size, np.repeat(count, many))
+    hashes = gram_hash(prefix, at, until)
+    total = np.concatenate([[0], np.cumsum(ends - starts)])
+    lengths = total[until] - total[at]
     order = np.lexsort((hashes, owner))
-    hashes, owner = hashes[order], owner[order]
+    hashes, owner, lengths = hashes[order], owner[order], lengths[order]
     fresh = np.ones(len(hashes), bool)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-    return hashes[fresh], np.searchsorted(owner[fresh], np.arange(len(count) + 1))
+    return hashes[fresh], np.searchsorted(owner[fresh], np.arange(len(count) + 1)), lengths[fresh]
 
 
 def prefix_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -74,7 +78,7 @@ def column_sketch(docs: DataFrame) -> np.ndarray:
         total = np.zeros(SKETCH, np.int64)
         for b in batches:
             for _, _, data, offsets in byte_rows(b.column("_text"), PIECE):
-                hashes, _ = shingle_sets(data, offsets)
+                hashes, _, _ = shingle_sets(data, offsets)
                 total += np.bincount((hashes >> np.uint64(44)).astype(np.int64), minlength=SKETCH)
         blocks = np.minimum(total, 0xFFFFFFFF).astype("<u4").reshape(-1, SKETCH_BLOCK)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([x.tobytes() for x in blocks], pa.binary())], ["_block", "_counts"])
@@ -151,14 +155,15 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[doc_id]
     src = with_row_id(docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text")))
-    sketch = spark.sparkContext.broadcast(column_sketch(src))
+    counts = column_sketch(src)
+    often_from = 4.0 * float(counts.mean()) + 16  # counters share columns, so only what stands out counts as frequent
+    sketch = spark.sparkContext.broadcast(counts)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row per document (no column) and, per batch, one per distinct (set, first column)."""
-        weight = np.bitwise_count  # rounds a count to its power of two below
         for b in batches:
             for i, j, data, offsets in byte_rows(b.column("_text"), PIECE):
-                hashes, bounds = shingle_sets(data, offsets)
+                hashes, bounds, lengths = shingle_sets(data, offsets)
                 n = np.diff(bounds)
                 total = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(0xA5A5A5A55A5A5A5A)))])
                 sig = mix((total[bounds[1:]] - total[bounds[:-1]]) ^ (n.astype(np.uint64) << np.uint64(40))).view(np.int64)
@@ -170,11 +175,10 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
                 keep[rows] = True
                 owner = np.repeat(np.arange(len(n)), n)
                 take = keep[owner]
-                owner, mine = owner[take], hashes[take]
-                seen = sketch.value[(mine >> np.uint64(44)).astype(np.int64)].astype(np.uint64)
-                for s in (1, 2, 4, 8, 16):
-                    seen |= seen >> np.uint64(s)
-                order = np.lexsort((mine, weight(seen), owner))
+                owner, mine, long = owner[take], hashes[take], lengths[take]
+                seen = sketch.value[(mine >> np.uint64(44)).astype(np.int64)]
+                level = np.ceil(np.log2(np.maximum(seen / often_from, 1.0))).astype(np.int64)
+                order = np.lexsort((mine, -long, level, owner))
                 owner, mine = owner[order], mine[order]
                 rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
                 first = rank < prefix_length(n, percent)[owner]
@@ -188,22 +192,28 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     often = entries.groupBy("_column").agg(F.count("*").alias("_c")).where("_c > 1").drop("_c")
     entries = stored(entries.join(often, "_column"), "jaccard-entries")
 
-    # the full rows that the products can ask for, from one document of each set
-    wanted = entries.select("_sig").distinct()
-    holders = rows.where("_n > 0").groupBy("_sig").agg(F.min("_rid").alias("_rid")).join(wanted, "_sig")
-
-    def full_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def full_rows(batches: Iterator[pa.RecordBatch], packed: bool) -> Iterator[pa.RecordBatch]:
         from zstandard import ZstdDecompressor
 
         expand = ZstdDecompressor().decompress
         for b in batches:
-            texts = pa.array([expand(x.as_py()) for x in b.column("_text")], pa.large_binary())
+            texts = pa.array([expand(x.as_py()) for x in b.column("_text")], pa.large_binary()) if packed else b.column("_text")
             for i, j, data, offsets in byte_rows(texts, PIECE):
-                hashes, bounds = shingle_sets(data, offsets)
+                hashes, bounds, _ = shingle_sets(data, offsets)
                 sets = [hashes[p:q].astype("<u8").tobytes() for p, q in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays([b.column("_sig").slice(i, j - i), pa.array(sets, pa.binary())], ["_sig", "_set"])
 
-    sets = stored(squeezed(src.select("_rid", "_text")).join(holders, "_rid").select("_sig", "_text").mapInArrow(full_rows, "_sig long, _set binary"), "jaccard-sets")
+    holders = rows.where("_n > 0").groupBy("_sig").agg(F.min("_rid").alias("_rid"))
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """The full rows that stored pairs ask for, from one document of each set."""
+        asked = pairs.select(F.col("a").alias("_sig")).union(pairs.select(F.col("b").alias("_sig"))).distinct()
+        asked = stored(holders.join(asked, "_sig"), "jaccard-asked")
+        small = asked.count() <= BROADCAST_ROWS  # two numbers a row; else the texts travel, squeezed
+        found = (src.select("_rid", "_text").join(F.broadcast(asked), "_rid").withColumn("_text", F.col("_text").cast("binary")) if small
+                 else squeezed(src.select("_rid", "_text")).join(asked, "_rid"))
+        read = found.select("_sig", "_text").mapInArrow(lambda batches: full_rows(batches, not small), "_sig long, _set binary")
+        return stored(read, "jaccard-sets")
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each entry with the next of its column; a column may run over partitions."""
@@ -215,11 +225,18 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
             last = column[-1], sig[-1], n[-1]
             near = (column[1:] == column[:-1]) & (100 * n[:-1] >= percent * n[1:])
             a, c = np.minimum(sig[1:], sig[:-1])[near], np.maximum(sig[1:], sig[:-1])[near]
-            a, c = np.unique(np.stack([a, c]), axis=1) if len(a) else (a, c)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], ["a", "b"])
+            least = np.maximum(1, n[1:][near] // 60)  # of the columns that such a pair shares at equal size, a third
+            if len(a):
+                (a, c, least), times = np.unique(np.stack([a, c, least]), axis=1, return_counts=True)
+            else:
+                times = a
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c), pa.array(least), pa.array(times.astype(np.int64))], ["a", "b", "_least", "_times"])
 
     chain = entries.repartitionByRange("_column", "_n", "_sig").sortWithinPartitions("_column", "_n", "_sig")
-    first = stored(verified(chain.mapInArrow(neighbours, "a long, b long").distinct(), sets, percent), "jaccard-links")
+    # this round only has to unite near copies; what it leaves out, the second product finds
+    close = chain.mapInArrow(neighbours, "a long, b long, _least long, _times long").groupBy("a", "b").agg(F.max("_least").alias("_least"), F.sum("_times").alias("_times"))
+    close = stored(close.where("_times >= _least").select("a", "b"), "jaccard-close")
+    first = stored(verified(close, sets_of(close), percent), "jaccard-links")
     roots = components(first, "jaccard-components")
 
     labelled = entries.join(roots.withColumnRenamed("node", "_sig"), "_sig", "left").withColumn("_comp", F.coalesce("root", "_sig")).drop("root")
@@ -270,7 +287,8 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     # overlap <= common first columns + what the longer of the two rests holds
     rest = F.expr(f"({percent} * greatest(_na, _nb) + 99) div 100 - 1")
     able = (100 + percent) * (F.col("_common") + rest) >= percent * (F.col("_na") + F.col("_nb"))
-    second = stored(verified(sized.where(able), sets, percent), "jaccard-more-links")
+    left = stored(sized.where(able).select("a", "b"), "jaccard-left")
+    second = stored(verified(left, sets_of(left), percent), "jaccard-more-links")
     roots = components(first.union(second), "jaccard-components")
 
     rooted = rows.join(roots.withColumnRenamed("node", "_sig"), "_sig", "left").withColumn("_root", F.when(F.col("_n") > 0, F.coalesce("root", "_sig")))
