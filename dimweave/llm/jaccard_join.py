@@ -9,10 +9,16 @@ those columns finds every pair.  Overlap counts are accumulated per pair, and
 pairs that the size-derived bounds rule out are discarded; the rows left over
 are multiplied in full, which gives the exact overlap.
 
-A group of near copies is not multiplied out: a first product pairs only
-neighbours in a column (by size), its links are joined to components, and the
-second product skips pairs inside a component.  Long columns are cut into row
-blocks, and each pair of blocks is a group of its own.
+A row also carries the parities of its columns over ``PARITIES`` hashed
+buckets.  Two rows differ in at least as many columns as parities, and their
+sizes say in how many a linked pair may differ, so a pair over that bound is
+discarded where it arises; no linked pair is.
+
+A group of near copies is not multiplied out: a first product pairs each row
+with the likest of ``REACH`` neighbours in a column (by size, then at random),
+its links are joined to components, and the second product skips pairs inside
+a component.  Long columns are cut into row blocks, and each pair of blocks is
+a group of its own.
 
 Defined results: words are lower-cased in A-Z only; a text of one or two words
 has one shingle, the whole sequence; null, empty and blank texts have none,
@@ -41,6 +47,11 @@ SKETCH = 1 << 20
 SKETCH_BLOCK = 1 << 14
 #: Entries of a column that are multiplied in one group.
 BLOCK = 3000
+#: Parities of a row (8 numbers of 64 bits) in the bound on differing columns.
+PARITIES = 512
+BITS = [f"_s{k}" for k in range(PARITIES // 64)]
+#: Entries before one in its column among which the first product looks for the likest.
+REACH = 12
 PIECE = 1 << 21
 
 
@@ -71,6 +82,26 @@ def prefix_length(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
 
 
+def parities(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per row, whether an odd number of its columns falls in each of ``PARITIES`` buckets; ``len(BITS)`` numbers each."""
+    out = np.zeros((len(bounds) - 1) * len(BITS), np.uint64)
+    bucket = mix(hashes ^ np.uint64(0x3C6EF372FE94F82A)) & np.uint64(PARITIES - 1)
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    np.bitwise_xor.at(out, owner * len(BITS) + (bucket >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bucket & np.uint64(63)))
+    return out.reshape(-1, len(BITS)).view(np.int64)
+
+
+def differences(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many parities differ (the count wants unsigned numbers: it takes the absolute value of others)."""
+    return np.bitwise_count((x ^ y).view(np.uint64)).sum(axis=-1, dtype=np.int64)
+
+
+def able(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether rows of sizes ``n`` and ``m`` may link: they differ in no more columns than their sizes allow, as far as parities ``x`` and ``y`` tell."""
+    differ = differences(x, y)
+    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
+
+
 def column_sketch(docs: DataFrame) -> np.ndarray:
     """How often each of ``SKETCH`` hashed columns occurs; one fixed-size vector per task, summed by blocks."""
 
@@ -115,13 +146,14 @@ def components(links: DataFrame, name: str) -> DataFrame:
         before = state
 
 
-def _pairs(sig: np.ndarray, n: np.ndarray, comp: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int):
-    """Pairs between the rows ``left`` and ``right`` (sorted by size) that sizes and components allow, ordered."""
+def _pairs(sig: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int):
+    """Pairs between the rows ``left`` and ``right`` (sorted by size) that sizes, parities and components allow, ordered."""
     out = []
     for i in left.tolist():
         lo, hi = np.searchsorted(n[right], [-(-percent * n[i] // 100), 100 * n[i] // percent + 1])
         j = right[lo:hi]
-        j = j[(comp[j] != comp[i])]
+        j = j[comp[j] != comp[i]]
+        j = j[able(bits[i], bits[j], n[i], n[j], percent)]
         if len(j):
             out.append((np.full(len(j), sig[i]), sig[j]))
     if not out:
@@ -161,14 +193,16 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row per document (no column) and, per batch, one per distinct (set, first column)."""
+        names = ["_rid", "_id", "_sig", "_n", "_column", *BITS]
         for b in batches:
             for i, j, data, offsets in byte_rows(b.column("_text"), PIECE):
                 hashes, bounds, lengths = shingle_sets(data, offsets)
                 n = np.diff(bounds)
                 total = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(0xA5A5A5A55A5A5A5A)))])
                 sig = mix((total[bounds[1:]] - total[bounds[:-1]]) ^ (n.astype(np.uint64) << np.uint64(40))).view(np.int64)
+                odd = parities(hashes, bounds)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("_rid").slice(i, j - i), b.column("_id").slice(i, j - i), pa.array(sig), pa.array(n), pa.nulls(j - i, pa.int64())], ["_rid", "_id", "_sig", "_n", "_column"])
+                    [b.column("_rid").slice(i, j - i), b.column("_id").slice(i, j - i), pa.array(sig), pa.array(n), pa.nulls(j - i, pa.int64()), *(pa.array(x) for x in odd.T.copy())], names)
                 rows = np.unique(sig, return_index=True)[1]
                 rows = rows[n[rows] > 0]
                 keep = np.zeros(len(n), bool)
@@ -184,13 +218,14 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
                 first = rank < prefix_length(n, percent)[owner]
                 owner, mine = owner[first], mine[first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(mine), pa.int64()), pa.nulls(len(mine), b.column("_id").type), pa.array(sig[owner]), pa.array(n[owner]), pa.array(mine.view(np.int64))], ["_rid", "_id", "_sig", "_n", "_column"])
+                    [pa.nulls(len(mine), pa.int64()), pa.nulls(len(mine), b.column("_id").type), pa.array(sig[owner]), pa.array(n[owner]), pa.array(mine.view(np.int64)), *(pa.nulls(len(mine), pa.int64()) for _ in BITS)], names)
 
-    found = stored(src.mapInArrow(describe, f"_rid long, _id {kind}, _sig long, _n long, _column long"), "jaccard-rows")
-    rows = found.where("_column is null").drop("_column")
+    found = stored(src.mapInArrow(describe, f"_rid long, _id {kind}, _sig long, _n long, _column long, " + ", ".join(f"{c} long" for c in BITS)), "jaccard-rows")
+    rows = found.where("_column is null").drop("_column", *BITS)
+    holders = stored(found.where("_column is null and _n > 0").groupBy("_sig").agg(F.min("_rid").alias("_rid"), *(F.min(c).alias(c) for c in BITS)), "jaccard-holders")
     entries = found.where("_column is not null").select("_column", "_sig", "_n").distinct()
     often = entries.groupBy("_column").agg(F.count("*").alias("_c")).where("_c > 1").drop("_c")
-    entries = stored(entries.join(often, "_column"), "jaccard-entries")
+    entries = stored(entries.join(often, "_column").join(holders.drop("_rid"), "_sig"), "jaccard-entries")
 
     def full_rows(batches: Iterator[pa.RecordBatch], packed: bool) -> Iterator[pa.RecordBatch]:
         from zstandard import ZstdDecompressor
@@ -203,12 +238,10 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
                 sets = [hashes[p:q].astype("<u8").tobytes() for p, q in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays([b.column("_sig").slice(i, j - i), pa.array(sets, pa.binary())], ["_sig", "_set"])
 
-    holders = rows.where("_n > 0").groupBy("_sig").agg(F.min("_rid").alias("_rid"))
-
     def sets_of(pairs: DataFrame) -> DataFrame:
         """The full rows that stored pairs ask for, from one document of each set."""
         asked = pairs.select(F.col("a").alias("_sig")).union(pairs.select(F.col("b").alias("_sig"))).distinct()
-        asked = stored(holders.join(asked, "_sig"), "jaccard-asked")
+        asked = stored(holders.select("_sig", "_rid").join(asked, "_sig"), "jaccard-asked")
         small = asked.count() <= BROADCAST_ROWS  # two numbers a row; else the texts travel, squeezed
         found = (src.select("_rid", "_text").join(F.broadcast(asked), "_rid").withColumn("_text", F.col("_text").cast("binary")) if small
                  else squeezed(src.select("_rid", "_text")).join(asked, "_rid"))
@@ -216,26 +249,32 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
         return stored(read, "jaccard-sets")
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each entry with the next of its column; a column may run over partitions."""
-        last = None
+        """Each entry with the one of the ``REACH`` before it in its column that differs least; a column may run over partitions."""
+        held = None
         for b in batches:
-            column, sig, n = (b.column(c).to_numpy(zero_copy_only=False) for c in ("_column", "_sig", "_n"))
-            if last is not None:
-                column, sig, n = (np.concatenate([[x], y]) for x, y in zip(last, (column, sig, n)))
-            last = column[-1], sig[-1], n[-1]
-            near = (column[1:] == column[:-1]) & (100 * n[:-1] >= percent * n[1:])
-            a, c = np.minimum(sig[1:], sig[:-1])[near], np.maximum(sig[1:], sig[:-1])[near]
-            least = np.maximum(1, n[1:][near] // 60)  # of the columns that such a pair shares at equal size, a third
-            if len(a):
-                (a, c, least), times = np.unique(np.stack([a, c, least]), axis=1, return_counts=True)
-            else:
-                times = a
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c), pa.array(least), pa.array(times.astype(np.int64))], ["a", "b", "_least", "_times"])
-
-    chain = entries.repartitionByRange("_column", "_n", "_sig").sortWithinPartitions("_column", "_n", "_sig")
+            now = [b.column(c).to_numpy(zero_copy_only=False) for c in ("_column", "_sig", "_n", *BITS)]
+            old = 0 if held is None else len(held[0])
+            column, sig, n, *bits = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+            held = [x[-REACH:] for x in (column, sig, n, *bits)]
+            bits = np.stack(bits, axis=1)
+            best, least = np.zeros(len(sig), np.int64), np.full(len(sig), np.inf)
+            for step in range(1, REACH + 1):
+                y = np.arange(max(old, step), len(sig))
+                y = y[(column[y] == column[y - step]) & (sig[y] != sig[y - step])]
+                y = y[able(bits[y - step], bits[y], n[y - step], n[y], percent)]
+                share = differences(bits[y - step], bits[y]) / (n[y - step] + n[y])
+                nearer = share < least[y]
+                best[y[nearer]], least[y[nearer]] = step, share[nearer]
+            y = np.flatnonzero(best)
+            x = y - best[y]
+            a, c = np.unique(np.stack([np.minimum(sig[x], sig[y]), np.maximum(sig[x], sig[y])]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], ["a", "b"])
+
+    # sizes that differ by a tenth or less mostly share a band; equal rows keep their order in every column
+    ordered = ("_column", F.floor(F.ln("_n") * 10), F.xxhash64("_sig"))
+    chain = entries.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
     # this round only has to unite near copies; what it leaves out, the second product finds
-    close = chain.mapInArrow(neighbours, "a long, b long, _least long, _times long").groupBy("a", "b").agg(F.max("_least").alias("_least"), F.sum("_times").alias("_times"))
-    close = stored(close.where("_times >= _least").select("a", "b"), "jaccard-close")
+    close = stored(chain.mapInArrow(neighbours, "a long, b long").distinct(), "jaccard-close")
     first = stored(verified(close, sets_of(close), percent), "jaccard-links")
     roots = components(first, "jaccard-components")
 
@@ -245,23 +284,24 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     parts = (labelled.join(mixed.select("_column", blocks.alias("_blocks")), "_column")
              .withColumn("_mine", F.pmod(F.xxhash64("_sig"), F.col("_blocks")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-             .select("_column", F.least("_mine", "_other").alias("_r"), F.greatest("_mine", "_other").alias("_s"), "_mine", "_n", "_sig", "_comp"))
+             .select("_column", F.least("_mine", "_other").alias("_r"), F.greatest("_mine", "_other").alias("_s"), "_mine", "_n", "_sig", "_comp", *BITS))
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The product of each (column, block pair), gathered until it ends."""
         held = None
-        names = ("_column", "_r", "_s", "_mine", "_n", "_sig", "_comp")
+        names = ("_column", "_r", "_s", "_mine", "_n", "_sig", "_comp", *BITS)
 
         def answer(rows, cuts):
-            _, r, s, mine, n, sig, comp = rows
+            _, r, s, mine, n, sig, comp, *bits = rows
+            bits = np.stack(bits, axis=1)
             out = []
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 at = np.arange(lo, hi)
                 if r[lo] == s[lo]:
                     for k in range(len(at) - 1):
-                        out.append(_pairs(sig, n, comp, at[k:k + 1], at[k + 1:], percent))
+                        out.append(_pairs(sig, n, comp, bits, at[k:k + 1], at[k + 1:], percent))
                 else:
-                    out.append(_pairs(sig, n, comp, at[mine[at] == r[lo]], at[mine[at] == s[lo]], percent))
+                    out.append(_pairs(sig, n, comp, bits, at[mine[at] == r[lo]], at[mine[at] == s[lo]], percent))
             a, b = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 2
             if len(a):
                 (a, b), times = np.unique(np.stack([a, b]), axis=1, return_counts=True)
@@ -286,8 +326,8 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
              .join(sizes.select(F.col("_sig").alias("b"), F.col("_n").alias("_nb")), "b"))
     # overlap <= common first columns + what the longer of the two rests holds
     rest = F.expr(f"({percent} * greatest(_na, _nb) + 99) div 100 - 1")
-    able = (100 + percent) * (F.col("_common") + rest) >= percent * (F.col("_na") + F.col("_nb"))
-    left = stored(sized.where(able).select("a", "b"), "jaccard-left")
+    enough = (100 + percent) * (F.col("_common") + rest) >= percent * (F.col("_na") + F.col("_nb"))
+    left = stored(sized.where(enough).select("a", "b"), "jaccard-left")
     second = stored(verified(left, sets_of(left), percent), "jaccard-more-links")
     roots = components(first.union(second), "jaccard-components")
 
@@ -297,4 +337,4 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     return out.select("_rid", F.col("_id").alias(doc_id), F.col("_n").alias("n_shingles"), F.when(F.col("_n") > 0, F.col("_least")).otherwise(F.col("_id")).alias("component_id"), "_root")
 
 
-__all__ = ["shingle_sets", "prefix_length", "column_sketch", "components", "verified", "cluster", "PERCENT", "SHINGLE"]
+__all__ = ["shingle_sets", "prefix_length", "parities", "able", "column_sketch", "components", "verified", "cluster", "PERCENT", "SHINGLE"]

@@ -115,6 +115,25 @@ def _shingles(text):
     return {tuple(w[i:i + 3]) for i in range(max(len(w) - 2, 1))} if w else set()
 
 
+def test_jaccard_parities_never_exclude_a_link():
+    rng = np.random.default_rng(5)
+    near = 0
+    for n in (1, 10, 60, 150, 900, 4000):
+        base = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        for share in (0.0, 0.02, 0.05, 0.08, 0.3):
+            changed = rng.random(len(base)) < share
+            other = np.unique(np.where(changed, rng.integers(0, 2**64, len(base), dtype=np.uint64), base))
+            both = len(np.intersect1d(base, other))
+            x, y = jaccard_join.parities(np.concatenate([base, other]), np.array([0, len(base), len(base) + len(other)]))
+            allowed = bool(jaccard_join.able(x, y, np.int64(len(base)), np.int64(len(other))))
+            if 100 * both >= jaccard_join.PERCENT * (len(base) + len(other) - both):
+                near += 1
+                assert allowed
+            elif share == 0.3 and n in (60, 150, 900):
+                assert not allowed
+    assert near > 10
+
+
 def test_jaccard_components(docs, rows, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", 2)  # columns in several blocks
     sets = [_shingles(t) for _, t, *_ in rows]
