@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from dimweave.llm import jaccard_join, mixing, packing, quality_rules, suffix_sort
 from dimweave.llm.common import stored, table, with_row_id, word_count
 
+#: Near copies: words of a shingle, and the least similarity in hundredths.
+COPY_WORDS, COPY_PERCENT = 5, 80
+
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the host-level rules keep."""
@@ -22,9 +25,9 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of the smallest id. Texts without words stay."""
+    """One document of each group of near copies (5-word Jaccard of 0.8 or more): the one of the smallest id. Texts without words stay."""
     rows = with_row_id(docs)
-    found = stored(jaccard_join.cluster(docs).select("_rid", "doc_id", "_root"), "pipeline-copies")
+    found = stored(jaccard_join.cluster(docs, percent=COPY_PERCENT, size=COPY_WORDS).select("_rid", "doc_id", "_root"), "pipeline-copies")
     first = found.where("_root is not null").groupBy("_root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_rid")).alias("_first")).select(F.col("_first._rid").alias("_rid"))
     stay = first.unionByName(found.where("_root is null").select("_rid"))
     return rows.join(stay, "_rid", "left_semi").select(*docs.columns)

@@ -20,8 +20,8 @@ its links are joined to components, and the second product skips pairs inside
 a component.  Long columns are cut into row blocks, and each pair of blocks is
 a group of its own.
 
-Defined results: words are lower-cased in A-Z only; a text of one or two words
-has one shingle, the whole sequence; null, empty and blank texts have none,
+Defined results: words are lower-cased in A-Z only; a text of fewer words
+than a shingle has one shingle, the whole sequence; null, empty and blank texts have none,
 and are linked with nothing; repeated rows and equal sets share a
 component; a null id never names a component that has another id; an empty table gives an empty
 result; only the named columns are read.  Shingles and sets are told apart by
@@ -102,14 +102,14 @@ def able(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: in
     return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
 
 
-def column_sketch(docs: DataFrame) -> np.ndarray:
+def column_sketch(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
     """How often each of ``SKETCH`` hashed columns occurs; one fixed-size vector per task, summed by blocks."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SKETCH, np.int64)
         for b in batches:
             for _, _, data, offsets in byte_rows(b.column("_text"), PIECE):
-                hashes, _, _ = shingle_sets(data, offsets)
+                hashes, _, _ = shingle_sets(data, offsets, size)
                 total += np.bincount((hashes >> np.uint64(44)).astype(np.int64), minlength=SKETCH)
         blocks = np.minimum(total, 0xFFFFFFFF).astype("<u4").reshape(-1, SKETCH_BLOCK)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([x.tobytes() for x in blocks], pa.binary())], ["_block", "_counts"])
@@ -182,12 +182,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return full.mapInArrow(multiply, "a long, b long")
 
 
-def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """``_rid, <doc_id>, n_shingles, component_id, _root`` per row (``_root`` numbers the component; null without shingles); ``_rid`` numbers the rows of ``docs`` as ``with_row_id`` does."""
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[doc_id]
     src = with_row_id(docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text")))
-    counts = column_sketch(src)
+    counts = column_sketch(src, size)
     often_from = 4.0 * float(counts.mean()) + 16  # counters share columns, so only what stands out counts as frequent
     sketch = spark.sparkContext.broadcast(counts)
 
@@ -196,7 +196,7 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
         names = ["_rid", "_id", "_sig", "_n", "_column", *BITS]
         for b in batches:
             for i, j, data, offsets in byte_rows(b.column("_text"), PIECE):
-                hashes, bounds, lengths = shingle_sets(data, offsets)
+                hashes, bounds, lengths = shingle_sets(data, offsets, size)
                 n = np.diff(bounds)
                 total = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(0xA5A5A5A55A5A5A5A)))])
                 sig = mix((total[bounds[1:]] - total[bounds[:-1]]) ^ (n.astype(np.uint64) << np.uint64(40))).view(np.int64)
@@ -234,7 +234,7 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
         for b in batches:
             texts = pa.array([expand(x.as_py()) for x in b.column("_text")], pa.large_binary()) if packed else b.column("_text")
             for i, j, data, offsets in byte_rows(texts, PIECE):
-                hashes, bounds, _ = shingle_sets(data, offsets)
+                hashes, bounds, _ = shingle_sets(data, offsets, size)
                 sets = [hashes[p:q].astype("<u8").tobytes() for p, q in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays([b.column("_sig").slice(i, j - i), pa.array(sets, pa.binary())], ["_sig", "_set"])
 
