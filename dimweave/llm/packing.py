@@ -18,6 +18,7 @@ sequence numbers start anew in the high bits for each.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -39,16 +40,24 @@ K1, B, TERMS = 1.2, 0.75, 12
 _OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+def added_tokens(ranks_path: str) -> dict[str, int]:
+    """Added tokens of the vocabulary file beside the ranks, which ``tokenizers`` finds inside texts too."""
+    with open(ranks_path.removesuffix(".tiktoken") + ".json", encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
 class Encoder:
     """Token ids of the byte-level BPE vocabulary, equal to the ``tokenizers`` ids of ``byte_bpe_50k.json``.
 
+    A text is first cut at the literal added tokens, which have ids of their own.
+
     The split pattern never joins a sign to white space after it, so a text is
     encoded by its units (white space and the signs up to the next white
     space), and each distinct unit of a shard once, by ``tiktoken`` over
     the same vocabulary's ranks.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: dict[str, int] | None = None):
         import base64
 
         import tiktoken
@@ -56,9 +65,24 @@ class Encoder:
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.whole = tiktoken.Encoding("byte_bpe_50k", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.added = added_tokens(ranks_path) if added is None else added
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, each closed by ``END``."""
+        if self.cuts is None or not any(self.cuts.search(t) for t in texts):
+            return self._plain(texts)
+        parts = [self.cuts.split(t) for t in texts]  # every second part is an added token
+        plain = iter(self._plain([x for p in parts for x in p[::2]]))
+        out = []
+        for p in parts:
+            ids = [np.array([self.added[x]], np.uint32) if k % 2 else next(plain)[:-1] for k, x in enumerate(p)]
+            out.append(np.concatenate([*ids, np.array([END], np.uint32)]))
+        return out
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """The same for texts without added tokens."""
         odd = {i for i, t in enumerate(texts) if _OTHER_SPACE.search(t)}
         raw = [b"" if i in odd else t.encode("utf-8", "surrogatepass") for i, t in enumerate(texts)]
         data = np.frombuffer(b"".join(raw), np.uint8)
@@ -166,8 +190,10 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id",
     src = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"))
     fields = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
 
+    added = added_tokens(ranks_path)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(ranks_path, pattern)
+        encode = Encoder(ranks_path, pattern, added)
         base, held, ids, size = TaskContext.get().partitionId() << 36, [], [], 0
 
         def answer():

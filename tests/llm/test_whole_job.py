@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+from dimweave.llm import packing
 from dimweave.llm.common import stored
 
 
@@ -33,3 +34,13 @@ def test_near_copies_stage_against_brute_force(spark):
     docs = stored(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "near-copies")
     got = corpus_pipeline.near_copies_stage(spark, docs, "")
     assert sorted(r.doc_id for r in got.collect()) == sorted(set(root))
+
+
+def test_ids_of_added_tokens_inside_texts():
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+    own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"one {end} two", end, f"{end}{end} x", f"word{end}word", f"  {end}\n\n {end}tail  ", f"\u00e9\u2003{end}\u3000 y", "", "plain", "<|endoftext|", f"<|{end}|>"]
+    got = packing.Encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)(texts)
+    assert [x.tolist() for x in got] == [own.encode(t, add_special_tokens=False).ids + [1] for t in texts]
