@@ -1,19 +1,22 @@
 """Lexical retrieval packing.
 
-The rows of each input partition, in their order, are cut into shards of at
-most ``SHARD`` bytes of text and one more document; nothing is shuffled, so an
-order by training time survives from shard to shard.  A shard has a BM25 inverted index over token
-ids: the current seed document asks it for its best unused neighbours, which
-fill the seed's window greedily; the last one is cut where the window is full
-and seeds the next window.  What remains at a shard's end is cut into
-sequences whose lengths are powers of two, which need no padding.
+Every document is encoded once; document frequencies and the mean length are
+counted over all of them.  Documents are then ordered by their weightiest
+shared terms, wherever they were stored, (or by an order that the caller
+gives) and cut into shards of at most ``SHARD`` bytes of text and one more
+document.  A shard has a BM25 inverted index over token ids with the corpus'
+statistics: the current seed document asks it, with all its terms, for its
+best unused neighbours, which fill the seed's window greedily; the last one
+is cut where the window is full and seeds the next window.  What remains at a
+shard's end is cut into sequences whose lengths are powers of two, which need
+no padding.  A neighbour that was routed to another shard is not found.
 
 Defined results: a null or empty text is its closing id alone; ties in score
 go to the earlier document of the shard; repeated rows are documents of their
 own; documents longer than a window run through several; an empty table gives
-no pieces.  Only the named columns are read.  The input should be a file scan
-(or a stored table), whose partitions are the same when a task is recomputed;
-sequence numbers start anew in the high bits for each.
+no pieces.  Only the named columns are read.  Sequence numbers rise with the
+order of the shards and start anew in the high bits for each partition.
+Shards, and so windows, depend on how the session deals out the ordered rows.
 """
 
 from __future__ import annotations
@@ -23,19 +26,23 @@ import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .anchors import byte_symbols, gram_hash, prefix_hash
+from .common import stored, with_row_id
 
 WINDOW = 2048
 END = 1
 SHARD = 3_000_000
-#: BM25 constants and the number of a seed's rarest terms that are looked up.
-K1, B, TERMS = 1.2, 0.75, 12
+#: BM25 constants, and how many of a document's weightiest terms route it to a shard.
+K1, B, ROUTE = 1.2, 0.75, 3
+#: Numbers of the corpus statistics that are summed in one group.
+STATISTICS_BLOCK = 1 << 12
 #: White space beyond the ASCII signs; texts that hold any are encoded whole.
 _OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -110,29 +117,49 @@ class Encoder:
                 for i, t in enumerate(texts)]
 
 
+class Statistics(NamedTuple):
+    """What BM25 needs of the whole corpus: documents, their mean length and each id's document frequency."""
+
+    documents: int
+    mean: float
+    df: np.ndarray
+
+    def idf(self) -> np.ndarray:
+        return np.log1p(np.maximum(self.documents - self.df + 0.5, 0) / (self.df + 0.5))
+
+
+def statistics_of(docs: list[np.ndarray], vocabulary: int) -> np.ndarray:
+    """Document frequency of every id, then the number of documents and of ids."""
+    out = np.zeros(vocabulary + 2, np.int64)
+    for d in docs:
+        out[np.unique(d)] += 1
+    out[vocabulary:] = len(docs), sum(map(len, docs))
+    return out
+
+
+def summed(parts: np.ndarray) -> Statistics:
+    return Statistics(int(parts[-2]), float(parts[-1]) / max(int(parts[-2]), 1), parts[:-2])
+
+
 class Bm25:
-    """Inverted index over documents' token ids."""
+    """Inverted index over documents' token ids, weighted by ``statistics`` (those of the documents themselves if none are given)."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], statistics: Statistics | None = None):
         n = len(docs)
         lengths = np.array([len(d) for d in docs])
+        statistics = statistics or summed(statistics_of(docs, max(int(d.max(initial=0)) for d in docs) + 1))
         key = np.concatenate(docs).astype(np.int64) * n + np.repeat(np.arange(n), lengths)
         key, tf = np.unique(key, return_counts=True)
         term, self.doc = key // n, key % n
-        self.terms, start, df = np.unique(term, return_index=True, return_counts=True)
+        terms, start, df = np.unique(term, return_index=True, return_counts=True)
         self.start = np.append(start, len(key))
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / max(lengths.mean(), 1)))
-        self.weight = weight * np.repeat(idf, df)
-        # a seed's query: its rarest terms that another document has too
+        weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / max(statistics.mean, 1)))
+        self.weight = weight * np.repeat(statistics.idf()[terms], df)
+        # a seed's query: all its terms that another document has too
         place = np.repeat(np.arange(len(df)), df)
         shared = np.flatnonzero(df[place] > 1)
-        order = shared[np.lexsort((place[shared], df[place[shared]], self.doc[shared]))]
-        owner = self.doc[order]
-        rank = np.arange(len(order)) - np.searchsorted(owner, owner)
-        keep = rank < TERMS
-        self.query, bounds = place[order][keep], np.searchsorted(owner[keep], np.arange(n + 1))
-        self.bounds = bounds
+        order = shared[np.argsort(self.doc[shared], kind="stable")]
+        self.query, self.bounds = place[order], np.searchsorted(self.doc[order], np.arange(n + 1))
         self.n = n
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
@@ -147,9 +174,9 @@ class Bm25:
         return found[np.argsort(-score[found], kind="stable")]
 
 
-def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
+def pack_shard(docs: list[np.ndarray], window: int = WINDOW, statistics: Statistics | None = None) -> list[tuple[int, int, int, int, int]]:
     """``(document, start, length, sequence, offset)`` pieces; every token lies in one."""
-    index = Bm25(docs)
+    index = Bm25(docs, statistics)
     used = np.zeros(len(docs), bool)
     pieces, sequence, filled, free = [], 0, 0, 0
     left = sum(map(len, docs))
@@ -183,27 +210,95 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int,
     return pieces
 
 
+def route(ids: np.ndarray, idf: np.ndarray, mean: float) -> list[int]:
+    """The ``ROUTE`` weightiest terms of a document whose ``idf`` is not 0, best first; -1 where there are fewer."""
+    terms, tf = np.unique(ids, return_counts=True)
+    weight = idf[terms] * tf / (tf + K1 * (1 - B + B * len(ids) / max(mean, 1)))
+    best = np.argsort(-weight, kind="stable")[:ROUTE]
+    return [t if w > 0 else -1 for t, w in zip(terms[best].tolist(), weight[best].tolist())] + [-1] * (ROUTE - len(best))
+
+
+def corpus_statistics(coded: DataFrame, vocabulary: int, kind: str) -> Statistics:
+    """Over all rows of ``_ids``; one fixed-size vector per task, summed by blocks."""
+    names = ["_block", "_counts"]
+    blocks = -(-(vocabulary + 2) // STATISTICS_BLOCK)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(blocks * STATISTICS_BLOCK, np.int64)
+        for b in batches:
+            total[:vocabulary + 2] += statistics_of([np.frombuffer(x.as_buffer(), kind) for x in b.column("_ids")], vocabulary)
+        yield pa.RecordBatch.from_arrays([pa.array(range(blocks), pa.int32()), pa.array([x.tobytes() for x in total.reshape(blocks, -1)], pa.binary())], names)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict = {}
+        for b in batches:
+            for k, counts in zip(b.column("_block").to_pylist(), b.column("_counts").to_pylist()):
+                sums[k] = sums.get(k, 0) + np.frombuffer(counts, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names)
+
+    parts = coded.select("_ids").mapInArrow(count, "_block int, _counts binary").repartition("_block").mapInArrow(add, "_block int, _counts binary")
+    out = np.zeros((blocks, STATISTICS_BLOCK), np.int64)
+    for row in parts.collect():  # vocabulary + 2 numbers in all
+        out[row["_block"]] = np.frombuffer(row["_counts"], np.int64)
+    return summed(out.reshape(-1)[:vocabulary + 2])
+
+
 def pack(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id", text: str = "text",
-         window: int = WINDOW, shard: int = SHARD, with_ids: bool = False) -> DataFrame:
-    """Pieces ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``, if asked for)."""
-    kind = dict(docs.dtypes)[doc_id]
-    src = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"))
-    fields = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
+         window: int = WINDOW, shard: int = SHARD, with_ids: bool = False, order: list[Column] | None = None) -> DataFrame:
+    """Pieces ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``, if asked for).
 
+    Shards are runs of the documents in the given ``order``, or else in that of their ``route``.
+    """
+    id_type = dict(docs.dtypes)[doc_id]
     added = added_tokens(ranks_path)
+    with open(ranks_path, "rb") as f:
+        vocabulary = max([sum(1 for _ in f) - 1, *(int(x) for x in added.values())]) + 1
+    kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
+    places = [c.alias(f"_place{k}") for k, c in enumerate(order or [])]
+    src = with_row_id(docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"), *places))
+    given = [c for c in src.columns if c.startswith("_place")]
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = Encoder(ranks_path, pattern, added)
+        for b in batches:
+            texts = [t or "" for t in b.column("_text").to_pylist()]
+            ends = np.cumsum([len(t) + 1 for t in texts])
+            i = 0
+            while i < len(texts):
+                j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SHARD, side="right")))
+                ids = [x.astype(kind).tobytes() for x in encode(texts[i:j])]
+                rest = [b.column(c).slice(i, j - i) for c in ("_id", "_rid", *given)]
+                yield pa.RecordBatch.from_arrays([*rest, pa.array([len(t) + 1 for t in texts[i:j]], pa.int64()), pa.array(ids, pa.binary())],
+                                                 ["_id", "_rid", *given, "_size", "_ids"])
+                i = j
+
+    kinds = dict(src.dtypes)
+    coded = stored(src.mapInArrow(code, ", ".join(f"{c} {kinds[c]}" for c in ("_id", "_rid", *given)) + ", _size long, _ids binary"), "packing-ids")
+    statistics = docs.sparkSession.sparkContext.broadcast(corpus_statistics(coded, vocabulary, kind))
+    routes = [f"_route{k}" for k in range(ROUTE)]
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf = np.where(statistics.value.df > 1, statistics.value.idf(), 0)  # a term of one document leads nowhere
+        for b in batches:
+            found = np.array([route(np.frombuffer(x.as_buffer(), kind), idf, statistics.value.mean) for x in b.column("_ids")], np.int64).reshape(-1, ROUTE)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("_id", "_rid", "_size", "_ids")), *(pa.array(x) for x in found.T.copy())], ["_id", "_rid", "_size", "_ids", *routes])
+
+    if order is None:
+        coded = coded.mapInArrow(routed, f"_id {id_type}, _rid long, _size long, _ids binary, " + ", ".join(f"{c} long" for c in routes))
+    by = [*(given or routes), "_rid"]
+    laid = coded.repartitionByRange(*by).sortWithinPartitions(*by).select("_id", "_size", "_ids")
+    fields = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(ranks_path, pattern, added)
         base, held, ids, size = TaskContext.get().partitionId() << 36, [], [], 0
 
         def answer():
             nonlocal base
-            coded = encode(held)
-            pieces = pack_shard(coded, window)
+            pieces = pack_shard(held, window, statistics.value)
             doc, start, length, sequence, offset = (np.array(x, np.int64) for x in zip(*pieces))
-            parts = [coded[d][s:s + n].astype("<u4") for d, s, n, _, _ in pieces]
+            parts = [held[d][s:s + n].astype("<u4") for d, s, n, _, _ in pieces]
             columns = [pa.array([ids[d] for d in doc], pa_kind), pa.array(start), pa.array(length), pa.array([zlib.crc32(p.tobytes()) for p in parts], pa.int64()),
-                       pa.array([len(coded[d]) for d in doc], pa.int64()), pa.array(sequence + base), pa.array(offset)]
+                       pa.array([len(held[d]) for d in doc], pa.int64()), pa.array(sequence + base), pa.array(offset)]
             base += int(sequence[-1]) + 1
             if with_ids:
                 columns.append(pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32())))
@@ -212,17 +307,17 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id",
 
         for b in batches:
             pa_kind = b.column("_id").type
-            for i, t in zip(b.column("_id").to_pylist(), b.column("_text").to_pylist()):
-                held.append(t or "")
+            for i, n, x in zip(b.column("_id").to_pylist(), b.column("_size").to_pylist(), b.column("_ids")):
+                held.append(np.frombuffer(x.as_py(), kind))
                 ids.append(i)
-                size += len(held[-1]) + 1
+                size += n
                 if size >= shard:
                     yield answer()
                     held, ids, size = [], [], 0
         if held:
             yield answer()
 
-    return src.mapInArrow(run, f"`{doc_id}` {kind}, {fields}")
+    return laid.mapInArrow(run, f"`{doc_id}` {id_type}, {fields}")
 
 
-__all__ = ["Encoder", "Bm25", "pack_shard", "pack", "WINDOW", "END", "SHARD"]
+__all__ = ["Encoder", "Statistics", "Bm25", "pack_shard", "route", "corpus_statistics", "pack", "WINDOW", "END", "SHARD"]

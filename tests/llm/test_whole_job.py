@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from dimweave.llm import packing
 from dimweave.llm.common import stored
@@ -44,3 +46,30 @@ def test_ids_of_added_tokens_inside_texts():
     texts = [f"one {end} two", end, f"{end}{end} x", f"word{end}word", f"  {end}\n\n {end}tail  ", f"\u00e9\u2003{end}\u3000 y", "", "plain", "<|endoftext|", f"<|{end}|>"]
     got = packing.Encoder(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)(texts)
     assert [x.tolist() for x in got] == [own.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+
+
+def test_packing_finds_neighbours_in_far_files(spark, tmp_path):
+    import public_tokenizers as P
+    rng = random.Random(3)
+    topics = [[f"{chr(97 + t)}{rng.randrange(100, 999)}" for _ in range(40)] for t in range(8)]
+    rows = [(8 * f + t, " ".join(rng.choices(topics[t], k=60))) for f in range(6) for t in range(8)]
+    for f in range(6):  # every file holds one document of each topic
+        spark.createDataFrame(rows[8 * f:8 * f + 8], "doc_id long, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "d"))
+    got = packing.pack(spark.read.parquet(str(tmp_path / "d")), P.path("byte_bpe_50k.tiktoken"), P.PATTERN, window=512, shard=2500).collect()
+    per_window = {}
+    for r in got:
+        per_window.setdefault(r.sequence_id, set()).add(r.doc_id % 8)
+    assert sum(len(v) for v in per_window.values()) / len(per_window) < 2.5
+    assert sum(r.length for r in got) == sum({r.doc_id: r.doc_tokens for r in got}.values())
+
+
+def test_packing_scores_all_terms_by_corpus_statistics():
+    seed = np.append(np.repeat(np.arange(100, 120), 1), np.arange(200, 230))
+    shares_rare = np.append(np.arange(100, 112), np.arange(500, 538))  # the twelve terms that are rarest here
+    shares_many = np.append(np.arange(200, 230), np.arange(600, 620))
+    docs = [x.astype(np.uint32) for x in (seed, shares_rare, shares_many, shares_many)]
+    df = np.full(1000, 2)
+    df[100:120] = 900  # common in the corpus
+    index = packing.Bm25(docs, packing.Statistics(1000, 50.0, df))
+    used = np.array([True, False, False, False])
+    assert index.neighbours(0, used)[0] == 2
