@@ -49,7 +49,9 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    mixed = mixing.plan_mix(docs, "size", "source", [F.col("doc_id"), F.col("size")])
+    # the curriculum's order: rows are sorted by their training positions, documents that are not taken come last
+    mixed = mixing.plan_mix(docs, "size", "source", [F.col("doc_id"), F.col("size")]).orderBy(
+        F.col("first_time").asc_nulls_last(), F.col("last_time").asc_nulls_last(), "doc_id")
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "passes")
 
 

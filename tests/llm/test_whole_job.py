@@ -1,11 +1,12 @@
 """The pipeline's stages and the operators at places where a part of the job could be left out unseen."""
 
+import hashlib
 import random
 
 import numpy as np
 
 import corpus_pipeline
-from dimweave.llm import packing
+from dimweave.llm import mixing, packing, queries
 from dimweave.llm.common import stored
 
 
@@ -73,3 +74,33 @@ def test_packing_scores_all_terms_by_corpus_statistics():
     index = packing.Bm25(docs, packing.Statistics(1000, 50.0, df))
     used = np.array([True, False, False, False])
     assert index.neighbours(0, used)[0] == 2
+
+
+def test_mixing_query_returns_the_training_order(spark):
+    """Positions by bisection of the integrated schedules, against the order of the query's rows."""
+    import duckdb
+    from conftest import SF_SMALL
+    got = queries.op8_mixing(spark, SF_SMALL).collect()
+    source = dict(duckdb.sql(f"select doc_id, source from read_parquet('{SF_SMALL}/documents.parquet')").fetchall())
+    ranks = {s: i for i, s in enumerate(sorted({x for x in source.values() if x is not None}) + [None])}
+
+    def reached(knots, share):
+        def done(t):
+            return sum((min(t, t1) - t0) * (w0 + w0 + (w1 - w0) * (min(t, t1) - t0) / (t1 - t0)) / 2 for (t0, w0), (t1, w1) in zip(knots, knots[1:]) if t > t0)
+        lo, hi = 0.0, 1.0
+        for _ in range(60):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if done(mid) < share * done(1.0) else (lo, mid)
+        return lo
+
+    at, queue = {}, {}
+    for r in got:
+        queue.setdefault(source[r.doc_id], []).append((hashlib.md5(f"{r.doc_id}\x1f{r.size}".encode()).hexdigest(), r.doc_id, r))
+    for s, rows in queue.items():
+        before = 0
+        for _, i, r in sorted(rows, key=lambda x: x[:2]):
+            if r.passes:
+                at[i] = reached(mixing.SCHEDULES[ranks[s] % 3], min(1.0, (before + r.size / 2) / r.target))
+            before += r.size
+    times = [at.get(r.doc_id, 2.0) for r in got]
+    assert len(set(times)) > 100 and all(a <= b + 1e-9 for a, b in zip(times, times[1:]))
