@@ -8,7 +8,7 @@ underscore are the operators' own.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dimweave.llm import jaccard_join, mixing, packing, quality_rules, suffix_sort
 from dimweave.llm.common import stored, table, with_row_id, word_count
@@ -49,11 +49,20 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixed.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"])).select(*docs.columns)
 
 
+def stored_order(docs: DataFrame) -> list[Column]:
+    """Where a row was written: the number of its file (Spark numbers the files of a sorted result in its order), the file, the row in it.
+
+    A scan deals files out by size, so its partitions do not follow that order.
+    """
+    name = F.col("_metadata.file_name")
+    return [F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long"), name, F.col("_metadata.row_index")]
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences, with their ids."""
+    """Pieces of token sequences, with their ids; sequences are numbered by shard in the order in which the mix was stored."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True, order=stored_order(docs))
 
 
 STAGES = [
