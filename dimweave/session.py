@@ -12,6 +12,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Name of the folder under the checkpoint root that holds all work tables.
+WORK = "dimweave-work"
+
 
 def get_spark(master: str | None = None, app: str = "dimweave",
               shuffle_partitions: int | None = None, **extra: str) -> SparkSession:
@@ -70,12 +73,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     Taken from the session (``spark.checkpoint.dir``, which Spark applies to
-    the context at start-up).  Only when it is unset (local mode, tests) a
-    private folder is created and registered, so later calls agree on it.
+    the context at start-up).  Only when it is unset on a local master (tests)
+    a private folder is created and registered, so later calls agree on it; on
+    a cluster no folder of the driver's machine would do, so that fails.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="dimweave-ckpt-"))
         root = sc.getCheckpointDir()
     return root
@@ -84,7 +90,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/dimweave-work/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{root}/{WORK}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -99,4 +105,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "scale_conf", "checkpoint_root", "work_dir", "path_exists", "local_path"]
+__all__ = ["WORK", "get_spark", "scale_conf", "checkpoint_root", "work_dir", "path_exists", "local_path"]
