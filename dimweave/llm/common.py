@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from dimweave.session import work_dir
+from dimweave.session import WORK, work_dir
 
 #: A word is a maximal run of anything but space and the five ASCII controls
 #: 0x09-0x0D.  ``bytes.split()`` splits on exactly this set.
@@ -30,6 +30,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the files of ``stored`` tables whose successors are written; files outside the work folder are left alone."""
+    for df in tables:
+        hadoop, jvm = df.sparkSession.sparkContext._jsc.hadoopConfiguration(), df.sparkSession.sparkContext._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if folder.rsplit("/", 2)[-2] == WORK:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(hadoop).delete(path, True)
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast a stored key table if its counted rows are within ``rows``; else leave the join to the planner."""
     return F.broadcast(df) if df.count() <= rows else df
@@ -59,4 +69,4 @@ def byte_rows(column: pa.Array, limit: int) -> Iterator[tuple[int, int, np.ndarr
         i = j
 
 
-__all__ = ["WORD", "BROADCAST_ROWS", "table", "stored", "small_side", "with_row_id", "word_count", "byte_rows"]
+__all__ = ["WORD", "BROADCAST_ROWS", "table", "stored", "dropped", "small_side", "with_row_id", "word_count", "byte_rows"]

@@ -120,4 +120,41 @@ select s.doc_id, s.n::bigint as n_shingles, min(r.r) as component_id
 from sizes s join reach r on r.doc_id = s.doc_id group by all
 """
 
-ORACLES = {"op6_ngram_jaccard_join": OP6, "op2_substring_dedup": OP2, "op8_mixing": OP8, "op10_quality_rules": OP10}
+def _cluster_sql(rounds: int = 3) -> str:
+    """Every distance computed anew in every round; a mean's floor from the remainder made positive."""
+    steps = ["""v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             """c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')), x) - 1 AS k, x FROM v QUALIFY k < 16)"""]
+    for t in range(rounds + 1):
+        steps.append(f"""a{t} AS (SELECT r, vec_id, x, k, d FROM (
+        SELECT v.r, v.vec_id, v.x, c.k, CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{t} c)
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)""")
+        if t < rounds:
+            steps.append(f"""m{t} AS (SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS x
+    FROM (SELECT k, j, sum(x[j]) AS s, count(*) AS n FROM a{t}, range(1, 65) g(j) GROUP BY k, j) GROUP BY k),
+c{t + 1} AS (SELECT c.k, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN m{t} m USING (k))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(a.k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia,
+    CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.k = c.k"""
+
+
+RANKED = r"""
+WITH terms AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+n AS (SELECT doc_id, sum(tf) AS n FROM tf GROUP BY ALL),
+corpus AS (SELECT count(*) AS documents, sum(n) AS length FROM n),
+m AS (SELECT doc_id, CAST(100 - 50 + (50 * n * documents) // length AS BIGINT) AS m FROM n, corpus),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * documents + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM tf, corpus GROUP BY term, documents),
+asked AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+scores AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+    FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
+ORACLES = {"op6_ngram_jaccard_join": OP6, "op2_substring_dedup": OP2, "op8_mixing": OP8, "op10_quality_rules": OP10,
+           "op12_centroid_clustering": _cluster_sql(), "op13_ranked_search": RANKED}

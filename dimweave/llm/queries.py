@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat_format, fingerprints, fm_index, html_extract, jaccard_join, mixing, packing, quality_model, quality_rules, suffix_sort
+from . import centroids, chat_format, fingerprints, fm_index, html_extract, jaccard_join, k2_treap, mixing, packing, quality_model, quality_rules, suffix_sort, word_table
 from .common import table, word_count
 
 
@@ -65,4 +65,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_substring_dedup, op3_chat_formatting, op4_fingerprints, op5_packing, op6_ngram_jaccard_join, op7_html_extraction, op8_mixing, op9_suffix_dedup, op10_quality_rules)}
+def op11_bpe_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = word_table.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    found = word_table.encode_and_decode(table(spark, sf_dir, "documents"), vocabulary)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2(F.col("text"), 256).alias("decoded_sha256"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state, final = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(state, final).select(F.col("_id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = k2_treap.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("_id").alias("item_id"), "rank", "doc_id", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_substring_dedup, op3_chat_formatting, op4_fingerprints, op5_packing, op6_ngram_jaccard_join, op7_html_extraction, op8_mixing, op9_suffix_dedup, op10_quality_rules,
+                                  op11_bpe_word_table, op12_centroid_clustering, op13_ranked_search)}
