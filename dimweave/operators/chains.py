@@ -27,21 +27,13 @@ def time_bucket(ts: str | Column, unit: str = "day") -> Column:
     return F.coalesce(F.date_trunc(unit, c).cast("timestamp_ntz"), F.lit(LATE_BUCKET).cast("timestamp_ntz"))
 
 
-def id_bucket(value: str, stats: DataFrame, buckets: int = 1024) -> Column:
-    """Fixed-width bucket of a numeric id; ``stats`` is a one-row frame with ``_lo``/``_hi``
-    (cross-joined by the caller) so the width follows the data's id range."""
-    width = F.greatest(F.lit(1).cast("bigint"),
-                       F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.lit(buckets)).cast("bigint"))
-    return F.coalesce(F.floor((F.col(value) - F.col("_lo")) / width).cast("bigint"), F.lit(1 << 62))
-
-
 def chain_links(df: DataFrame, key: Sequence[str], order: Sequence[Column | str], value: str,
                 bucket: str, *, include: Column | None = None, seen: str = "_seen", nxt: str = "_next",
                 partitioned: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """Add ``seen`` (bigint row number) and ``nxt`` (next row's ``value``) per ``key``.
 
     ``order`` must start with ``value`` ascending (nulls last) and ``bucket``
-    must be a non-decreasing function of ``value`` (e.g. ``time_bucket``),
+    must not decrease along it (e.g. ``time_bucket``, ``borders.part_of``),
     so bucket order agrees with row order.  A null key is a chain of its own.  Only rows
     where ``include`` holds form the chains (others get values to ignore).
     With ``partitioned=True`` the caller has already hash-partitioned ``df``

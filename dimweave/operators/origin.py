@@ -10,21 +10,25 @@ Scale: the two global windows (running max, next value) are never run as
 single-partition windows.  Rows are first reduced to one row per distinct
 posting time (map-side partial aggregation absorbs hot times), the times are
 cut into buckets, a small per-bucket summary carries values across bucket
-edges, and results join back on the time key.  The range join puts each band
-on the level of its own width and equi-joins on (level, bucket).
+edges, and results join back on the time key.  The range join sweeps sorted
+id ranges, cut at sampled quantiles.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.numeric import round_ratio
-from .chains import chain_links, id_bucket
+from .borders import default_parts, part_of, sampled_borders
+from .chains import chain_links
 from .dedupe import asc, desc, keep_first
 from .joins import with_group_aggregates
+from .sweep import sweep_join
 
 # Fixed value: the upper bound that closes the newest band.
 SENTINEL = 99999999999
+# Part of rows that sort after every other.
+_LAST_PART = (1 << 31) - 1
 # Null posting times sort after every real one.
 _LATE = "9999-12-31 23:59:59.999999"
 
@@ -90,7 +94,7 @@ def daily_id_bands(wall_v2: DataFrame, *, ts: str = "posted_ts") -> DataFrame:
 
 
 def merge_bands_by_date(bands: DataFrame, *, lo: str = "first_media_id_v2",
-                        hi: str = "last_media_id_v2") -> DataFrame:
+                        hi: str = "last_media_id_v2", parts: int | None = None) -> DataFrame:
     """Union the bands of all authors per posting date into disjoint islands.
 
     Only the posting date of a containing band reaches the origin-date
@@ -98,43 +102,48 @@ def merge_bands_by_date(bands: DataFrame, *, lo: str = "first_media_id_v2",
     changing it.  This turns a fan-out of one match per author into about one
     per day.  Gaps and islands: within a date, ordered by start, a band opens
     a new island when it starts after every earlier band has ended.
+
+    A day is not one group: its bands are cut at sampled quantiles of
+    (date, start) into ranges, a summary of one row per range says how far the ranges
+    before it reach and how many islands they open, and islands that run over
+    a range's edge are joined by their number.
     """
-    w = W.partitionBy("posted_date").orderBy(asc(lo), asc(hi))
-    prev_end = F.max(hi).over(w.rowsBetween(W.unboundedPreceding, -1))
-    opened = F.when(prev_end.isNull() | (F.col(lo) > prev_end), F.lit(1)).otherwise(F.lit(0))
-    isl = bands.withColumn("_open", opened).withColumn(
-        "_island", F.sum("_open").over(w.rowsBetween(W.unboundedPreceding, 0)))
-    return isl.groupBy("posted_date", "_island").agg(F.min(lo).alias(lo), F.max(hi).alias(hi)).drop("_island")
+    kinds = [dict(bands.dtypes)["posted_date"], dict(bands.dtypes)[lo]]
+    borders = sampled_borders(bands, ["posted_date", lo], parts or default_parts(bands))
+    rows = bands.withColumn("_range", part_of(["posted_date", lo], borders, kinds)).repartition("posted_date", "_range")
+    rows = rows.where(F.col(lo).isNotNull())
+    w = W.partitionBy("posted_date", "_range").orderBy(asc(lo), asc(hi))
+    rows = rows.withColumn("_reach", F.max(hi).over(w.rowsBetween(W.unboundedPreceding, -1)))
+    over = W.partitionBy("posted_date").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    reach = rows.groupBy("posted_date", "_range").agg(F.max(hi).alias("_far")).withColumn("_before", F.max("_far").over(over)).drop("_far")
+
+    def same(side):  # a null date is a date like any other
+        return [rows["posted_date"].eqNullSafe(side["_d"]), rows["_range"] == side["_r"]]
+
+    reach = reach.select(F.col("posted_date").alias("_d"), F.col("_range").alias("_r"), "_before")
+    rows = rows.join(reach, same(reach)).drop("_d", "_r")
+    ended = F.greatest("_reach", "_before")  # nulls are passed over
+    rows = rows.withColumn("_open", F.when(ended.isNull() | (F.col(lo) > ended), 1).otherwise(0))
+    counted = W.partitionBy("posted_date", "_range").orderBy(asc(lo), asc(hi), F.col("_open").desc())  # of equal bands the opening one first
+    rows = rows.withColumn("_island", F.sum("_open").over(counted.rowsBetween(W.unboundedPreceding, 0)))
+    # islands of a range first, then those that are one across ranges
+    part = rows.groupBy("posted_date", "_range", "_island").agg(F.min(lo).alias(lo), F.max(hi).alias(hi), F.max("_open").alias("_open"))
+    opened = part.groupBy("posted_date", "_range").agg(F.sum("_open").alias("_n"))
+    opened = opened.select(F.col("posted_date").alias("_d"), F.col("_range").alias("_r"),
+                           F.coalesce(F.sum("_n").over(over), F.lit(0)).alias("_opened"))
+    part = part.join(opened, [part["posted_date"].eqNullSafe(opened["_d"]), part["_range"] == opened["_r"]])
+    return (part.groupBy("posted_date", (F.col("_opened") + F.col("_island")).alias("_island"))
+            .agg(F.min(lo).alias(lo), F.max(hi).alias(hi)).drop("_island"))
 
 
 def range_join(probe: DataFrame, bands: DataFrame, *, value: str = "media_id",
-               lo: str = "first_media_id_v2", hi: str = "last_media_id_v2", how: str = "inner") -> DataFrame:
-    """Join each probe row to every band with ``lo <= value < hi`` (half-open).
-
-    Empty bands are dropped first.  A band lives on the level of its own
-    width, the power of two at or above it, where it touches at most two
-    buckets of that width; a probe is looked up once on every level that has
-    bands (63 at most).  So the band side at most doubles, whatever the
-    widths, and the join is an equi-join on (level, bucket) with the exact
-    predicate as residual, whose strategy is left to the planner and AQE.
-    ``how='left'`` keeps probe rows without a band (band columns null).
+               lo: str = "first_media_id_v2", hi: str = "last_media_id_v2", how: str = "inner",
+               parts: int | None = None) -> DataFrame:
+    """Join each probe row to every band with ``lo <= value < hi`` (half-open), by one sorted sweep per id range.
+
+    ``how='left'`` keeps probe rows without a band (band columns null); see ``sweep.sweep_join``.
     """
-    real = bands.where(F.col(hi) > F.col(lo))
-    level = F.ceil(F.log2((F.col(hi) - F.col(lo)).cast("double"))).cast("int")
-    size = F.expr("shiftleft(1L, _level)")
-    real = real.withColumn("_level", F.least(level, F.lit(62)))
-    first, last = F.floor(F.col(lo) / size).cast("bigint"), F.floor((F.col(hi) - 1) / size).cast("bigint")
-    b = real.withColumn("_bucket", F.explode(F.sequence(first, last)))
-    levels = F.broadcast(real.agg(F.collect_set("_level").alias("_levels")))  # one row of small numbers
-    p = probe.crossJoin(levels).withColumn("_level", F.explode("_levels")).drop("_levels")
-    p = p.withColumn("_at", F.floor(F.col(value) / size).cast("bigint")).withColumnRenamed("_level", "_on")
-    cond = (p["_on"] == b["_level"]) & (p["_at"] == b["_bucket"]) & (p[value] >= b[lo]) & (p[value] < b[hi])
-    out = p.join(b, cond, "inner").drop("_on", "_at", "_level", "_bucket")
-    if how == "left":  # whether a probe has a band depends on its value alone
-        without = probe.join(out.select(value).distinct(), value, "left_anti")
-        types = dict(bands.dtypes)
-        out = out.unionByName(without.select(*probe.columns, *[F.lit(None).cast(types[c]).alias(c) for c in bands.columns]))
-    return out
+    return sweep_join(probe, bands, value=value, lo=lo, hi=hi, how=how, parts=parts)
 
 
 def chat_media_totals(chat_media: DataFrame, *, chat_id: str = "chat_id",
@@ -192,51 +201,44 @@ def origin_date(chat_media: DataFrame, wall: DataFrame, *, min_year: int = 2025,
     return out
 
 
-def _id_stats(*frames: DataFrame, value: str) -> DataFrame:
-    """One row ``_lo``, ``_hi``: the id range over the given frames (broadcast)."""
-    parts = [f.select(F.col(value).alias("_v")) for f in frames]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return F.broadcast(u.agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
-
-
 def lead_per_author(wall: DataFrame, *, by: str = "author_id", value: str = "media_id",
                     tie: str = "post_id", carry: tuple[str, ...] = ("posted_ts",),
-                    buckets: int = 1024) -> DataFrame:
+                    parts: int | None = None) -> DataFrame:
     """``lead(value)`` and ``lead(carry)`` per author ordered by (value, tie).
 
-    Computed per (author, id bucket) and stitched across buckets, so one
-    author with most of the rows still runs in parallel.  Numeric ids are
-    ordered numerically (fixed-width buckets); string ids are ordered
-    lexically, bucketed by their first two characters (an order-preserving
-    prefix).  Adds ``next_<value>`` and ``next_<carry>`` columns.
+    Rows are cut at sampled quantiles of (author, value, tie), so the parts are even
+    for numbers and for text, whatever the ids look like; values are stitched
+    across the cuts by a summary, and one author with most of the rows still
+    runs in parallel.  Text ids are in lexical order.  Adds ``next_<value>``
+    and ``next_<carry>`` columns.
     """
-    if isinstance(wall.schema[value].dataType, T.StringType):
-        rows = wall.withColumn("_ib", F.coalesce(F.substring(value, 1, 2), F.lit("\uffff")))
-    else:
-        stats = _id_stats(wall, value=value)
-        rows = wall.crossJoin(stats).withColumn("_ib", id_bucket(value, stats, buckets)).drop("_lo", "_hi")
-    out = chain_links(rows, [by], [value, tie], value, "_ib", seen="_ord", nxt=f"next_{value}", carry=carry)
+    types = dict(wall.dtypes)
+    order = {"_by": F.col(by), "_value": F.col(value), "_late": F.col(tie).isNull(), "_tie": F.col(tie)}  # null ties come last
+    kinds = [types[by], types[value], "boolean", types[tie]]
+    borders = sampled_borders(wall.select(*[c.alias(n) for n, c in order.items()]), list(order), parts or default_parts(wall))
+    place = F.when(F.col(value).isNull(), F.lit(_LAST_PART)).otherwise(part_of(list(order.values()), borders, kinds))
+    out = chain_links(wall.withColumn("_ib", place), [by], [value, tie], value, "_ib", seen="_ord", nxt=f"next_{value}", carry=carry)
     return out.drop("_ib", "_ord")
 
 
 def asof_band(chat_media: DataFrame, wall: DataFrame, *, by: str = "author_id",
-              value: str = "media_id", buckets: int = 1024) -> DataFrame:
+              value: str = "media_id", parts: int | None = None) -> DataFrame:
     """Per-author id-band join: each chat medium meets the wall row of the same
     author whose id band ``[media_id, next media_id)`` contains it.
 
     Written as an as-of join: the wall rows get their band end from
     ``lead_per_author``; wall and chat rows are unioned, partitioned by
-    (author, id bucket), and the last wall band at or before each chat id is
-    carried forward inside the bucket (rows without an id lie in no band); a small per-(author, bucket) summary
-    supplies the band that is open when a bucket starts.  No pairs are
+    (author, id range), and the last wall band at or before each chat id is
+    carried forward inside the range (rows without an id lie in no band); a small per-(author, range) summary
+    supplies the band that is open when a range starts.  No pairs are
     enumerated and no author is held by a single task.  The newest band of an
     author is open-ended.
     """
     wall, chat_media = wall.where(F.col(value).isNotNull()), chat_media.where(F.col(value).isNotNull())
-    stats = _id_stats(wall, chat_media, value=value)
-    bands = lead_per_author(wall, by=by, value=value, carry=(), buckets=buckets)
+    both = wall.select(by, value).unionByName(chat_media.select(by, value))
+    parts = parts or default_parts(wall)
+    borders = sampled_borders(both, [by, value], parts)
+    bands = lead_per_author(wall, by=by, value=value, carry=(), parts=parts)
     band = F.struct(F.col(value).alias("band_from"), F.col(f"next_{value}").alias("band_to"),
                     F.col("post_id"), F.col("posted_ts"))
     wl = bands.select(by, F.col(value).alias("_v"), F.lit(0).alias("_side"), F.col("post_id").alias("_ord"),
@@ -244,8 +246,9 @@ def asof_band(chat_media: DataFrame, wall: DataFrame, *, by: str = "author_id",
     ch = chat_media.select(by, F.col(value).alias("_v"), F.lit(1).alias("_side"),
                            F.col("chat_id").cast("bigint").alias("_ord"), F.col("chat_id").cast("bigint"),
                            F.lit(None).cast(band_type(wall, value)).alias("_band"))
-    u = wl.unionByName(ch).crossJoin(stats)
-    u = u.withColumn("_ib", id_bucket("_v", stats, buckets)).drop("_lo", "_hi").repartition(by, "_ib")
+    u = wl.unionByName(ch)
+    kinds = [dict(u.dtypes)[c] for c in (by, "_v")]
+    u = u.withColumn("_ib", part_of([by, "_v"], borders, kinds)).repartition(by, "_ib")
     w = W.partitionBy(by, "_ib").orderBy(asc("_v"), asc("_side"), asc("_ord"))
     u = u.withColumn("_local", F.last("_band", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, 0)))
     summ = u.groupBy(by, "_ib").agg(F.max_by("_band", F.when(F.col("_side") == 0,

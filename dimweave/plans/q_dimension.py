@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import scd2
+from ..operators.asof import as_of_join
 from ..schemas import empty_dim
 from . import fixtures as fx
 from .oracle_views import with_views
@@ -98,3 +99,18 @@ where valid_from_ts <= timestamp '2024-01-15 00:00:00'
 def dim_as_of(spark, sf):
     return scd2.as_of(fx.v_dim(spark, sf), AS_OF)
 
+
+
+@query("dim_as_of_join", with_views("""
+select e.event_id, cast(e.user_id as varchar) as author_id, e.event_type as media_id, e.value, e.ts + interval 36 hour as at,
+       d.seen_count, d.media_duration, d.checksum, d.valid_from_ts, d.valid_to_ts
+from events e left join v_dim d
+  on d.author_id = cast(e.user_id as varchar) and d.media_id = e.event_type and not d.is_deleted
+  and d.valid_from_ts <= e.ts + interval 36 hour and (d.valid_to_ts is null or e.ts + interval 36 hour < d.valid_to_ts)"""))
+def dim_as_of_join(spark, sf):
+    """Every event a day and a half later, with the version of its medium that was valid then."""
+    facts = fx.events(spark, sf).select(
+        "event_id", F.col("user_id").cast("string").alias("author_id"), F.col("event_type").alias("media_id"), "value",
+        (F.col("ts").cast("timestamp_ntz") + F.expr("INTERVAL 36 HOURS")).alias("at"))
+    return as_of_join(facts, fx.v_dim(spark, sf), fact_ts="at",
+                      columns=["seen_count", "media_duration", "checksum", "valid_from_ts", "valid_to_ts"])
