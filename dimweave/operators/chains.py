@@ -29,7 +29,7 @@ def time_bucket(ts: str | Column, unit: str = "day") -> Column:
 
 def chain_links(df: DataFrame, key: Sequence[str], order: Sequence[Column | str], value: str,
                 bucket: str, *, include: Column | None = None, seen: str = "_seen", nxt: str = "_next",
-                partitioned: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+                partitioned: bool = False, carry: Sequence[str] = (), summary: DataFrame | None = None) -> DataFrame:
     """Add ``seen`` (bigint row number) and ``nxt`` (next row's ``value``) per ``key``.
 
     ``order`` must start with ``value`` ascending (nulls last) and ``bucket``
@@ -39,7 +39,9 @@ def chain_links(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]
     With ``partitioned=True`` the caller has already hash-partitioned ``df``
     on (key, bucket) and no exchange of the rows is added here.  Each column
     in ``carry`` also gets its next row's value as ``next_<col>`` (``order``
-    must then be plain ascending, non-null column names).
+    must then be plain ascending, non-null column names).  A caller that knows a
+    cheaper way to the ``_n`` included rows and the ``_first`` value of each (key,
+    bucket) passes it as ``summary`` (without ``carry``).
     """
     key = list(key)
     kb = [*key, bucket]
@@ -51,11 +53,13 @@ def chain_links(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]
     local = rows.select("*", F.row_number().over(wl).alias("_rn_l"), F.lead(value).over(wl).alias("_nx_l"),
                         F.lead(F.lit(True)).over(wl).alias("_has_nx"),
                         *[F.lead(c).over(wl).alias(f"_nx_{c}") for c in carry])
-    first_aggs = [F.min(F.when(F.col("_in"), F.col(value))).alias("_first")]
-    if carry:
-        ordkey = F.when(F.col("_in"), F.struct(*[F.col(o) for o in order]))
-        first_aggs.append(F.min_by(F.struct(*[F.col(c) for c in carry]), ordkey).alias("_first_carry"))
-    summ = rows.groupBy(*kb).agg(F.count(F.when(F.col("_in"), F.lit(1))).alias("_n"), *first_aggs)
+    if summary is None:
+        first_aggs = [F.min(F.when(F.col("_in"), F.col(value))).alias("_first")]
+        if carry:
+            ordkey = F.when(F.col("_in"), F.struct(*[F.col(o) for o in order]))
+            first_aggs.append(F.min_by(F.struct(*[F.col(c) for c in carry]), ordkey).alias("_first_carry"))
+        summary = rows.groupBy(*kb).agg(F.count(F.when(F.col("_in"), F.lit(1))).alias("_n"), *first_aggs)
+    summ = summary
     wk = W.partitionBy(*key).orderBy(asc(bucket))
     after = wk.rowsBetween(1, W.unboundedFollowing)
     summ = summ.select(

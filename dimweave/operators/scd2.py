@@ -72,21 +72,37 @@ def _flag_untouched(rows: DataFrame, matched) -> DataFrame:
     })
 
 
+# Order of stored rows that share (key, checksum, start), and of batch rows.
 _TIE = [EX, "seen_count", VT, "media_blob", "media_duration", "is_current", "is_deleted"]
+_BATCH_TIE = [EX, "media_blob", "media_duration"]
+
+
+def _ordered(cols: Sequence[str]):
+    """A struct that compares as ``cols`` ascending, nulls last; value ``i`` is its field ``v<i>``."""
+    return F.struct(*[x for i, c in enumerate(cols) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
 
 
 def _apply_union(dim: DataFrame, batch: DataFrame, key: Sequence[str], parts: int | None,
-                 bounds: DataFrame, bucket_unit: str) -> DataFrame:
+                 bounds: DataFrame | None, bucket_unit: str) -> DataFrame:
     """Exact apply over the union of dimension rows and raw batch rows.
 
-    ``dim`` carries ``_key_in_batch``.  Rows are hash-partitioned once on
-    (key, day of start); every window partitions by a superset of that, and
-    the per-key chains are stitched across days from a small per-(key, day)
-    summary (``chains.chain_links``), so a key holding a large share of the
+    ``dim`` carries ``_key_in_batch``; ``bounds`` is needed only if that can be
+    false.  Rows are hash-partitioned once on (key, day of start) and sorted twice.
+    One aggregate per version (key, checksum, start) gathers both sides, its
+    first stored row (alone and live before deleted) and its first batch row, and
+    tells what becomes of them:
+
+    * a live stored row that the batch re-sends stays, and the version has no other row;
+    * otherwise the stored row and the batch row, as far as there are any,
+      enter the key's chain, and the one extracted first is the version's row;
+    * stored rows of a key that the batch lacks stay, with a new delete flag.
+
+    Chains are stitched across days by a summary of one row per (key, day),
+    counted from flags alone, so a key holding a large share of the
     rows is still spread over many tasks.
     """
     key = list(key)
-    k4b = [*key, "checksum", VF, "_bk"]
+    version = [*key, "_bk", "checksum", VF]
     d = dim.select(*DIM_COLUMNS, "_key_in_batch", F.lit(False).alias("_b"))
     s = add_checksum(batch).select(
         *key, F.col("media_duration").cast("int").alias("media_duration"), "media_blob",
@@ -96,32 +112,47 @@ def _apply_union(dim: DataFrame, batch: DataFrame, key: Sequence[str], parts: in
         F.lit(True).alias("_key_in_batch"), F.lit(True).alias("_b"))
     u = d.unionByName(s).withColumn("_bk", time_bucket(VF, bucket_unit))
     u = u.repartition(parts, *key, "_bk") if parts else u.repartition(*key, "_bk")
-    u = u.crossJoin(bounds)
-
-    # 1. keep the earliest extract per (key, checksum, start) among batch rows
-    wb = W.partitionBy(*k4b, "_b").orderBy(asc(EX), asc("media_blob"), asc("media_duration"))
-    u = u.select("*", F.row_number().over(wb).alias("_rb")).where(~F.col("_b") | (F.col("_rb") == 1))
-
-    # 2. existence of (key, checksum, start) in the batch; which rows are kept as they are
-    cmp_ok = F.col("checksum").isNotNull() & F.col(VF).isNotNull()
-    u = u.select("*", (cmp_ok & ~F.col("_b") & F.max("_b").over(W.partitionBy(*k4b))).alias("_matched"))
-    retained = ~F.col("_b") & ((F.col("_matched") & ~F.col("is_deleted")) | ~F.col("_key_in_batch"))
-    u = u.select("*", retained.alias("_retained"))
-    u = (u.select("*", (cmp_ok & F.max("_retained").over(W.partitionBy(*k4b))).alias("_excluded"))
-          .where(F.col("_retained") | ~F.col("_excluded")))
-
-    # 3. retained rows: delete flag; all rows: keep first per (key, checksum, start, role)
-    u = _flag_untouched_where(u, F.col("_retained"), F.col("_matched"))
-    wd = W.partitionBy(*k4b, "_retained", "_b").orderBy(*[asc(c) for c in _TIE])
-    u = u.select("*", F.row_number().over(wd).alias("_rd")).where(F.col("_rd") == 1)
-
-    # 4. chains over the non-retained rows, stitched across days
+
+    stored, dead = ~F.col("_b"), F.coalesce(F.col("is_deleted"), F.lit(False))
+    comparable = F.col("checksum").isNotNull() & F.col(VF).isNotNull()
+    tie = _ordered(_TIE)
+    groups = u.groupBy(*version).agg(
+        F.min(F.when(stored, tie)).alias("_any"), F.min(F.when(stored, F.struct(dead.alias("dead"), tie.alias("row")))).alias("_own"),
+        F.min(F.when(F.col("_b"), _ordered(_BATCH_TIE))).alias("_new"), F.max("_key_in_batch").alias("_in_batch"))
+    sent = comparable & F.col("_new").isNotNull()
+    stays = F.coalesce(~F.col("_in_batch") | (sent & ~F.col("_own.dead")), F.lit(False))
+    own = F.when(F.col("_in_batch") & sent, F.col("_own.row")).otherwise(F.col("_any"))
+
+    def stored_row(keep):
+        return F.struct(*[own[f"v{i}"].alias(c) for i, c in enumerate(_TIE)], F.lit(False).alias("_b"), keep.alias("_keep"))
+
+    kinds = dict(u.dtypes)
+    from_batch = {c: F.col(f"_new.v{i}") for i, c in enumerate(_BATCH_TIE)}
+    constant = {"is_deleted": F.lit(False)}
+    batch_row = F.struct(*[from_batch.get(c, constant.get(c, F.lit(None).cast(kinds[c]))).alias(c) for c in _TIE],
+                         F.lit(True).alias("_b"), F.lit(True).alias("_keep"))
+    # of two rows the one extracted first is kept (the stored one if at once)
+    earlier = F.struct(own["n0"], own["v0"]) <= F.struct(F.col("_new.n0"), F.col("_new.v0"))
+    both = F.array(stored_row(earlier), batch_row.withField("_keep", ~earlier))
+    none_stored = F.col("_any").isNull()
+    emitted = (F.when(stays | F.col("_new").isNull(), F.array(stored_row(F.lit(True))))
+                .when(none_stored, F.array(batch_row)).otherwise(both))
+    rows = groups.select(*version, stays.alias("_retained"), "_in_batch", F.explode(emitted).alias("_row"))
+    rows = rows.select(*version, "_retained", "_in_batch", *[F.col(f"_row.{c}").alias(c) for c in [*_TIE, "_b", "_keep"]])
+    if bounds is not None:
+        rows = _flag_untouched_where(rows.crossJoin(bounds), ~F.col("_in_batch"))
+
+    # the chain rows of a (key, day), from flags alone: no payload, no sort
+    flags = u.groupBy(*version).agg(F.max("_b").alias("_new"), F.max(stored).alias("_old"), F.max(stored & ~dead).alias("_live"),
+                                    F.max("_key_in_batch").alias("_in_batch"))
+    n = F.when(~F.col("_in_batch") | (comparable & F.col("_new") & F.col("_live")), 0).otherwise(F.col("_new").cast("int") + F.col("_old").cast("int"))
+    summary = flags.withColumn("_c", n).groupBy(*key, "_bk").agg(F.sum("_c").alias("_n"), F.min(F.when(F.col("_c") > 0, F.col(VF))).alias("_first"))
+
     chain = ~F.col("_retained")
-    u = chain_links(u, key, [VF, EX, "checksum", "_b"], VF, "_bk", include=chain, partitioned=True)
-    u = u.select("*", F.max(EX).over(W.partitionBy(*key, "_bk", VF, "_retained")).alias("_max_extract"))
-    wf = W.partitionBy(*k4b, "_retained").orderBy(asc(EX), asc("_seen"))
-    u = u.select("*", F.row_number().over(wf).alias("_rf")).where(~chain | (F.col("_rf") == 1))
-    return u.select(
+    rows = chain_links(rows, key, [VF, EX, "checksum", "_b"], VF, "_bk", include=chain, partitioned=True, summary=summary)
+    rows = rows.withColumn("_in", chain)  # the chain's own partitions, so its sort serves again
+    rows = rows.select("*", F.max(EX).over(W.partitionBy(*key, "_bk", "_in", VF)).alias("_max_extract")).where("_keep")
+    return rows.select(
         *key, "media_duration", "media_blob",
         F.when(chain, F.col("_seen")).otherwise(F.col("seen_count")).alias("seen_count"),
         VF,
@@ -132,9 +163,9 @@ def _apply_union(dim: DataFrame, batch: DataFrame, key: Sequence[str], parts: in
         "checksum")
 
 
-def _flag_untouched_where(rows: DataFrame, where, matched) -> DataFrame:
-    """``_flag_untouched`` applied only to rows satisfying ``where``."""
-    inw = where & _in_window(matched)
+def _flag_untouched_where(rows: DataFrame, where) -> DataFrame:
+    """``_flag_untouched`` applied only to rows satisfying ``where``, none of which the batch re-sends."""
+    inw = where & _in_window(F.lit(False))
     return rows.withColumns({
         VT: F.when(inw & F.col(VT).isNull(), F.col("max_extract_ts")).otherwise(F.col(VT)),
         "is_current": F.when(inw & F.col("is_current"), F.lit(False)).otherwise(F.col("is_current")),
@@ -184,7 +215,7 @@ def apply_batch(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
     touched, untouched = split_by_keys(dim, keys, key)
     touched = touched.withColumn("_key_in_batch", F.lit(True))
     kept = _flag_untouched(untouched.crossJoin(bounds), F.lit(False)).select(*DIM_COLUMNS)
-    return kept.unionByName(_apply_union(touched, batch, key, parts, bounds, bucket_unit))
+    return kept.unionByName(_apply_union(touched, batch, key, parts, None, bucket_unit))
 
 
 def conform_dim_like(df: DataFrame) -> DataFrame:
