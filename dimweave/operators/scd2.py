@@ -206,16 +206,33 @@ def apply_batch(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *,
     key = list(key)
     dim = reject_null_keys(conform_dim_like(dim), key)
     batch = reject_null_keys(batch, key)
-    bounds = F.broadcast(batch_bounds(batch, key))
-    keys = broadcast_if_small(batch.select(*key).distinct(), broadcast_rows, known_max=batch_rows)
     if not dim_is_versioned:
+        bounds = F.broadcast(batch_bounds(batch, key))
+        keys = broadcast_if_small(batch.select(*key).distinct(), broadcast_rows, known_max=batch_rows)
         flagged = (dim.join(keys.withColumn("_key_in_batch", F.lit(True)), on=key, how="left")
                       .withColumn("_key_in_batch", F.coalesce(F.col("_key_in_batch"), F.lit(False))))
         return _apply_union(flagged, batch, key, parts, bounds, bucket_unit)
+    kept, chained, _ = apply_parts(dim, batch, key, broadcast_rows=broadcast_rows, parts=parts, bucket_unit=bucket_unit, batch_rows=batch_rows)
+    return kept.select(*DIM_COLUMNS).unionByName(chained)
+
+
+def apply_parts(dim: DataFrame, batch: DataFrame, key: Sequence[str] = KEY, *, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                parts: int | None = None, bucket_unit: str = "day",
+                batch_rows: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``apply_batch`` of a versioned dimension (without null keys) in its parts.
+
+    ``(kept, chained, touched)``: the rows of keys the batch lacks with their
+    new flags and ``_changed`` (whether a flag or an end differs from what is stored), the
+    rows of the batch's keys as they become, and as they are stored.
+    """
+    key = list(key)
+    bounds = F.broadcast(batch_bounds(batch, key))
+    keys = broadcast_if_small(batch.select(*key).distinct(), broadcast_rows, known_max=batch_rows)
     touched, untouched = split_by_keys(dim, keys, key)
-    touched = touched.withColumn("_key_in_batch", F.lit(True))
-    kept = _flag_untouched(untouched.crossJoin(bounds), F.lit(False)).select(*DIM_COLUMNS)
-    return kept.unionByName(_apply_union(touched, batch, key, parts, None, bucket_unit))
+    chained = _apply_union(touched.withColumn("_key_in_batch", F.lit(True)), batch, key, parts, None, bucket_unit)
+    before = F.struct("is_deleted", "is_current", VT)
+    kept = _flag_untouched(untouched.withColumn("_before", before).crossJoin(bounds), F.lit(False))
+    return kept.select(*DIM_COLUMNS, (~before.eqNullSafe(F.col("_before"))).alias("_changed")), chained, touched
 
 
 def conform_dim_like(df: DataFrame) -> DataFrame:

@@ -149,3 +149,24 @@ from v_dim order by author_id, media_id, valid_from_ts limit 1"""))
 def limit_sample(spark, sf):
     return reports.sample_row(fx.v_dim(spark, sf).select(*scd2.LEGACY_DIM_COLUMNS),
                               ["author_id", "media_id", "valid_from_ts"])
+
+
+@query("audit_intervals", with_views("""
+select author_id, media_id, n_versions, n_current, n_deleted, n_gaps, n_overlaps, issue
+from (
+  select *, concat_ws(',', case when n_current = 0 and n_deleted < n_versions then 'no current' end,
+                      case when n_current > 1 then 'several current' end,
+                      case when n_gaps > 0 then 'gap' end, case when n_overlaps > 0 then 'overlap' end) as issue
+  from (
+    select author_id, media_id, count(*) as n_versions, count(*) filter (is_current) as n_current, count(*) filter (is_deleted) as n_deleted,
+           count(*) filter (valid_from_ts > ended) as n_gaps, count(*) filter (valid_from_ts < ended) as n_overlaps
+    from (
+      select *, max(coalesce(valid_to_ts, timestamp '9999-12-31 23:59:59.999999')) over (
+                  partition by author_id, media_id order by valid_from_ts, coalesce(valid_to_ts, timestamp '9999-12-31 23:59:59.999999')
+                  rows between unbounded preceding and 1 preceding) as ended
+      from r_result)
+    group by author_id, media_id))
+where issue <> ''""", apply_ctes("r_", "v_dim", "v_rescrape")))
+def audit_intervals(spark, sf):
+    """Keys without one gapless chain after a re-scrape: no current version, several, gaps, overlaps."""
+    return audit.intervals(scd2.apply_batch(fx.v_dim(spark, sf), fx.v_rescrape(spark, sf)))

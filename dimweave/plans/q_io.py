@@ -9,16 +9,18 @@ import datetime as dt
 from pyspark.sql import functions as F, types as T
 
 from ..operators import merge as mg, scd2
-from ..schemas import CHAT_PAGE_SCHEMA, DIM_SCHEMA, split_null_keys
+from ..schemas import CHAT_PAGE_SCHEMA, DIM_SCHEMA, WALL_PAGE_SCHEMA, split_null_keys
 from ..session import work_dir
+from ..operators.flatten import flatten_wall
 from ..sources import json_pages as jp, tables as tb
-from ..streaming.ingest import ingest_pages, read_staging
+from ..sources.partitioned import PartitionedDimension
+from ..streaming.ingest import ingest_pages, ingest_wall, read_staging
 from . import fixtures as fx
-from .load import DimensionStore, run_load
+from .load import DimensionStore, run_load, run_rebuild
 from .oracle_views import with_views
 from .q_dimension import EMPTY_DIM_SQL
 from .registry import query
-from .sql_scd2 import DIM_COLS, LEGACY_COLS, apply_ctes
+from .sql_scd2 import DIM_COLS, LEGACY_COLS, apply_ctes, rebuild_ctes
 
 FLAT_V_CHAT = """
 select chat_id, fromUser.id as author_id, array_to_string(media, '|') as media_text,
@@ -285,3 +287,89 @@ def src_rejected_rows(spark, sf):
     _accepted, rejected = split_null_keys(v)
     return rejected.select("author_id", "media_id", "media_duration", "media_blob", "valid_from_ts", "checksum",
                            F.concat_ws(", ", *[F.when(F.col(c).isNull(), F.lit(c)) for c in ("author_id", "media_id")]).alias("null_columns"))
+
+
+@query("scd2_partition_apply", with_views("select * from r_result", apply_ctes("r_", "v_dim", "v_daily")))
+def scd2_partition_apply(spark, sf):
+    """The daily batch applied in place to a dimension stored by day of start; only days with a changed row are written."""
+    store = PartitionedDimension(spark, f"{work_dir(spark, 'partitioned')}/dim", unit="day")
+    store.create(fx.v_dim(spark, sf))
+    store.apply(fx.v_daily(spark, sf))
+    return store.read()
+
+
+# Chat of which some messages lack their author and some payloads their id.
+_HOLED = {"v_holed": """
+select chat_id, case when chat_id % 13 = 5 then struct_pack(id := cast(null as varchar)) else fromUser end as fromUser,
+       case when chat_id % 7 = 2 then list_transform(media, lambda m: replace(m, '"id"', '"no"')) else media end as media, price, created_ts
+from v_chat"""}
+
+
+def _holed(spark, sf):
+    chat, cid = fx.v_chat(spark, sf), F.col("chat_id")
+    nobody = F.struct(F.lit(None).cast("string").alias("id"))
+    return chat.select("chat_id", F.when(cid % 13 == 5, nobody).otherwise(F.col("fromUser")).alias("fromUser"),
+                       F.when(cid % 7 == 2, F.transform("media", lambda m: F.replace(m, F.lit('"id"'), F.lit('"no"')))).otherwise(F.col("media")).alias("media"),
+                       "price", "created_ts")
+
+
+@query("load_rejected_rows", with_views("""
+select author_id, media_id, media_duration, media_blob, valid_from_ts,
+       concat_ws(', ', case when author_id is null then 'author_id' end, case when media_id is null then 'media_id' end) as null_columns,
+       n_read, n_read - n_rejected as n_accepted, n_rejected
+from (select *, count(*) over () as n_read, count(*) filter (author_id is null or media_id is null) over () as n_rejected from h_batch)
+where author_id is null or media_id is null""", {**EMPTY_DIM_SQL, **_HOLED, **_batch_ctes("h_", "v_holed", "empty_dim", "2024-02-01 00:00:00")}))
+def load_rejected_rows(spark, sf):
+    """Rows a load run rejects, saved by the same write as the accepted ones, with the counts observed on it."""
+    store = DimensionStore(spark, work_dir(spark, "rejects"))
+    run_load(store, _holed(spark, sf), RUN_2, run_id=1, history=False)
+    n = store.counts
+    return store.rejects().select("author_id", "media_id", "media_duration", "media_blob", "valid_from_ts", "null_columns",
+                                  *[F.lit(n[k]).cast("bigint").alias(f"n_{k}") for k in ("read", "accepted", "rejected")])
+
+
+@query("load_accepted_rows", with_views("select * from d_result", {
+    **EMPTY_DIM_SQL, **_HOLED, **_batch_ctes("h_", "v_holed", "empty_dim", "2024-02-01 00:00:00"), **apply_ctes("d_", "empty_dim", "h_batch")}))
+def load_accepted_rows(spark, sf):
+    """The dimension of the same run: the accepted rows alone."""
+    store = DimensionStore(spark, work_dir(spark, "accepts"))
+    run_load(store, _holed(spark, sf), RUN_2, run_id=1, history=False)
+    return store.current()
+
+
+_REBUILD = {**EMPTY_DIM_SQL, "chat_first": _FULL["chat_first"], **_batch_ctes("c1_", "chat_first", "empty_dim", "2024-01-15 00:00:00"),
+            **rebuild_ctes("e1_", "empty_dim", "c1_batch"), **_batch_ctes("c2_", "v_chat", "e1_result", "2024-02-01 00:00:00"),
+            **rebuild_ctes("e2_", "e1_result", "c2_batch")}
+
+
+@query("rebuild_full_run", with_views(f"""
+select {LEGACY_COLS}, cast(1 as bigint) as run_id from e1_result
+union all
+select {LEGACY_COLS}, cast(2 as bigint) as run_id from e2_result""", _REBUILD))
+def rebuild_full_run(spark, sf):
+    """Two runs of the chain-rebuild flavour and the snapshots they leave; the second run is told twice and counts once."""
+    store = DimensionStore(spark, work_dir(spark, "rebuild-run"))
+    chat = fx.v_chat(spark, sf)
+    run_rebuild(store, chat.where(F.col("created_ts") < F.lit(RUN_1).cast("timestamp_ntz")), RUN_1, run_id=1)
+    run_rebuild(store, chat, RUN_2, run_id=2)
+    run_rebuild(store, chat, RUN_2, run_id=2)
+    return store.history()
+
+
+@query("wall_ingest", with_views("""
+select author_id, post_id, media_id, posted_ts, cast(posted_ts as date) as posted_date from v_wall where posted_ts is not null"""))
+def wall_ingest(spark, sf):
+    """Wall pages through their own stream into their own staging table, flattened to a row per medium."""
+    path = work_dir(spark, "wall-pages")
+    jp.write_wall_pages(fx.v_wall(spark, sf), path)
+    root = work_dir(spark, "wall-stream")
+    ingest_wall(spark, path, f"{root}/staging", f"{root}/_checkpoint", RUN_2, max_files_per_trigger=20)
+    return flatten_wall(read_staging(spark, f"{root}/staging", WALL_PAGE_SCHEMA))
+
+
+@query("src_wall_json_scan", with_views("select author_id, post_id, media_id, posted_ts, cast(posted_ts as date) as posted_date from v_wall"))
+def src_wall_json_scan(spark, sf):
+    """Wall pages read back with the fixed wall schema."""
+    path = work_dir(spark, "wall-scan")
+    jp.write_wall_pages(fx.v_wall(spark, sf), path)
+    return flatten_wall(jp.read_pages(spark, path, WALL_PAGE_SCHEMA))

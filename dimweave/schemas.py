@@ -52,6 +52,21 @@ LEGACY_DIM_COLUMNS = ["author_id", "media_id", "media_duration", "media_blob", "
 SOURCE_BATCH_COLUMNS = ["author_id", "media_id", "media_duration", "media_blob", "seen_count",
                         "valid_from_ts", "valid_to_ts", "is_current", "extract_ts"]
 
+# A staged source batch as it is stored: with the reason of a reject, and which of the two outputs a row is in.
+STAGED_BATCH_SCHEMA = T.StructType([
+    T.StructField("author_id", T.StringType()),
+    T.StructField("media_id", T.StringType()),
+    T.StructField("media_duration", T.StringType()),
+    T.StructField("media_blob", T.StringType()),
+    T.StructField("seen_count", T.IntegerType()),
+    T.StructField("valid_from_ts", T.TimestampNTZType()),
+    T.StructField("valid_to_ts", T.TimestampNTZType()),
+    T.StructField("is_current", T.BooleanType()),
+    T.StructField("extract_ts", T.TimestampNTZType()),
+    T.StructField("null_columns", T.StringType()),
+    T.StructField("rejected", T.BooleanType()),
+])
+
 
 def empty_dim(spark) -> DataFrame:
     return spark.createDataFrame([], DIM_SCHEMA)
@@ -78,3 +93,9 @@ def split_null_keys(df: DataFrame, keys=KEY) -> tuple[DataFrame, DataFrame]:
 
 def reject_null_keys(df: DataFrame, keys=KEY) -> DataFrame:
     return split_null_keys(df, keys)[0]
+
+
+def null_columns(keys=KEY):
+    """The names of the key columns that are null, joined by commas; null if none is."""
+    names = F.concat_ws(", ", *[F.when(F.col(k).isNull(), F.lit(k)) for k in keys])
+    return F.when(names != "", names)

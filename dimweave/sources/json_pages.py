@@ -106,6 +106,22 @@ def write_chat_pages(chat: DataFrame, path: str, *, page_size: int = 10, envelop
     return out.select("page_date", "page_no", "n_rows")
 
 
+def write_wall_pages(wall: DataFrame, path: str, *, page_size: int = 10) -> None:
+    """Write wall posts (a row per medium: ``author_id, post_id, media_id, posted_ts``) as JSON pages, one page per line.
+
+    A page holds the posts with the same ``post_id div page_size``, in one folder per posting day.
+    """
+    posted = F.date_format("posted_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    posts = wall.groupBy("author_id", "post_id", "posted_ts").agg(F.sort_array(F.collect_list("media_id")).alias("_ids"))
+    media = F.concat(F.lit("["), F.array_join(F.transform("_ids", lambda m: F.concat(F.lit('{"id":'), m.cast("string"), F.lit("}"))), ","), F.lit("]"))
+    rec = F.concat(F.lit('{"id":'), _jstr(F.col("post_id")), F.lit(',"author":'), F.to_json(F.struct(F.col("author_id").alias("id"))),
+                   F.lit(',"media":'), media, F.lit(',"postedAt":'), _jstr(posted), F.lit("}"))
+    pages = posts.groupBy(F.to_date("posted_ts").alias("page_date"), F.expr(f"post_id div {int(page_size)}").alias("page_no")).agg(
+        F.sort_array(F.collect_list(F.struct("post_id", "author_id", rec.alias("rec")))).alias("_rs"))
+    body = F.concat(F.lit("["), F.array_join(F.transform("_rs", lambda r: r["rec"]), ","), F.lit("]"))
+    pages.select("page_date", body.alias("value")).write.mode("overwrite").partitionBy("page_date").text(path)
+
+
 def flat_chat_view(staged: DataFrame) -> DataFrame:
     """Scalar projection of staged chat records (for reports and checks)."""
     media = F.col("media")

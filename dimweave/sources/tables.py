@@ -85,13 +85,25 @@ class VersionedTable:
     def has_tag(self, tag: str) -> bool:
         return self.tagged(tag) is not None
 
-    def _claim(self, version: int) -> None:
-        """Reserve a version number at commit; the mark is created without overwrite, so of two writers one fails."""
-        jvm = self.spark.sparkContext._jvm
-        mark = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_claims/{version:06d}")
-        fs = mark.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.createNewFile(mark):
+    def _commit(self, row: tuple) -> None:
+        """Makes a written version current, at once: its log row is written beside the log and moved into it.
+
+        The row's file is named after the version and moving does not
+        overwrite, so of two writers one fails, and a writer that dies before the
+        move leaves the table as it was.
+        """
+        spark, version = self.spark, row[0]
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path
+        draft = f"{self.path}/_drafts/{uuid.uuid4().hex[:12]}"
+        spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.parquet(draft)
+        fs = path(draft).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        written = next(f.getPath() for f in fs.globStatus(path(f"{draft}/part-*.parquet")))
+        fs.mkdirs(path(self.log_path))
+        place = path(f"{self.log_path}/version-{version:06d}.parquet")
+        if fs.exists(place) or not fs.rename(written, place):
             raise RuntimeError(f"version {version} of {self.path} was committed by another writer")
+        fs.delete(path(draft), True)
 
     def version_path(self, version: int) -> str:
         return f"{self.path}/{self._entry(version)['folder']}"
@@ -123,21 +135,19 @@ class VersionedTable:
         got = obs.get
         n = got["n"]
         row = (v, dt.datetime.now(), n, tag, got.get("lo"), got.get("hi"), folder)
-        self._claim(v)
-        commit = self.spark.createDataFrame([row], LOG_SCHEMA)
-        commit.coalesce(1).write.mode("append").parquet(self.log_path)
+        self._commit(row)
         self._entries[v] = dict(zip(["version", "committed_at", "n_rows", "tag", "min_ts", "max_ts", "folder"], row))
         return v
 
 
-def append_snapshot(history_path: str, dim: DataFrame, run_id: int) -> None:
+def append_snapshot(history_path: str, dim: DataFrame, run_id: int, *, alone: bool = False) -> None:
     """Append the whole dimension as snapshot ``run_id`` (partitioned by run).
 
     Dynamic partition overwrite makes a retried run replace its own snapshot
-    instead of adding a second copy.
+    instead of adding a second copy; ``alone`` drops the snapshots of other runs.
     """
     (dim.withColumn("run_id", F.lit(int(run_id)).cast("bigint"))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(history_path))
+        .write.mode("overwrite").option("partitionOverwriteMode", "static" if alone else "dynamic").partitionBy("run_id").parquet(history_path))
 
 
 def read_history(spark: SparkSession, history_path: str) -> DataFrame:

@@ -164,10 +164,30 @@ def test_time_range_is_scanned_when_not_recorded(spark):
     assert t.time_range(ts_col="valid_from_ts") == (dt.datetime(2025, 1, 2), dt.datetime(2025, 1, 2))
     with pytest.raises(ValueError):
         t.time_range()
-    other = VersionedTable(spark, t.path)
-    other._claim(2)  # a second writer has committed version 2 meanwhile
-    with pytest.raises(RuntimeError):
-        t.publish(rows)
+
+
+def test_publish_survives_a_dead_writer_and_refuses_a_second_one(spark, monkeypatch):
+    rows = spark.createDataFrame([(1,)], "a int")
+    t = VersionedTable(spark, work_dir(spark, "t-crash-publish"))
+    t.publish(rows)
+    with monkeypatch.context() as m:  # dies after the rows are written, before they are committed
+        m.setattr(VersionedTable, "_commit", lambda self, row: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            t.publish(rows.union(rows))
+    assert t.current_version() == 1 and t.read().count() == 1
+    assert t.publish(rows.union(rows)) == 2 and t.read().count() == 2
+    real, late = VersionedTable._commit, []
+
+    def overtaken(self, row):  # another writer commits the same version first
+        if not late:
+            late.append(1)
+            VersionedTable(spark, t.path).publish(rows)
+        real(self, row)
+
+    monkeypatch.setattr(VersionedTable, "_commit", overtaken)
+    with pytest.raises(RuntimeError, match="another writer"):
+        t.publish(rows.union(rows))
+    assert t.current_version() == 3 and t.read().count() == 1
 
 
 def test_work_dir_under_checkpoint(spark):
