@@ -10,9 +10,12 @@ lie in segments of the same anchor.  An index over whole anchor groups sees
 every pair of equal windows, whatever the number of indexes.
 
 Equal segments collapse to one text with its number of copies before they
-travel.  An anchor picked by more than ``HOT`` segments is not gathered: the
-windows of its distinct segments are counted one by one by a 128-bit content
-hash, with partial sums before the shuffle and no group in one task.
+travel.  An anchor picked by more than ``HOT`` distinct segments is refined
+until its parts fit: its windows are halved by the anchor's place in them, and
+each half is keyed by the anchor with the symbols next to it that all windows
+of the half hold.  Equal windows fall in the same half and share those symbols,
+so they stay together; the index takes the parts like other groups.  After
+as many halvings as the width has binary digits a part is one window.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import byte_rows, stored, with_row_id
 
-#: Segments of one anchor that an index may gather: with twice the width each,
-#: some MB of text and about a hundred bytes of index per byte of it.
+#: Distinct segments of one group that an index may gather: with twice the width
+#: each, some MB of text and about a hundred bytes of index per byte of it.
 HOT = 5000
 #: Bytes handled at once; also keeps places within 24 bits.
 PIECE = 1 << 21
@@ -170,8 +173,61 @@ def squeezed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, ", ".join(f"{c} {'binary' if c == '_text' else types[c]}" for c in docs.columns))
 
 
+def halved(rows: DataFrame, width: int, gram: int, symbols: Callable, cut: Callable) -> DataFrame:
+    """Splits segments by the anchor's place in their windows.
+
+    All windows of a row hold ``_left`` symbols before the anchor and ``_right``
+    after it; each of its two halves holds more of one side, and its
+    ``_group`` is the hash of the anchor with those symbols.
+    """
+    room = width - gram
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for x in b.to_pylist():
+                data = np.frombuffer(x["_segment"], np.uint8)
+                s, _ = symbols(data, np.array([0, len(data)]))
+                prefix, second = prefix_hash(s), prefix_hash(s, 1)
+                at = np.arange(room + 1)
+                anchor = int(np.flatnonzero(gram_hash(prefix, at, at + gram) == np.uint64(x["_anchor"] % (1 << 64)))[-1])  # the rightmost in the first window
+                left, right = x["_left"], x["_right"]
+                middle = (left + room - right + 1) // 2
+                parted = min(max(anchor - middle + 1, 0), x["_windows"])  # windows before this one hold `middle` symbols before the anchor
+                for first, last, l, r in ((0, parted, middle, right), (parted, x["_windows"], left, room - middle + 1)):
+                    if first < last:
+                        group = gram_hash(second, np.array([anchor - l]), np.array([anchor + gram + r]), 1)
+                        group = int((mix(group ^ np.uint64(l << 32 | r))).view(np.int64)[0])
+                        text = next(iter(cut(x["_segment"], np.array([first]), np.array([last - first]))))
+                        out.append(x | {"_group": group, "_left": l, "_right": r, "_offset": x["_offset"] + first, "_windows": last - first,
+                                        "_segment": text, "_key": hashlib.blake2b(text, digest_size=16).digest()})
+            yield pa.RecordBatch.from_pylist(out, schema=b.schema)
+
+    return rows.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in rows.dtypes))
+
+
+def crowds(rows: DataFrame, name: str) -> DataFrame:
+    """``_group`` of the groups of over ``HOT`` distinct segments, stored."""
+    return stored(rows.select("_group", "_key").distinct().groupBy("_group").agg(F.count("*").alias("_n")).where(F.col("_n") > HOT).drop("_n"), name)
+
+
+def refined(rows: DataFrame, width: int, gram: int, symbols: Callable, cut: Callable, name: str) -> DataFrame:
+    """Segments whose groups are crowded, halved until none is; parts of a group of one segment without copies are left out."""
+    done = None
+    while True:
+        parts = stored(halved(rows, width, gram, symbols, cut), f"{name}-parts")
+        several = stored(parts.groupBy("_group").agg(F.sum("_copies").alias("_n")).where("_n > 1").drop("_n"), f"{name}-several")
+        parts = parts.join(several, "_group", "left_semi")
+        full = crowds(parts.where(F.col("_left") + F.col("_right") < width - gram), f"{name}-crowds")
+        fit = parts.join(full, "_group", "left_anti")
+        done = fit if done is None else done.unionByName(fit)
+        if not full.count():
+            return done
+        rows = parts.join(full, "_group", "left_semi")
+
+
 def repeated_places(docs: DataFrame, width: int, gram: int, symbols: Callable, cut: Callable, index: Callable, name: str) -> tuple[DataFrame, DataFrame]:
-    """``(docs, places)``: the documents with ``_rid``, and ``_rid, _first, _count`` runs of window starts whose window occurs elsewhere.
+    """``(docs, places)``: the documents with ``_rid``, and ``_rid, _first, _runs``: from ``_first`` on, runs of window starts whose window occurs elsewhere.
 
     ``cut(text, firsts, counts)`` yields a segment's bytes for every run of windows;
     ``index(segments)`` maps a list of (bytes, windows, copies) to a list of boolean arrays.
@@ -179,9 +235,9 @@ def repeated_places(docs: DataFrame, width: int, gram: int, symbols: Callable, c
     docs = with_row_id(docs)
     thin = docs.select("_rid", "_text")
     anchors = anchor_rows(thin, width, gram, symbols)
-    often = anchors.groupBy("_anchor").agg(F.count("*").alias("_n")).where("_n > 1")
-    chosen = anchors.join(often, "_anchor").groupBy("_rid").agg(
-        F.array_sort(F.collect_list(F.struct("_first", "_windows", "_anchor", (F.col("_n") > HOT).alias("_hot")))).alias("_picks"))
+    # stored, so that the join below is of two plain shuffles and a hot anchor's partition can be split
+    often = stored(anchors.groupBy("_anchor").agg(F.count("*").alias("_n")).where("_n > 1").drop("_n"), f"{name}-often")
+    chosen = anchors.join(often, "_anchor").groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct("_first", "_windows", "_anchor"))).alias("_picks"))
     with_text = squeezed(thin).join(chosen, "_rid")  # a document's own anchors: as long as its text at most
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,15 +255,17 @@ def repeated_places(docs: DataFrame, width: int, gram: int, symbols: Callable, c
                 at = slice(int(ends[lo]), int(ends[hi]))
                 keys = [hashlib.blake2b(x, digest_size=16).digest() for x in found]
                 yield pa.RecordBatch.from_arrays(
-                    [picks.field(2)[at], picks.field(3)[at], pa.array(np.repeat(rids[lo:hi], np.diff(ends[lo:hi + 1]))), pa.array(first[at]), pa.array(windows[at]), pa.array(keys, pa.binary()), pa.array(found, pa.binary())],
-                    ["_anchor", "_hot", "_rid", "_first", "_windows", "_key", "_segment"])
+                    [picks.field(2)[at], pa.array(np.repeat(rids[lo:hi], np.diff(ends[lo:hi + 1]))), pa.array(first[at]), pa.array(windows[at]), pa.array(keys, pa.binary()), pa.array(found, pa.binary())],
+                    ["_anchor", "_rid", "_first", "_windows", "_key", "_segment"])
                 lo = hi
 
-    segments = stored(with_text.mapInArrow(cut_out, "_anchor long, _hot boolean, _rid long, _first int, _windows int, _key binary, _segment binary"), name)
-    texts = segments.groupBy("_anchor", "_hot", "_key", "_segment").agg(F.max("_windows").alias("_windows"), F.count("*").alias("_copies"))
+    segments = stored(with_text.mapInArrow(cut_out, "_anchor long, _rid long, _first int, _windows int, _key binary, _segment binary"), name)
+    grouped = segments.withColumnRenamed("_anchor", "_group")
+    full = crowds(grouped, f"{name}-crowds")
+    texts = grouped.groupBy("_group", "_key", "_segment").agg(F.max("_windows").alias("_windows"), F.count("*").alias("_copies"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Gathers whole anchor groups up to ``SHARD`` bytes of segments per index.
+        """Gathers whole groups up to ``SHARD`` bytes of segments per index; a row per segment with hits.
 
         A group that is one text needs no index: its windows differ from each
         other (they would pick different anchors), so they repeat if the text
@@ -224,12 +282,14 @@ def repeated_places(docs: DataFrame, width: int, gram: int, symbols: Callable, c
             out = []
             for x, hit in zip(many + alone, [*hits, *(np.ones(x[3], bool) for x in alone)]):
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
-                out += [(x[0], x[1], int(a), int(e - a)) for a, e in zip(edge[::2], edge[1::2])]
-            columns = list(zip(*out)) or [(), (), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.int32(), pa.int32()))], ["_anchor", "_key", "_offset", "_count"])
+                if len(edge):
+                    out.append((x[0], x[1], [{"_offset": int(a), "_count": int(e - a)} for a, e in zip(edge[::2], edge[1::2])]))
+            columns = list(zip(*out)) or [(), (), ()]
+            run = pa.list_(pa.struct([("_offset", pa.int32()), ("_count", pa.int32())]))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), run))], ["_group", "_key", "_runs"])
 
         for b in batches:
-            for x in zip(*(b.column(c).to_pylist() for c in ("_anchor", "_key", "_segment", "_windows", "_copies"))):
+            for x in zip(*(b.column(c).to_pylist() for c in ("_group", "_key", "_segment", "_windows", "_copies"))):
                 if x[0] != last and size >= SHARD:
                     yield answer()
                     held, size = [], 0
@@ -239,26 +299,25 @@ def repeated_places(docs: DataFrame, width: int, gram: int, symbols: Callable, c
         if held:
             yield answer()
 
-    def window_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for a, key, seg, w, n in zip(*(b.column(c).to_pylist() for c in ("_anchor", "_key", "_segment", "_windows", "_copies"))):
-                data = np.frombuffer(seg, np.uint8)
-                s, _ = symbols(data, np.array([0, len(data)]))
-                at = np.arange(w)
-                one, two = (pa.array(gram_hash(prefix_hash(s, k), at, at + width, k).view(np.int64)) for k in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(w, a)), pa.array([key] * w, pa.binary()), pa.array(at.astype(np.int32)), one, two, pa.array(np.full(w, n))],
-                                                 ["_anchor", "_key", "_offset", "_one", "_two", "_copies"])
-
-    shape = "_anchor long, _key binary, _offset int"
-    columns = ["_anchor", "_key", "_segment", "_windows", "_copies"]
-    spread = texts.where("not _hot").select(*columns).repartition("_anchor").sortWithinPartitions("_anchor", "_key")
-    cold = spread.mapInArrow(search, f"{shape}, _count int")
-    single = texts.where("_hot").select(*columns).mapInArrow(window_hashes, f"{shape}, _one long, _two long, _copies long")
-    twice = single.groupBy("_one", "_two").agg(F.sum("_copies").alias("_n")).where("_n > 1").drop("_n")
-    hot = single.join(twice, ["_one", "_two"]).select("_anchor", "_key", "_offset", F.lit(1).alias("_count"))
-    members = segments.select("_anchor", "_key", "_rid", "_first")
-    places = members.join(cold.unionByName(hot), ["_anchor", "_key"]).select("_rid", (F.col("_first") + F.col("_offset")).alias("_first"), "_count")
-    return docs, places
-
-
-__all__ = ["HOT", "SHARD", "byte_symbols", "word_symbols", "word_bounds", "pick_anchors", "anchor_rows", "repeated_places", "squeezed", "mix", "prefix_hash", "gram_hash", "powers"]
+    def searched(rows: DataFrame) -> DataFrame:
+        spread = rows.select("_group", "_key", "_segment", "_windows", "_copies").repartition("_group").sortWithinPartitions("_group", "_key")
+        return spread.mapInArrow(search, "_group long, _key binary, _runs array<struct<_offset: int, _count: int>>")
+
+    if not full.count():
+        hits = searched(texts)
+    else:
+        hits = searched(texts.join(full, "_group", "left_anti"))
+        crowded = texts.join(full, "_group", "left_semi").withColumns(
+            {"_anchor": F.col("_group"), "_own": F.col("_key"), "_offset": F.lit(0), "_left": F.lit(0), "_right": F.lit(0)})
+        parts = refined(crowded, width, gram, symbols, cut, name)
+        of_parts = stored(searched(parts.groupBy("_group", "_key", "_segment").agg(F.max("_windows").alias("_windows"), F.sum("_copies").alias("_copies"))), f"{name}-part-hits")
+        moved = F.transform("_runs", lambda r: F.struct((r["_offset"] + F.col("_offset")).alias("_offset"), r["_count"].alias("_count")))
+        own = parts.select("_group", "_key", "_anchor", "_own", "_offset").join(of_parts, ["_group", "_key"]).select("_anchor", "_own", moved.alias("_runs"))
+        own = own.groupBy("_anchor", "_own").agg(F.flatten(F.collect_list("_runs")).alias("_runs"))
+        hits = hits.unionByName(own.select(F.col("_anchor").alias("_group"), F.col("_own").alias("_key"), "_runs"))
+    hits = stored(hits, f"{name}-hits")
+    members = segments.select(F.col("_anchor").alias("_group"), "_key", "_rid", "_first")
+    return docs, members.join(hits, ["_group", "_key"]).select("_rid", "_first", "_runs")
+
+
+__all__ = ["HOT", "SHARD", "byte_symbols", "word_symbols", "word_bounds", "pick_anchors", "anchor_rows", "halved", "crowds", "refined", "repeated_places", "squeezed", "mix", "prefix_hash", "gram_hash", "powers"]

@@ -46,8 +46,21 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
-    """A row number that is the same in every evaluation of a file scan, unique also for repeated rows."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """A number of each row of a Parquet scan, by its file and its place in it: the same however tasks read the files.
+
+    Spark deals files out to tasks by the cores it sees when it plans a job, so
+    task numbers (``monotonically_increasing_id``) differ between the jobs of
+    one query when executors come or go.  The table of files has a row per file, as
+    the driver's own list has.  Rows that no file holds (tests) are numbered by task.
+    """
+    plain = lambda c: F.regexp_replace(c, r"^(\w+):/*", "$1:")  # noqa: E731  file:/x and file:///x are the same
+    files = sorted(df.inputFiles())
+    if not files:
+        return df.withColumn(name, F.monotonically_increasing_id())
+    numbers = df.sparkSession.createDataFrame(list(enumerate(files)), "_file long, _path string").select("_file", plain(F.col("_path")).alias("_path"))
+    place = df.select("*", plain(F.col("_metadata.file_path")).alias("_path"), F.col("_metadata.row_index").alias("_row"))
+    number = F.coalesce("_file", F.raise_error(F.lit("a row's file is not in the table's list")).cast("long"))
+    return place.join(F.broadcast(numbers), "_path", "left").select(*(F.col(c) for c in df.columns), (F.shiftleft(number, 40) + F.col("_row")).alias(name))
 
 
 def word_count(text: Column) -> Column:

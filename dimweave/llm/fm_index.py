@@ -148,7 +148,8 @@ def remove_repeats(docs: DataFrame, keep: list[str], text: str = "text", width:
     src = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names)], docs[text].cast("string").alias("_text"))
     src, places = repeated_places(
         src, width, GRAM, word_symbols, lambda t, f, c: cut_words(t, f, c, width), lambda s: search_segments(s, width), "fm-segments")
-    marks = places.groupBy("_rid").agg(F.collect_list(F.struct("_first", "_count")).alias("_runs"))
+    moved = F.transform("_runs", lambda r: F.struct((r["_offset"] + F.col("_first")).alias("_first"), r["_count"].alias("_count")))
+    marks = places.select("_rid", moved.alias("_runs")).groupBy("_rid").agg(F.flatten(F.collect_list("_runs")).alias("_runs"))
     joined = squeezed(src).join(marks, "_rid", "left").drop("_rid")
     types = dict(src.dtypes)
 
