@@ -1,31 +1,41 @@
 """N-gram Jaccard join as a blocked sparse matrix product.
 
 The incidence matrix has a row per distinct shingle set (equal sets are one
-row) and a column per shingle.  Columns that stand out in a count sketch of
-fixed size over the whole corpus come last, the others by descending length,
-since long shingles are rare (any common order is right, a rare-first one is
-cheap); a row's first columns, as many as its size bound asks for, must meet any partner's, so the product over
-those columns finds every pair.  Overlap counts are accumulated per pair, and
-pairs that the size-derived bounds rule out are discarded; the rows left over
-are multiplied in full, which gives the exact overlap.
-
-A row also carries the parities of its columns over ``PARITIES`` hashed
+row) and a column per shingle.  Columns have one order for all rows, and the
+first ones of a row, as many as its size bound asks for, must meet any
+partner's, so the product over those columns finds every pair.  The order is
+made so that little is left to multiply:
+
+* First come ``SHARE`` times as many columns, chosen by hash, as a row needs on
+  average.  Their occurrences are counted exactly, in one shuffle, and the
+  rarest come first.  A column that occurs once meets nothing, so a
+  row with enough of them is done.
+* A row that holds too few of those goes on with the others, the longest
+  shingles first, since these are rare.
+* Columns that at least one of ``OFTEN`` rows hold, by a count in hashed cells
+  while the rows are read, come last of all, and are spread by row.
+
+Overlap counts are accumulated per pair, and pairs that the size-derived bounds
+rule out are discarded; for the pairs left over the product is completed over
+all columns, which gives the exact overlap.
+
+A row also has the parities of its columns over ``PARITIES`` hashed
 buckets.  Two rows differ in at least as many columns as parities, and their
 sizes say in how many a linked pair may differ, so a pair over that bound is
 discarded where it arises; no linked pair is.
 
 A group of near copies is not multiplied out: a first product pairs each row
 with the likest of ``REACH`` neighbours in a column (by size, then at random),
-its links are joined to components, and the second product skips pairs inside
-a component.  Long columns are cut into row blocks, and each pair of blocks is
-a group of its own.
+of which its ``NEAREST`` likest are tried; their links are joined to
+components, and the second product skips pairs inside a component.  Long
+columns are cut into row blocks, and each pair of blocks is a group of its own.
 
 Defined results: words are lower-cased in A-Z only; a text of fewer words
 than a shingle has one shingle, the whole sequence; null, empty and blank texts have none,
 and are linked with nothing; repeated rows and equal sets share a
 component; a null id never names a component that has another id; an empty table gives an empty
-result; only the named columns are read.  Shingles and sets are told apart by
-64-bit hashes.
+result; only the named columns are read.  Shingles are told apart by 64-bit
+hashes, sets by 128 bits.
 """
 
 from __future__ import annotations
@@ -34,24 +44,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import zstandard
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .anchors import gram_hash, mix, prefix_hash, squeezed, word_bounds
-from .common import BROADCAST_ROWS, byte_rows, stored, with_row_id
+from .common import BROADCAST_ROWS, byte_rows, dropped, stored, with_row_id
 
 SHINGLE = 3
 #: Link when 100 * intersection >= PERCENT * union.
 PERCENT = 90
-#: Counters of the column sketch (4 bytes each, also its size as a broadcast).
-SKETCH = 1 << 20
-SKETCH_BLOCK = 1 << 14
+#: Columns counted exactly, for each that the size bound asks of a row on average.
+SHARE = 2.0
+#: A column of one in so many rows is frequent, and the binary digits of the number of cells its rows are spread over.
+OFTEN, SPREAD_BITS = 1024, 8
+#: Cells of the count that finds frequent columns.
+CELLS = 1 << 20
 #: Entries of a column that are multiplied in one group.
 BLOCK = 3000
 #: Parities of a row (8 numbers of 64 bits) in the bound on differing columns.
 PARITIES = 512
 BITS = [f"_s{k}" for k in range(PARITIES // 64)]
-#: Entries before one in its column among which the first product looks for the likest.
-REACH = 12
+#: Entries before one in its column among which the first product looks for the likest, and how many of a row's it tries.
+REACH, NEAREST = 12, 3
 PIECE = 1 << 21
 
 
@@ -102,44 +116,23 @@ def able(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: in
     return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
 
 
-def column_sketch(docs: DataFrame, size: int = SHINGLE) -> np.ndarray:
-    """How often each of ``SKETCH`` hashed columns occurs; one fixed-size vector per task, summed by blocks."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SKETCH, np.int64)
-        for b in batches:
-            for _, _, data, offsets in byte_rows(b.column("_text"), PIECE):
-                hashes, _, _ = shingle_sets(data, offsets, size)
-                total += np.bincount((hashes >> np.uint64(44)).astype(np.int64), minlength=SKETCH)
-        blocks = np.minimum(total, 0xFFFFFFFF).astype("<u4").reshape(-1, SKETCH_BLOCK)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([x.tobytes() for x in blocks], pa.binary())], ["_block", "_counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict = {}
-        for b in batches:
-            for k, counts in zip(b.column("_block").to_pylist(), b.column("_counts").to_pylist()):
-                sums[k] = sums.get(k, 0) + np.frombuffer(counts, "<u4").astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([np.minimum(x, 0xFFFFFFFF).astype("<u4").tobytes() for x in sums.values()], pa.binary())], ["_block", "_counts"])
-
-    parts = docs.select("_text").mapInArrow(count, "_block int, _counts binary").repartition("_block").mapInArrow(add, "_block int, _counts binary")
-    out = np.zeros((SKETCH // SKETCH_BLOCK, SKETCH_BLOCK), np.uint32)
-    for row in parts.collect():  # SKETCH counters in all
-        out[row["_block"]] = np.frombuffer(row["_counts"], "<u4")
-    return out.reshape(-1)
-
-
 def components(links: DataFrame, name: str) -> DataFrame:
-    """``node, root`` of every linked node, root the smallest id, from links ``a, b``: alternating large and small stars."""
+    """``node, root`` of every linked node, root the smallest id, from links ``a, b``: alternating large and small stars.
+
+    The least neighbours are stored, so that a join with them is of two plain shuffles and a hot node's edges can be split.
+    """
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), name)
     before = None
     while True:
         both = edges.union(edges.select("v", "u"))
-        low = both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("_m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v")).where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("_m"))
-        joined = large.join(low, "u")
+        low = stored(both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("_m")), name)
+        large = stored(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v")).where("u != v").distinct(), name)
+        least = stored(large.groupBy("u").agg(F.min("v").alias("_m")), name)
+        joined = large.join(least, "u")
         small = joined.select("u", F.col("_m").alias("v")).union(joined.select(F.col("v").alias("u"), F.col("_m").alias("v"))).where("u != v").distinct()
-        edges = stored(small, name)
+        after = stored(small, name)
+        dropped(edges, low, large, least)
+        edges = after
         state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -162,146 +155,205 @@ def _pairs(sig: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: np.ndarray, l
     return np.minimum(a, b), np.maximum(a, b)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs ``a, b`` whose full rows link: the product is completed over all columns."""
-    left = sets.select(F.col("_sig").alias("a"), F.col("_set").alias("_left"))
-    right = sets.select(F.col("_sig").alias("b"), F.col("_set").alias("_right"))
+def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """The pairs ``a, b`` whose full rows link: the product is completed over all columns of ``texts (_set, _text)``, zstd bytes."""
+    left = texts.select(F.col("_set").alias("a"), F.col("_text").alias("_left"))
+    right = texts.select(F.col("_set").alias("b"), F.col("_text").alias("_right"))
     full = pairs.select("a", "b").join(left, "a").join(right, "b")
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        expand = zstandard.ZstdDecompressor().decompress
         for b in batches:
-            keep = []
-            for x, y in zip(b.column("_left"), b.column("_right")):
-                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
-                at = np.searchsorted(y, x)
-                common = int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x))
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            kept = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([b.column("a").filter(kept), b.column("b").filter(kept)], ["a", "b"])
+            for k in range(0, b.num_rows, 256):  # some pairs' texts at a time
+                part = b.slice(k, 256)
+                texts = dict(zip(part.column("a").to_pylist(), part.column("_left"))) | dict(zip(part.column("b").to_pylist(), part.column("_right")))
+                number = {x: i for i, x in enumerate(texts)}
+                raw = pa.array([expand(x.as_py()) for x in texts.values()], pa.large_binary())
+                sets = []
+                for _, _, data, offsets in byte_rows(raw, PIECE):
+                    hashes, bounds, _ = shingle_sets(data, offsets, size)
+                    sets += [hashes[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
+                keep = []
+                for x, y in zip(part.column("a").to_pylist(), part.column("b").to_pylist()):
+                    x, y = sets[number[x]], sets[number[y]]
+                    common = int(np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x))
+                    keep.append(100 * common >= percent * (len(x) + len(y) - common))
+                kept = pa.array(keep, pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column("a").filter(kept), part.column("b").filter(kept)], ["a", "b"])
 
     return full.mapInArrow(multiply, "a long, b long")
 
 
-def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """``_rid, <doc_id>, n_shingles, component_id, _root`` per row (``_root`` numbers the component; null without shingles); ``_rid`` numbers the rows of ``docs`` as ``with_row_id`` does."""
-    spark = docs.sparkSession
-    kind = dict(docs.dtypes)[doc_id]
-    src = with_row_id(docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text")))
-    counts = column_sketch(src, size)
-    often_from = 4.0 * float(counts.mean()) + 16  # counters share columns, so only what stands out counts as frequent
-    sketch = spark.sparkContext.broadcast(counts)
+def described(src: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """``(rows, cells)`` of ``src (_rid, _id, _text)``, from one stored pass.
+
+    ``rows``: ``_rid, _id, _one, _two, _n`` and the parities per document; ``_one, _two`` name its set.
+    ``cells``: ``_one, _n``: cells of the column count that stand out in a task, and their counts.
+    """
+    kind = dict(src.dtypes)["_id"]
+    names = ["_rid", "_id", "_one", "_two", "_n", *BITS]
 
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row per document (no column) and, per batch, one per distinct (set, first column)."""
-        names = ["_rid", "_id", "_sig", "_n", "_column", *BITS]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, cell = np.zeros(CELLS, np.int64), None
+        for b in batches:
+            cell = b.column("_id").type
+            for i, j, data, offsets in byte_rows(b.column("_text"), PIECE):
+                hashes, bounds, _ = shingle_sets(data, offsets, size)
+                total += np.bincount((hashes >> np.uint64(44)).astype(np.int64), minlength=CELLS)
+                n = np.diff(bounds)
+                names_of_set = []
+                for salt in (0xA5A5A5A55A5A5A5A, 0x0F1E2D3C4B5A6978):
+                    sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(salt)))])
+                    names_of_set.append(mix((sums[bounds[1:]] - sums[bounds[:-1]]) ^ (n.astype(np.uint64) << np.uint64(40))).view(np.int64))
+                yield pa.RecordBatch.from_arrays([b.column("_rid").slice(i, j - i), b.column("_id").slice(i, j - i), *map(pa.array, names_of_set), pa.array(n), *(pa.array(x) for x in parities(hashes, bounds).T.copy())], names)
+        if cell is not None:
+            out = np.flatnonzero(total >= 4 * total.mean() + 16)
+            nulls = lambda t: pa.nulls(len(out), t)
+            yield pa.RecordBatch.from_arrays([nulls(pa.int64()), nulls(cell), pa.array(out), nulls(pa.int64()), pa.array(total[out]), *(nulls(pa.int64()) for _ in BITS)], names)
+
+    found = stored(src.mapInArrow(run, f"_rid long, _id {kind}, _one long, _two long, _n long, " + ", ".join(f"{c} long" for c in BITS)), "jaccard-rows")
+    return found.where("_rid is not null"), found.where("_rid is null").select("_one", "_n")
+
+
+def first_columns(src: DataFrame, frequent: np.ndarray, percent: int, size: int) -> DataFrame:
+    """``_column, _one, _info`` of every set that a batch meets: its columns that are counted, and the later ones it needs for lack of those.
+
+    ``_info`` holds, from its lowest bit, whether the column is a late one, ``SPREAD_BITS`` bits that number a
+    frequent column's cell (0: not frequent), which are also crossed with ``_column``, and how many columns of the set are counted.
+    """
+    share = min(SHARE * (100 - percent) / 100, 1.0)
+    limit = np.uint64(int(share * (1 << 32)))
+    cells = src.sparkSession.sparkContext.broadcast(frequent)  # CELLS booleans
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, offsets in byte_rows(b.column("_text"), PIECE):
                 hashes, bounds, lengths = shingle_sets(data, offsets, size)
                 n = np.diff(bounds)
-                total = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(0xA5A5A5A55A5A5A5A)))])
-                sig = mix((total[bounds[1:]] - total[bounds[:-1]]) ^ (n.astype(np.uint64) << np.uint64(40))).view(np.int64)
-                odd = parities(hashes, bounds)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("_rid").slice(i, j - i), b.column("_id").slice(i, j - i), pa.array(sig), pa.array(n), pa.nulls(j - i, pa.int64()), *(pa.array(x) for x in odd.T.copy())], names)
-                rows = np.unique(sig, return_index=True)[1]
-                rows = rows[n[rows] > 0]
-                keep = np.zeros(len(n), bool)
-                keep[rows] = True
+                sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes ^ np.uint64(0xA5A5A5A55A5A5A5A)))])
+                one = mix((sums[bounds[1:]] - sums[bounds[:-1]]) ^ (n.astype(np.uint64) << np.uint64(40))).view(np.int64)
                 owner = np.repeat(np.arange(len(n)), n)
-                take = keep[owner]
-                owner, mine, long = owner[take], hashes[take], lengths[take]
-                seen = sketch.value[(mine >> np.uint64(44)).astype(np.int64)]
-                level = np.ceil(np.log2(np.maximum(seen / often_from, 1.0))).astype(np.int64)
-                order = np.lexsort((mine, -long, level, owner))
-                owner, mine = owner[order], mine[order]
-                rank = np.arange(len(owner)) - np.searchsorted(owner, owner)
-                first = rank < prefix_length(n, percent)[owner]
-                owner, mine = owner[first], mine[first]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(mine), pa.int64()), pa.nulls(len(mine), b.column("_id").type), pa.array(sig[owner]), pa.array(n[owner]), pa.array(mine.view(np.int64)), *(pa.nulls(len(mine), pa.int64()) for _ in BITS)], names)
-
-    found = stored(src.mapInArrow(describe, f"_rid long, _id {kind}, _sig long, _n long, _column long, " + ", ".join(f"{c} long" for c in BITS)), "jaccard-rows")
-    rows = found.where("_column is null").drop("_column", *BITS)
-    holders = stored(found.where("_column is null and _n > 0").groupBy("_sig").agg(F.min("_rid").alias("_rid"), *(F.min(c).alias(c) for c in BITS)), "jaccard-holders")
-    entries = found.where("_column is not null").select("_column", "_sig", "_n").distinct()
-    often = entries.groupBy("_column").agg(F.count("*").alias("_c")).where("_c > 1").drop("_c")
-    entries = stored(entries.join(often, "_column").join(holders.drop("_rid"), "_sig"), "jaccard-entries")
-
-    def full_rows(batches: Iterator[pa.RecordBatch], packed: bool) -> Iterator[pa.RecordBatch]:
-        from zstandard import ZstdDecompressor
-
-        expand = ZstdDecompressor().decompress
-        for b in batches:
-            texts = pa.array([expand(x.as_py()) for x in b.column("_text")], pa.large_binary()) if packed else b.column("_text")
-            for i, j, data, offsets in byte_rows(texts, PIECE):
-                hashes, bounds, _ = shingle_sets(data, offsets, size)
-                sets = [hashes[p:q].astype("<u8").tobytes() for p, q in zip(bounds[:-1], bounds[1:])]
-                yield pa.RecordBatch.from_arrays([b.column("_sig").slice(i, j - i), pa.array(sets, pa.binary())], ["_sig", "_set"])
-
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """The full rows that stored pairs ask for, from one document of each set."""
-        asked = pairs.select(F.col("a").alias("_sig")).union(pairs.select(F.col("b").alias("_sig"))).distinct()
-        asked = stored(holders.select("_sig", "_rid").join(asked, "_sig"), "jaccard-asked")
-        small = asked.count() <= BROADCAST_ROWS  # two numbers a row; else the texts travel, squeezed
-        found = (src.select("_rid", "_text").join(F.broadcast(asked), "_rid").withColumn("_text", F.col("_text").cast("binary")) if small
-                 else squeezed(src.select("_rid", "_text")).join(asked, "_rid"))
-        read = found.select("_sig", "_text").mapInArrow(lambda batches: full_rows(batches, not small), "_sig long, _set binary")
-        return stored(read, "jaccard-sets")
+                keep = np.zeros(len(n), bool)
+                keep[np.unique(one, return_index=True)[1]] = True
+                common = cells.value[(hashes >> np.uint64(44)).astype(np.int64)]
+                counted = ~common & ((mix(hashes ^ np.uint64(0x243F6A8885A308D3)) >> np.uint64(32)) < limit)
+                missing = prefix_length(n, percent) - np.bincount(owner[counted], minlength=len(n))
+                short = np.flatnonzero(~counted & (missing > 0)[owner] & keep[owner])
+                order = np.lexsort((hashes[short], -lengths[short], common[short], owner[short]))
+                short = short[order]
+                rank = np.arange(len(short)) - np.searchsorted(owner[short], owner[short])
+                late = short[rank < missing[owner[short]]]
+                at = np.concatenate([np.flatnonzero(counted & keep[owner]), late])
+                mine = one[owner[at]]
+                spread = np.where(common[at], mix(mine.view(np.uint64)) % np.uint64((1 << SPREAD_BITS) - 1) + np.uint64(1), np.uint64(0))
+                many = np.bincount(owner[counted], minlength=len(n))[owner[at]]
+                info = (many << (SPREAD_BITS + 1)) | (spread.astype(np.int64) << 1) | ~counted[at]
+                yield pa.RecordBatch.from_arrays([pa.array((hashes[at] ^ (spread << np.uint64(40))).view(np.int64)), pa.array(mine), pa.array(info)], ["_column", "_one", "_info"])
+
+    return src.select("_text").mapInArrow(run, "_column long, _one long, _info long")
+
+
+def entries_of(src: DataFrame, sets: DataFrame, frequent: np.ndarray, percent: int, size: int) -> DataFrame:
+    """``_column, _set, _n`` and the parities: the first columns of every set that another set holds too, stored."""
+    # one shuffle; a column that is not frequent is in one of OFTEN rows at most, and Spark's window spills
+    columns = first_columns(src, frequent, percent, size).repartition("_column").groupBy("_column", "_one").agg(F.min("_info").alias("_info"))
+    of_info = {"_late": F.col("_info") % 2 == 1, "_spread": F.shiftright("_info", 1) % (1 << SPREAD_BITS), "_counted": F.shiftright("_info", SPREAD_BITS + 1)}
+    counts = columns.withColumn("_c", F.count("*").over(Window.partitionBy("_column"))).withColumns(of_info)
+    shared = counts.where("_c > 1 or _spread > 0").withColumn("_column", F.col("_column").bitwiseXOR(F.shiftleft("_spread", 40)))
+    need = F.expr(f"_n - ({percent} * _n + 99) div 100 + 1")
+    # sets that share half of their name (none in practice) keep all their columns
+    asked = sets.groupBy("_one").agg(F.max(need).alias("_need"), F.count("*").alias("_sets"))
+    of_set = Window.partitionBy("_one")
+    ranked = shared.join(asked, "_one").withColumns({
+        "_alone": F.col("_counted") - F.count(F.when(~F.col("_late"), 1)).over(of_set),
+        "_rank": F.row_number().over(of_set.orderBy("_late", "_c", "_column"))})
+    first = ranked.where("_late or _sets > 1 or _rank + _alone <= _need").select("_column", "_one")
+    return stored(first.join(sets.select("_one", "_set", "_n", *BITS), "_one").drop("_one"), "jaccard-entries")
+
+
+def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """``_rid, <doc_id>, n_shingles, component_id, _root`` per row (``_root`` numbers the component; null without shingles); ``_rid`` numbers the rows of ``docs`` as ``with_row_id`` does."""
+    src = with_row_id(docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text")))
+    rows, cells = described(src, size)
+    name = ["_one", "_two", "_n"]
+    sets = stored(rows.where("_n > 0").groupBy(*name).agg(F.min("_rid").alias("_set"), F.min("_id").alias("_least"), *(F.min(c).alias(c) for c in BITS)), "jaccard-sets")
+    held = rows.where("_n > 0").count()
+    often = cells.groupBy("_one").agg(F.sum("_n").alias("_n")).where(F.col("_n") * OFTEN >= held).select("_one")
+    frequent = np.zeros(CELLS, bool)
+    frequent[[r["_one"] for r in often.collect()]] = True  # numbers of cells, CELLS at most
+    entries = entries_of(src, sets, frequent, percent, size)
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
+        """The texts that stored pairs ask for, from one document of each set, stored as zstd."""
+        asked = pairs.select(F.col("a").alias("_set")).union(pairs.select(F.col("b").alias("_set"))).distinct()
+        asked = stored(asked.select(F.col("_set").alias("_rid")), "jaccard-asked")
+        thin = src.select("_rid", "_text")
+        small = asked.count() <= BROADCAST_ROWS  # of one number each; else the texts travel
+        found = squeezed(thin.join(F.broadcast(asked), "_rid", "left_semi")) if small else squeezed(thin).join(asked, "_rid", "left_semi")
+        return stored(found.select(F.col("_rid").alias("_set"), "_text"), "jaccard-texts")
+
+    def checked(pairs: DataFrame, name: str) -> DataFrame:
+        texts = texts_of(pairs)
+        links = stored(verified(pairs, texts, percent, size), name)
+        dropped(texts)
+        return links
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each entry with the one of the ``REACH`` before it in its column that differs least; a column may run over partitions."""
+        """Each entry's row with the one of the ``REACH`` before it in its column that differs least; a column may run over partitions."""
         held = None
         for b in batches:
-            now = [b.column(c).to_numpy(zero_copy_only=False) for c in ("_column", "_sig", "_n", *BITS)]
+            now = [b.column(c).to_numpy(zero_copy_only=False) for c in ("_column", "_set", "_n", *BITS)]
             old = 0 if held is None else len(held[0])
-            column, sig, n, *bits = now if held is None else [np.concatenate(x) for x in zip(held, now)]
-            held = [x[-REACH:] for x in (column, sig, n, *bits)]
+            column, node, n, *bits = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+            held = [x[-REACH:] for x in (column, node, n, *bits)]
             bits = np.stack(bits, axis=1)
-            best, least = np.zeros(len(sig), np.int64), np.full(len(sig), np.inf)
+            best, least = np.zeros(len(node), np.int64), np.full(len(node), np.inf)
             for step in range(1, REACH + 1):
-                y = np.arange(max(old, step), len(sig))
-                y = y[(column[y] == column[y - step]) & (sig[y] != sig[y - step])]
+                y = np.arange(max(old, step), len(node))
+                y = y[(column[y] == column[y - step]) & (node[y] != node[y - step])]
                 y = y[able(bits[y - step], bits[y], n[y - step], n[y], percent)]
                 share = differences(bits[y - step], bits[y]) / (n[y - step] + n[y])
                 nearer = share < least[y]
                 best[y[nearer]], least[y[nearer]] = step, share[nearer]
             y = np.flatnonzero(best)
             x = y - best[y]
-            a, c = np.unique(np.stack([np.minimum(sig[x], sig[y]), np.maximum(sig[x], sig[y])]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(node[y]), pa.array(node[x]), pa.array(least[y])], ["a", "b", "_share"])
 
     # sizes that differ by a tenth or less mostly share a band; equal rows keep their order in every column
-    ordered = ("_column", F.floor(F.ln("_n") * 10), F.xxhash64("_sig"))
+    ordered = ("_column", F.floor(F.ln("_n") * 10), F.xxhash64("_set"))
     chain = entries.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
     # this round only has to unite near copies; what it leaves out, the second product finds
-    close = stored(chain.mapInArrow(neighbours, "a long, b long").distinct(), "jaccard-close")
-    first = stored(verified(close, sets_of(close), percent), "jaccard-links")
+    likest = Window.partitionBy("a").orderBy("_share", "b")
+    close = chain.mapInArrow(neighbours, "a long, b long, _share double").groupBy("a", "b").agg(F.min("_share").alias("_share"))
+    close = close.withColumn("_rank", F.row_number().over(likest)).where(F.col("_rank") <= NEAREST)
+    close = stored(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-close")
+    first = checked(close, "jaccard-links")
     roots = components(first, "jaccard-components")
 
-    labelled = entries.join(roots.withColumnRenamed("node", "_sig"), "_sig", "left").withColumn("_comp", F.coalesce("root", "_sig")).drop("root")
-    mixed = labelled.groupBy("_column").agg(F.count("*").alias("_m"), F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).where("_lo != _hi")
+    labelled = entries.join(roots.withColumnRenamed("node", "_set"), "_set", "left").withColumn("_comp", F.coalesce("root", "_set")).drop("root")
+    mixed = stored(labelled.groupBy("_column").agg(F.count("*").alias("_m"), F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).where("_lo != _hi"), "jaccard-columns")
     blocks = F.ceil(F.col("_m") / BLOCK).cast("int")
     parts = (labelled.join(mixed.select("_column", blocks.alias("_blocks")), "_column")
-             .withColumn("_mine", F.pmod(F.xxhash64("_sig"), F.col("_blocks")).cast("int"))
+             .withColumn("_mine", F.pmod(F.xxhash64("_set"), F.col("_blocks")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-             .select("_column", F.least("_mine", "_other").alias("_r"), F.greatest("_mine", "_other").alias("_s"), "_mine", "_n", "_sig", "_comp", *BITS))
+             .select("_column", F.least("_mine", "_other").alias("_r"), F.greatest("_mine", "_other").alias("_s"), "_mine", "_n", "_set", "_comp", *BITS))
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The product of each (column, block pair), gathered until it ends."""
         held = None
-        names = ("_column", "_r", "_s", "_mine", "_n", "_sig", "_comp", *BITS)
+        names = ("_column", "_r", "_s", "_mine", "_n", "_set", "_comp", *BITS)
 
         def answer(rows, cuts):
-            _, r, s, mine, n, sig, comp, *bits = rows
+            _, r, s, mine, n, node, comp, *bits = rows
             bits = np.stack(bits, axis=1)
             out = []
             for lo, hi in zip(cuts[:-1], cuts[1:]):
                 at = np.arange(lo, hi)
                 if r[lo] == s[lo]:
                     for k in range(len(at) - 1):
-                        out.append(_pairs(sig, n, comp, bits, at[k:k + 1], at[k + 1:], percent))
+                        out.append(_pairs(node, n, comp, bits, at[k:k + 1], at[k + 1:], percent))
                 else:
-                    out.append(_pairs(sig, n, comp, bits, at[mine[at] == r[lo]], at[mine[at] == s[lo]], percent))
+                    out.append(_pairs(node, n, comp, bits, at[mine[at] == r[lo]], at[mine[at] == s[lo]], percent))
             a, b = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 2
             if len(a):
                 (a, b), times = np.unique(np.stack([a, b]), axis=1, return_counts=True)
@@ -319,22 +371,25 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
         if held is not None and len(held[0]):
             yield answer(held, np.array([0, len(held[0])]))
 
-    spread = parts.repartition("_column", "_r", "_s").sortWithinPartitions("_column", "_r", "_s", "_n", "_sig")
+    spread = parts.repartition("_column", "_r", "_s").sortWithinPartitions("_column", "_r", "_s", "_n", "_set")
     counts = spread.mapInArrow(product, "a long, b long, _common long").groupBy("a", "b").agg(F.sum("_common").alias("_common"))
-    sizes = entries.select("_sig", "_n").distinct()
-    sized = (counts.join(sizes.select(F.col("_sig").alias("a"), F.col("_n").alias("_na")), "a")
-             .join(sizes.select(F.col("_sig").alias("b"), F.col("_n").alias("_nb")), "b"))
+    sizes = sets.select("_set", "_n")
+    sized = (counts.join(sizes.select(F.col("_set").alias("a"), F.col("_n").alias("_na")), "a")
+             .join(sizes.select(F.col("_set").alias("b"), F.col("_n").alias("_nb")), "b"))
     # overlap <= common first columns + what the longer of the two rests holds
     rest = F.expr(f"({percent} * greatest(_na, _nb) + 99) div 100 - 1")
     enough = (100 + percent) * (F.col("_common") + rest) >= percent * (F.col("_na") + F.col("_nb"))
     left = stored(sized.where(enough).select("a", "b"), "jaccard-left")
-    second = stored(verified(left, sets_of(left), percent), "jaccard-more-links")
+    second = checked(left, "jaccard-more-links")
     roots = components(first.union(second), "jaccard-components")
+    dropped(entries, mixed, close, left)
 
-    rooted = rows.join(roots.withColumnRenamed("node", "_sig"), "_sig", "left").withColumn("_root", F.when(F.col("_n") > 0, F.coalesce("root", "_sig")))
-    ids = rooted.where("_root is not null").groupBy("_root").agg(F.min("_id").alias("_least"))
-    out = rooted.join(ids, "_root", "left")
+    # names are given to distinct sets, then to rows; stored, so that a hot component or set can be split in the joins
+    rooted = sets.join(roots.withColumnRenamed("node", "_set"), "_set", "left").select(*name, "_least", F.coalesce("root", "_set").alias("_root"))
+    least = stored(rooted.groupBy("_root").agg(F.min("_least").alias("_least")), "jaccard-names")
+    named = stored(rooted.drop("_least").join(least, "_root"), "jaccard-named")
+    out = rows.select("_rid", "_id", *name).join(named, name, "left")
     return out.select("_rid", F.col("_id").alias(doc_id), F.col("_n").alias("n_shingles"), F.when(F.col("_n") > 0, F.col("_least")).otherwise(F.col("_id")).alias("component_id"), "_root")
 
 
-__all__ = ["shingle_sets", "prefix_length", "parities", "able", "column_sketch", "components", "verified", "cluster", "PERCENT", "SHINGLE"]
+__all__ = ["shingle_sets", "prefix_length", "parities", "able", "described", "first_columns", "entries_of", "components", "verified", "cluster", "PERCENT", "SHINGLE"]
