@@ -3,16 +3,16 @@
 Texts are cut at the vocabulary's literal added tokens and split into words by
 its pattern: pieces whose ids do not depend on what surrounds them.  A run of
 documents with about ``BLOCK`` characters becomes a block: its distinct words,
-and for each place the number of its word.  The distinct words of all blocks
-form one table, and each is encoded once.  The ids return in two joins, by word
-to the blocks that hold it, then by block to the places, where a word's number
-becomes its ids.  Decoding is the same join with other tables: a block's
-distinct ids meet the vocabulary's id-to-piece table, and an id's place takes
-its piece; bytes that are no UTF-8 become U+FFFD.
-
-Between tasks travel a block's distinct words, once per block, and a small
-number per word, never a row per occurrence.  A word's group has a row per
-block at most and a block's group a row per distinct word, so neither grows
+and for each place the number of its word.  The words of all blocks are dealt
+by hash into ``PARTS`` parts of one table of distinct words, and each is encoded
+once.  The ids return in two joins, by word to the blocks that hold it, then
+by block to the places, where a word's number becomes its ids.  Decoding joins
+the ids' places with the vocabulary's id-to-piece table (broadcast: a row per entry
+of the vocabulary, whatever the data); bytes that are no UTF-8 become U+FFFD.
+
+Between tasks travel a block's distinct words and their ids, a packed row per
+block and part, and a small number per word of text, never a row per
+occurrence.  A word's group has one entry per block at most, so none grows
 when one document, or one word, makes up a third of the corpus.  A document is
 never cut: a longer one is a block of its own.
 
@@ -26,6 +26,7 @@ fails the run.
 from __future__ import annotations
 
 import json
+import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -33,12 +34,15 @@ import numpy as np
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import stored
 
 #: Characters (or ids) of a block, but for a last whole document.
-BLOCK = 1 << 22
+BLOCK = 1 << 24
+#: Parts of the table of distinct words; one task holds one part at a time.
+PARTS = 1024
 #: A place where no word of the pattern goes through: white space after something else.
 _GAP = regex.compile(r"(?<=\S)\s")
 
@@ -69,8 +73,17 @@ class Vocabulary:
 
         return split
 
-    def pieces(self, spark: SparkSession) -> DataFrame:
-        """``_id, _piece``: the bytes of every id, a row per entry of the vocabulary.
+    def encoder(self) -> Callable[[list[str]], list[list[int]]]:
+        """The ids of each word by itself."""
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return lambda words: [e.ids for e in library.encode_batch(words, add_special_tokens=False)]
+
+    def pieces(self) -> tuple[np.ndarray, np.ndarray]:
+        """The lengths of all ids' pieces, and their bytes one after the other.
 
         The file writes a byte as a printable sign: those of Latin-1 as
         themselves, the others in order as the code points from 256 on.
@@ -78,9 +91,10 @@ class Vocabulary:
         own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         byte = {chr(b): b for b in own}
         byte |= {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(own)))}
-        rows = {i: bytes(byte[sign] for sign in piece) for piece, i in self._ids.items()}
-        rows |= {i: piece.encode() for piece, i in self.added.items()}
-        return spark.createDataFrame(list(rows.items()), "_id int, _piece binary")
+        held = {i: bytes(byte[sign] for sign in piece) for piece, i in self._ids.items()}
+        held |= {i: piece.encode() for piece, i in self.added.items()}
+        listed = [held.get(i) for i in range(max(held) + 1)]
+        return np.array([-1 if x is None else len(x) for x in listed]), np.frombuffer(b"".join(x or b"" for x in listed), np.uint8)
 
 
 def _portions(text: str, size: int) -> Iterator[str]:
@@ -92,50 +106,75 @@ def _portions(text: str, size: int) -> Iterator[str]:
     yield text[at:]
 
 
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers as zstd, their low bytes first, then the next ones."""
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _numbers(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+
+
 class _Block:
-    """Documents being gathered: each distinct symbol has a number, and a place holds its symbol's number."""
+    """Documents being gathered; a place holds a number, by ``number`` or as given."""
 
     def __init__(self):
         self.number: defaultdict = defaultdict()
         self.number.default_factory = self.number.__len__
-        self.keys, self.codes, self.bounds, self.filled = [], [], [0], 0
+        self.keys, self.codes, self.bounds, self.filled = [], [np.zeros(0, np.uint32)], [0], 0
 
     def add(self, parts: Iterator[list]) -> None:
-        """Appends a document, given in lists of symbols."""
+        """Appends a document, given in lists of words or of ids."""
         end = self.bounds[-1]
         for part in parts:
-            self.codes.append(np.fromiter(map(self.number.__getitem__, part), np.uint32, len(part)))
+            words = part and isinstance(part[0], str)
+            self.codes.append(np.fromiter(map(self.number.__getitem__, part) if words else part, np.uint32, len(part)))
             end += len(part)
         self.bounds.append(end)
 
-    def row(self, kind: pa.DataType) -> pa.RecordBatch:
-        flat = np.concatenate([np.zeros(0, np.uint32), *self.codes])
-        order = np.argsort(-np.bincount(flat, minlength=len(self.number)), kind="stable")  # the commonest get the small numbers
-        new = np.empty(len(order), np.uint32)
-        new[order] = np.arange(len(order), dtype=np.uint32)
-        symbols, keys = list(self.number), pa.concat_arrays(self.keys)
+    def rows(self, block: int) -> pa.RecordBatch:
+        """The row of the block, then one per part with its words in the order of their numbers."""
+        flat, words = np.concatenate(self.codes), list(self.number)
+        keys = pa.concat_arrays(self.keys)
+        part, lists = np.zeros(0, np.uint32), []
+        if words:
+            order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")  # the commonest get the small numbers
+            new = np.empty(len(order), np.uint32)
+            new[order] = np.arange(len(order), dtype=np.uint32)
+            flat = new[flat]
+            raw = [words[k].encode() for k in order.tolist()]
+            part = np.fromiter(map(zlib.crc32, raw), np.uint32, len(raw)) % PARTS
+            by_part = np.argsort(part, kind="stable")
+            cuts = np.flatnonzero(np.diff(part[by_part])) + 1
+            lists = [[raw[k] for k in x] for x in np.split(by_part, cuts)]
+        n = len(lists) + 1
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        nulls = lambda kind: pa.nulls(n - 1, kind)
+        of_block = lambda value: pa.concat_arrays([value, nulls(value.type)])
         return pa.RecordBatch.from_arrays(
-            [pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys), pa.array([self.bounds], pa.list_(pa.int32())),
-             pa.array([zstandard.ZstdCompressor(level=3).compress(new[flat].tobytes())], pa.binary()),
-             pa.array([[symbols[k] for k in order.tolist()]], pa.list_(kind))],
-            ["_keys", "_bounds", "_codes", "_symbols"])
+            [pa.array([block] * n, pa.int64()), pa.array([-1, *(zlib.crc32(x[0]) % PARTS for x in lists)], pa.int32()),
+             of_block(pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)), of_block(pa.array([self.bounds], pa.list_(pa.int64()))),
+             of_block(pa.array([_squeezed(flat)], pa.binary())), pa.array([_squeezed(part), *(_squeezed(np.array([len(w) for w in x])) for x in lists)], pa.binary()),
+             pa.array([None, *(squeeze(b"".join(x)) for x in lists)], pa.binary())],
+            ["_block", "_part", "_keys", "_bounds", "_codes", "_sizes", "_words"])
 
 
-def _blocks(rows: DataFrame, value: Column, keep: list[str], symbols: Callable, kind: str, size: int) -> DataFrame:
-    """``_block, _keys, _bounds, _codes, _symbols`` per block.
+def _blocks(rows: DataFrame, value: Column, keep: list[str], reader: Callable, size: int, name: str) -> DataFrame:
+    """The stored blocks of a table.
 
-    ``_keys`` are the kept columns of its documents, ``_bounds`` where each begins
-    and the last one ends among the codes; ``_codes`` (zstd of unsigned 32-bit
-    numbers) number the distinct ``_symbols``.  ``symbols()`` makes a function
-    from a value to its size and its lists of symbols.
+    A block's own row (``_part`` -1) has the kept columns of its documents as ``_keys``,
+    where each begins and the last one ends among the places (``_bounds``), the
+    places' numbers (``_codes``), and for each number its word's part (``_sizes``).  Its
+    other rows have a part's words in the order of their numbers: their lengths (``_sizes``)
+    and bytes (``_words``).  ``reader()`` makes a function from a value to its size and lists.
     """
     kinds = dict(rows.dtypes)
     key = F.struct(F.lit(0).alias("k"), *(F.col(c).alias(f"k{i}") for i, c in enumerate(keep)))  # the kept columns may have any names
     shape = "struct<" + ", ".join(["k: int", *(f"k{i}: {kinds[c]}" for i, c in enumerate(keep))]) + ">"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read, block = symbols(), None
-        cell = pa.string() if kind == "string" else pa.int32()
+        read, block, done = reader(), None, TaskContext.get().partitionId() << 32
         for b in batches:
             keys, values, begin = b.column("_key"), b.column("_value"), 0
             for i in range(b.num_rows):
@@ -145,107 +184,113 @@ def _blocks(rows: DataFrame, value: Column, keep: list[str], symbols: Callable,
                 block.filled += filled + 1
                 if block.filled >= size:
                     block.keys.append(keys.slice(begin, i + 1 - begin))
-                    yield block.row(cell)
-                    begin, block = i + 1, None
+                    yield block.rows(done)
+                    begin, block, done = i + 1, None, done + 1
             if block:
                 block.keys.append(keys.slice(begin))
         if block:
-            yield block.row(cell)
+            yield block.rows(done)
 
-    found = rows.select(key.alias("_key"), value.alias("_value")).mapInArrow(run, f"_keys array<{shape}>, _bounds array<int>, _codes binary, _symbols array<{kind}>")
-    return found.withColumn("_block", F.monotonically_increasing_id())  # fixed by storing the blocks
+    source = rows.select(key.alias("_key"), value.alias("_value"))
+    return stored(source.mapInArrow(run, f"_block long, _part int, _keys array<{shape}>, _bounds array<long>, _codes binary, _sizes binary, _words binary"), name)
 
 
 def text_blocks(docs: DataFrame, text: str, keep: list[str], vocabulary: Vocabulary, size: int = BLOCK) -> DataFrame:
-    """Stored blocks of texts, their symbols the distinct words."""
+    """Stored blocks of texts; the numbers stand for words."""
 
-    def symbols():
+    def reader():
         split = vocabulary.splitter()
-        return lambda text: (len(text or ""), map(split, _portions(text or "", size)))
+        return lambda text: (len(text or ""), map(split, _portions(text or "", 1 << 22)))
 
-    return stored(_blocks(docs, F.col(text).cast("string"), keep, symbols, "string", size), "words-blocks")
+    return _blocks(docs, F.col(text).cast("string"), keep, reader, size, "words-blocks")
 
 
 def id_blocks(rows: DataFrame, ids: str, keep: list[str], size: int = BLOCK) -> DataFrame:
-    """Stored blocks of token ids, their symbols the distinct ids."""
-    return stored(_blocks(rows, F.col(ids).cast("array<int>"), keep, lambda: lambda ids: (len(ids or ()), [ids or []]), "int", size), "ids-blocks")
+    """Stored blocks of token ids; the numbers are the ids."""
+    return _blocks(rows, F.col(ids).cast("array<int>"), keep, lambda: lambda ids: (len(ids or ()), [ids or []]), size, "ids-blocks")
 
 
 def encoded_words(blocks: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``_block, _code, _value``: the ids of every block's words.  Each distinct word is encoded once."""
-    held = blocks.select("_block", F.posexplode("_symbols").alias("_code", "_word"))
+    """``_block, _part, _sizes, _ids``: for every part of a block, how many ids each word has, and the ids.  Each distinct word is encoded once."""
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(vocabulary.path)
-        library.no_truncation()
-        library.no_padding()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, expand = vocabulary.encoder(), zstandard.ZstdDecompressor().decompress
+        now, known = None, {}
         for b in batches:
-            ids = [e.ids for e in library.encode_batch(b.column("_word").to_pylist(), add_special_tokens=False)]
-            yield pa.RecordBatch.from_arrays([b.column("_word"), pa.array(ids, pa.list_(pa.int32()))], ["_word", "_value"])
-
-    table = held.select("_word").distinct().mapInArrow(encode, "_word string, _value array<int>")
-    return held.join(table, "_word").select("_block", "_code", "_value")
-
-
-def pieces_of(held: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``held (_block, _code, _id)`` with the piece of each id as ``_value``."""
-    pieces = vocabulary.pieces(held.sparkSession)  # a row per entry of the vocabulary, whatever the data
-    missing = F.raise_error(F.concat(F.lit("an id is not in the vocabulary: "), F.coalesce(F.col("_id").cast("string"), F.lit("null")))).cast("binary")
-    return held.join(F.broadcast(pieces), "_id", "left").select("_block", "_code", F.coalesce("_piece", missing).alias("_value"))
-
-
-def _table(values) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes in order, the length of each one's value, and the values one after the other, from a block's list of (code, value)."""
-    values = values.values
-    code = values.field(0).to_numpy(zero_copy_only=False)
-    order = np.argsort(code, kind="stable")
-    value = values.field(1).take(pa.array(order))
-    if pa.types.is_list(value.type):
-        return code[order], value.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64), value.flatten().to_numpy(zero_copy_only=False)
-    listed = value.to_pylist()
-    return code[order], np.fromiter(map(len, listed), np.int64, len(listed)), np.frombuffer(b"".join(listed), np.uint8)
-
-
-def _placed(codes: np.ndarray, bounds: np.ndarray, table) -> tuple[np.ndarray, np.ndarray]:
-    """The values in place of the codes, and the documents' bounds among them."""
-    known, sizes, flat = table
-    at = np.searchsorted(known, codes)
-    many = sizes[at]
+            sizes, ids = [], []
+            for part, lengths, words in zip(b.column("_part").to_pylist(), b.column("_sizes").to_pylist(), b.column("_words").to_pylist()):
+                if part != now:
+                    now, known = part, {}
+                ends, raw = np.cumsum(_numbers(lengths)).tolist(), expand(words)
+                listed = [raw[i:j] for i, j in zip([0, *ends], ends)]
+                new = [w for w in listed if w not in known]
+                known.update(zip(new, encode([w.decode() for w in new])))
+                found = [known[w] for w in listed]
+                sizes.append(_squeezed(np.fromiter(map(len, found), np.uint32, len(found))))
+                ids.append(_squeezed(np.fromiter((i for f in found for i in f), np.uint32)))
+            yield pa.RecordBatch.from_arrays([b.column("_block"), b.column("_part"), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())], ["_block", "_part", "_sizes", "_ids"])
+
+    parts = blocks.where("_part >= 0").select("_block", "_part", "_sizes", "_words").repartition("_part").sortWithinPartitions("_part")
+    return parts.mapInArrow(run, "_block long, _part int, _sizes binary, _ids binary")
+
+
+def _placed(codes: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, first: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values in place of the codes, and the documents' bounds among them; code ``c`` has ``sizes[c]`` values from ``first[c]`` on."""
+    many = sizes[codes]
     last = np.cumsum(many)
-    begin = (np.cumsum(sizes) - sizes)[at] - (last - many)
+    begin = first[codes] - (last - many)
     return flat[np.repeat(begin, many) + np.arange(last[-1] if len(last) else 0)], np.concatenate([[0], last])[bounds]
 
 
-def placed(blocks: DataFrame, keep: list[str], ids: DataFrame | None, pieces: DataFrame | None) -> DataFrame:
-    """A row per document: the kept columns, ``ids`` by the table of words if given, ``text`` by the table of pieces if given.
-
-    The pieces' codes are the ids when both are given, else the blocks' codes.
-    """
-    whole = blocks.select("_block", "_keys", "_bounds", "_codes")
+def _words_of(part: np.ndarray, lists) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(sizes, first, flat)`` of a block's words, from the parts of its numbers and the parts' ids."""
+    sizes, flat = np.zeros(len(part), np.int64), [np.zeros(0, np.uint32)]
+    by_part = np.argsort(part, kind="stable")
+    begin = dict(zip(*np.unique(part[by_part], return_index=True)))
+    order = []
+    for p, n, ids in sorted(lists):
+        n = _numbers(n)
+        at = by_part[begin[p]:begin[p] + len(n)]
+        sizes[at] = n
+        order.append(at)
+        flat.append(_numbers(ids))
+    order = np.concatenate(order) if order else np.zeros(0, np.int64)
+    if len(order) != len(part):
+        raise ValueError("a word of a block has no ids")
+    first = np.zeros(len(part), np.int64)
+    first[order] = np.cumsum(sizes[order]) - sizes[order]
+    return sizes, first, np.concatenate(flat)
+
+
+def placed(blocks: DataFrame, keep: list[str], ids: DataFrame | None, vocabulary: Vocabulary | None) -> DataFrame:
+    """A row per document: the kept columns, ``ids`` if the words' ids are given, ``text`` decoded from the ids if the vocabulary is given."""
+    whole = blocks.where("_part < 0").select("_block", "_keys", "_bounds", "_codes", "_sizes")
     inside = blocks.schema["_keys"].dataType.elementType
-    steps = [(n, t) for n, t in (("ids", ids), ("text", pieces)) if t is not None]
-    for name, values in steps:
-        lists = values.groupBy("_block").agg(F.collect_list(F.struct("_code", "_value")).alias(f"_{name}"))
-        whole = whole.join(lists, "_block", "left")  # no list: the block has no words
-    names = [n for n, _ in steps]
+    coded = ids is not None
+    if coded:
+        lists = ids.groupBy("_block").agg(F.collect_list(F.struct("_part", F.col("_sizes").alias("_n"), "_ids")).alias("_lists"))  # PARTS at most
+        whole = whole.join(lists, "_block", "left")  # none: the block has no words
+    table = blocks.sparkSession.sparkContext.broadcast(vocabulary.pieces()) if vocabulary else None
+    names = [n for n, t in (("ids", ids), ("text", table)) if t is not None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
                 keys = b.column("_keys")[k].values
                 bounds = b.column("_bounds")[k].values.to_numpy(zero_copy_only=False)
-                now = np.frombuffer(zstandard.ZstdDecompressor().decompress(b.column("_codes")[k].as_py()), np.uint32)
-                out = []
-                for name in names:
-                    if len(now):
-                        now, bounds = _placed(now, bounds, _table(b.column(f"_{name}")[k]))
-                    if name == "ids":
-                        out.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(now.astype(np.int32))))
-                    else:
-                        data = now.astype(np.uint8).tobytes()
-                        out.append(pa.array([data[i:j].decode("utf-8", "replace") for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist())], pa.string()))
+                now, out = _numbers(b.column("_codes")[k].as_py()), []
+                if coded:
+                    lists = [(x["_part"], x["_n"], x["_ids"]) for x in b.column("_lists")[k].as_py() or ()]
+                    now, bounds = _placed(now, bounds, *_words_of(_numbers(b.column("_sizes")[k].as_py()), lists))
+                    out.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(now.astype(np.int32))))
+                if table is not None:
+                    sizes, pieces = table.value
+                    if len(now) and (int(now.max()) >= len(sizes) or (sizes[now] < 0).any()):
+                        raise ValueError("an id is not in the vocabulary")
+                    held = np.maximum(sizes, 0)
+                    data, ends = _placed(now, bounds, held, np.cumsum(held) - held, pieces)
+                    data, ends = data.tobytes(), ends.tolist()
+                    out.append(pa.array([data[i:j].decode("utf-8", "replace") for i, j in zip(ends, ends[1:])], pa.string()))
                 yield pa.RecordBatch.from_arrays([*(keys.field(i + 1) for i in range(len(inside) - 1)), *out], [*(f"k{i}" for i in range(len(inside) - 1)), *names])
 
     shape = [f"{f.name} {f.dataType.simpleString()}" for f in inside[1:]] + [{"ids": "ids array<int>", "text": "text string"}[n] for n in names]
@@ -260,17 +305,13 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: li
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", keep: list[str] | tuple = ("doc_id",)) -> DataFrame:
     """The kept columns and the ``text`` of every row's ids."""
-    blocks = id_blocks(rows, ids, list(keep))
-    held = blocks.select("_block", F.posexplode("_symbols").alias("_code", "_id"))
-    return placed(blocks, list(keep), None, pieces_of(held, vocabulary))
+    return placed(id_blocks(rows, ids, list(keep)), list(keep), None, vocabulary)
 
 
 def encode_and_decode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: list[str] | tuple = ("doc_id",)) -> DataFrame:
-    """The kept columns, ``ids``, and ``text`` decoded from them, from one set of blocks."""
+    """The kept columns, ``ids``, and ``text`` decoded from them, in one pass over the blocks."""
     blocks = text_blocks(docs, text, list(keep), vocabulary)
-    values = stored(encoded_words(blocks, vocabulary), "words-ids")
-    held = values.select("_block", F.explode("_value").alias("_id")).distinct().withColumn("_code", F.col("_id"))
-    return placed(blocks, list(keep), values, pieces_of(held, vocabulary))
+    return placed(blocks, list(keep), encoded_words(blocks, vocabulary), vocabulary)
 
 
-__all__ = ["Vocabulary", "text_blocks", "id_blocks", "encoded_words", "pieces_of", "placed", "encode", "decode", "encode_and_decode"]
+__all__ = ["Vocabulary", "text_blocks", "id_blocks", "encoded_words", "placed", "encode", "decode", "encode_and_decode"]
