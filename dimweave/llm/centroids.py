@@ -54,7 +54,7 @@ def first_centroids(vectors: DataFrame, k: int = CENTROIDS, seed: int = 1) -> np
     """The ``k`` vectors whose ids hash lowest, in that order."""
     order = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("_id").cast("string"), F.lit(""))), 256)
     rows = vectors.orderBy(order, "_x").limit(k).select("_x").collect()  # k vectors
-    return np.array([r["_x"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["_x"] for r in rows], np.int64) if rows else np.zeros((0, 0), np.int64)
 
 
 def _matrix(column: pa.ListArray, width: int) -> np.ndarray:
