@@ -8,8 +8,8 @@ weights are learned by follow-the-regularised-leader (per-coordinate, L1 and L2)
 ``SHARDS`` shards whose states are averaged after every round.  The state has a
 fixed size (``DIM`` weights), whatever the corpus.
 
-The fit takes at most ``max_rows`` labelled rows, those of the lowest hash, at
-most ``max_chars`` code points of each; scoring reads every whole text.
+The fit takes at most ``max_rows`` labelled rows, those of the lowest hash, and
+reads them whole, as scoring reads every text.
 
 Defined results: null and empty texts get the score of the bias alone; rows
 without a label are not learned from; a document with several labels counts
@@ -32,7 +32,6 @@ DIM = 1 << 18
 SHARDS = 6
 ROUNDS = 3
 MAX_ROWS = 12_000
-MAX_CHARS = 20_000
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.5
 THRESHOLD = 0.7
 #: Words whose hashes a worker remembers, at most.
@@ -108,7 +107,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
              .withColumn("_h", F.xxhash64("_id")).orderBy("_h", "_id").limit(max_rows))
     # at most max_rows ids of one number each: a bounded broadcast
     return (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(known), "_id")
-            .groupBy("_id", "_h", "_label").agg(F.min(F.substring("_text", 1, MAX_CHARS)).alias("_text"))
+            .groupBy("_id", "_h", "_label").agg(F.min("_text").alias("_text"))
             .withColumn("_shard", (F.pmod(F.col("_h"), F.lit(SHARDS))).cast("int")))
 
 
@@ -159,4 +158,4 @@ def score(docs: DataFrame, weights: np.ndarray, keep: list[str], text: str = "te
     return out.withColumnsRenamed(dict(zip(names, keep)))
 
 
-__all__ = ["features", "ftrl_pass", "weights_of", "fit", "score", "DIM", "MAX_ROWS", "MAX_CHARS", "THRESHOLD"]
+__all__ = ["features", "ftrl_pass", "weights_of", "fit", "score", "DIM", "MAX_ROWS", "THRESHOLD"]
