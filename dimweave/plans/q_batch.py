@@ -89,9 +89,9 @@ def round_ratio_q(spark, sf):
 
 
 @query("checksum_md5", with_views("""
-select author_id, media_id, valid_from_ts, media_blob, md5(media_blob) as checksum from v_rescrape"""))
+select author_id, media_id, valid_from_ts, media_blob, md5(media_blob) as checksum from v_versions"""))
 def checksum_md5(spark, sf):
-    r = fx.v_rescrape(spark, sf).select("author_id", "media_id", "valid_from_ts", "media_blob")
+    r = fx.v_versions(spark, sf).select("author_id", "media_id", "valid_from_ts", "media_blob")
     return scd2.add_checksum(r)
 
 
@@ -159,10 +159,12 @@ def build_source_batch(spark, sf):
 
 @query("agg_batch_bounds", with_views("""
 select min(valid_from_ts) as min_src_ts, max(valid_from_ts) as max_src_ts, max(ex) as max_extract_ts
-from (select author_id, media_id, md5(media_blob) as cs, valid_from_ts, min(extract_ts) as ex
-      from v_rescrape group by all) z"""))
+from (select author_id, media_id, md5(media_blob) as cs, valid_from_ts, valid_from_ts + interval 40 day as ex
+      from v_versions group by all) z"""))
 def agg_batch_bounds(spark, sf):
-    return scd2.batch_bounds(fx.v_rescrape(spark, sf))
+    """Bounds of all versions taken as one batch, each extracted forty days after its start."""
+    batch = fx.v_versions(spark, sf).withColumn("extract_ts", F.col("valid_from_ts").cast("timestamp_ntz") + F.expr("INTERVAL 40 DAYS"))
+    return scd2.batch_bounds(batch)
 
 
 TWO_BATCHES = {"two_batches": """
