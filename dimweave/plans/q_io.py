@@ -13,6 +13,7 @@ from ..schemas import CHAT_PAGE_SCHEMA, DIM_SCHEMA, WALL_PAGE_SCHEMA, split_null
 from ..session import work_dir
 from ..operators.flatten import flatten_wall
 from ..sources import json_pages as jp, tables as tb
+from ..sources.buckets import KeyBuckets
 from ..sources.partitioned import PartitionedDimension
 from ..streaming.ingest import ingest_pages, ingest_wall, read_staging
 from . import fixtures as fx
@@ -373,3 +374,22 @@ def src_wall_json_scan(spark, sf):
     path = work_dir(spark, "wall-scan")
     jp.write_wall_pages(fx.v_wall(spark, sf), path)
     return flatten_wall(jp.read_pages(spark, path, WALL_PAGE_SCHEMA))
+
+
+@query("lookup_key_bucket", with_views("""
+select * from v_dim where author_id = (select min(author_id) from v_dim) and media_id = 'purchase'"""))
+def lookup_key_bucket(spark, sf):
+    """All versions of one medium from a dimension bucketed by its key: one folder is read."""
+    store = KeyBuckets(spark, f"{work_dir(spark, 'buckets')}/dim", DIM_SCHEMA, buckets=16)
+    dim = fx.v_dim(spark, sf)
+    store.write(dim)
+    return store.lookup(dim.agg(F.min("author_id")).first()[0], "purchase")
+
+
+@query("join_touched_buckets", with_views("""
+select * from v_dim d where exists (select 1 from v_daily b where b.author_id = d.author_id and b.media_id = d.media_id)"""))
+def join_touched_buckets(spark, sf):
+    """The stored versions of a batch's keys, from a dimension bucketed by its key."""
+    store = KeyBuckets(spark, f"{work_dir(spark, 'buckets')}/dim", DIM_SCHEMA, buckets=16)
+    store.write(fx.v_dim(spark, sf))
+    return store.touched(fx.v_daily(spark, sf))
