@@ -2,28 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# Rows a side may hold to be broadcast.  Keys and small batches are a few
-# dozen bytes per row, so this stays well below the executor memory a
-# broadcast relation may take.
+# Rows and bytes a side may hold to be broadcast, well below the executor
+# memory a broadcast relation may take.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 256 << 20
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: texts by their length, nested values by their JSON, the rest by a word each."""
+    parts = [F.lit(16 * (len(df.columns) + 1)).cast("bigint")]
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            parts.append(F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint"))
+        elif "<" in kind:
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)).cast("bigint"))
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                        known_max: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven under ``max_rows``.
+    """Broadcast ``df`` only when its rows are proven under ``max_rows`` and its bytes under ``BROADCAST_BYTES``.
 
-    ``known_max`` is an upper bound the caller already holds (e.g. the row
-    count of the batch the keys come from, read from a commit log); then no
-    job runs.  Otherwise the count is a job over ``df`` alone (callers pass
-    small frames such as distinct batch keys).  Above the bound the frame is
+    ``known_max`` is an upper bound of the rows that the caller already holds
+    (e.g. of the batch the keys come from, read from a commit log); it spares
+    the job for a frame without texts of any length.  Otherwise one job over
+    ``df`` alone counts both (callers pass
+    small frames such as distinct batch keys).  Above a bound the frame is
     returned as is and the planner falls back to a shuffle join.
     """
-    if known_max is not None and known_max <= max_rows:
+    if known_max is not None and known_max > max_rows:
+        return df
+    if known_max is not None and not any(k in ("string", "binary") or "<" in k for _, k in df.dtypes):
         return F.broadcast(df)
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and size <= BROADCAST_BYTES else df
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

@@ -17,7 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..schemas import KEY, LEGACY_DIM_COLUMNS
-from .dedupe import desc, keep_first
 from .joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 VF, VT = "valid_from_ts", "valid_to_ts"
@@ -50,29 +49,33 @@ def _source_defaults(source: DataFrame) -> DataFrame:
 
 def _merge_parts(target: DataFrame, source: DataFrame, key: list[str],
                  broadcast_rows: int) -> tuple[DataFrame, DataFrame]:
-    """(target rows after the updates, inserted rows)."""
+    """``(target rows after the updates, source rows with the newest updated version of their key)``.
+
+    Only the source's keys and starts are broadcast (behind a size check); its
+    payload meets one row per key, by a join that the planner chooses.
+    ``_newest`` is null where the target has no version of the key.
+    """
     key = list(key)
     t = target.select(*LEGACY_DIM_COLUMNS).withColumn("media_duration", F.col("media_duration").cast("int"))
     s = _source_defaults(_checked_source(source, key))
     s = s.select(*key, F.col("media_duration").cast("int").alias("media_duration"), "media_blob",
                  F.col("seen_count").cast("bigint").alias("seen_count"), VF, VT, "is_current")
     sb = broadcast_if_small(s.select(*key, F.col(VF).alias("_s_vf"), F.lit(True).alias("_m")), broadcast_rows)
-    j = t.join(sb, key, "left")
-    matched = F.col("_m").isNotNull()
-    close = matched & (F.col("_s_vf") > F.col(VF)) & F.col("is_current")
-    bump = matched & ~close & (F.col("_s_vf") <= F.col(VF))
-    merged = j.select(
-        *key, "media_duration", "media_blob",
-        F.when(bump, F.col("seen_count") + 1).otherwise(F.col("seen_count")).alias("seen_count"), VF,
-        F.when(close, F.col("_s_vf")).otherwise(F.col(VT)).alias(VT),
-        F.when(close, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
-        "extract_ts",
-        F.when(close | bump, F.lit("UPDATE")).alias("merge_action"))
-    hit_keys = j.where(matched).select(*key).distinct()
-    inserts = (s.join(hit_keys, key, "left_anti")
-                .withColumn("extract_ts", F.lit(None).cast("timestamp_ntz"))
-                .withColumn("merge_action", F.lit("INSERT")))
-    return merged, inserts.select(*merged.columns)
+
+    def updated(how: str, *payload: str) -> DataFrame:
+        matched = F.col("_m").isNotNull()
+        close = matched & (F.col("_s_vf") > F.col(VF)) & F.col("is_current")
+        bump = matched & ~close & (F.col("_s_vf") <= F.col(VF))
+        return t.join(sb, key, how).select(
+            *key, *payload,
+            F.when(bump, F.col("seen_count") + 1).otherwise(F.col("seen_count")).alias("seen_count"), VF,
+            F.when(close, F.col("_s_vf")).otherwise(F.col(VT)).alias(VT),
+            F.when(close, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
+            "extract_ts",
+            F.when(close | bump, F.lit("UPDATE")).alias("merge_action"))
+
+    newest = updated("inner").groupBy(*key).agg(F.max(F.struct(VF, "seen_count")).alias("_newest"))
+    return updated("left", "media_duration", "media_blob"), s.join(newest, key, "left")
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str] = KEY, *,
@@ -85,8 +88,10 @@ def merge_upsert(target: DataFrame, source: DataFrame, key: Sequence[str] = KEY,
     source keys absent from the target are inserted (``extract_ts`` null).
     Output: the target's legacy columns plus ``merge_action``.
     """
-    merged, inserts = _merge_parts(target, source, list(key), broadcast_rows)
-    return merged.unionByName(inserts)
+    merged, sent = _merge_parts(target, source, list(key), broadcast_rows)
+    inserts = (sent.where(F.col("_newest").isNull())
+               .withColumn("extract_ts", F.lit(None).cast("timestamp_ntz")).withColumn("merge_action", F.lit("INSERT")))
+    return merged.unionByName(inserts.select(*merged.columns))
 
 
 def merge_legacy(target: DataFrame, source: DataFrame, key: Sequence[str] = KEY, *,
@@ -97,22 +102,16 @@ def merge_legacy(target: DataFrame, source: DataFrame, key: Sequence[str] = KEY,
     at that newest start.  Output: legacy dimension columns.
     """
     key = list(key)
-    merged, inserts = _merge_parts(target, source, key, broadcast_rows)
-    merged = merged.unionByName(inserts)
-    any_insert = F.broadcast(inserts.agg((F.count(F.lit(1)) > 0).alias("_any_insert")))
-    s = _source_defaults(source).select(*key, F.col("media_duration").cast("int").alias("media_duration"),
-                                        "media_blob", F.col(VF).alias("_s_vf"))
-    sb = broadcast_if_small(s, broadcast_rows)
-    versions = merged.join(sb.select(*key), key, "left_semi").select(*key, VF, "seen_count")
-    newest = keep_first(versions, key, [desc(VF), desc("seen_count")])
-    extra = sb.join(newest, key, "inner")
-    newer = F.col("_s_vf") > F.col(VF)
-    again = extra.select(
+    merged, sent = _merge_parts(target, source, key, broadcast_rows)
+    # one row: whether some key was new to the target
+    any_insert = F.broadcast(sent.agg(F.coalesce(F.max(F.col("_newest").isNull()), F.lit(False)).alias("_any_insert")))
+    fresh = F.col("_newest").isNull()
+    newer = F.col(VF) > F.col(f"_newest.{VF}")
+    added = sent.crossJoin(any_insert).where(fresh | ~F.col("_any_insert")).select(
         *key, "media_duration", "media_blob",
-        F.when(newer, F.col("seen_count") + 1).otherwise(F.lit(1)).cast("bigint").alias("seen_count"),
-        F.col("_s_vf").alias(VF),
-        F.when(newer, F.lit(None).cast("timestamp_ntz")).otherwise(F.col(VF)).alias(VT),
-        newer.alias("is_current"),
+        F.when(fresh, F.col("seen_count")).when(newer, F.col("_newest.seen_count") + 1).otherwise(F.lit(1)).cast("bigint").alias("seen_count"),
+        VF,
+        F.when(fresh, F.col(VT)).when(newer, F.lit(None).cast("timestamp_ntz")).otherwise(F.col(f"_newest.{VF}")).alias(VT),
+        F.when(fresh, F.col("is_current")).otherwise(newer).alias("is_current"),
         F.lit(None).cast("timestamp_ntz").alias("extract_ts"))
-    again = again.crossJoin(any_insert).where(~F.coalesce(F.col("_any_insert"), F.lit(False))).drop("_any_insert")
-    return merged.select(*LEGACY_DIM_COLUMNS).unionByName(again)
+    return merged.select(*LEGACY_DIM_COLUMNS).unionByName(added)
