@@ -231,3 +231,13 @@ def window_last_value_default(spark, sf):
     return fx.v_dim(spark, sf).select(
         "author_id", "media_id", "valid_from_ts",
         last_value_default_frame(["media_id", "author_id"], "valid_from_ts", "valid_from_ts").alias("last_vf"))
+
+
+@query("window_last_value_other", with_views("""
+select author_id, post_id, posted_ts,
+       last_value(date_trunc('hour', posted_ts)::timestamp) over (partition by author_id order by posted_ts desc) as last_hour
+from v_wall"""))
+def window_last_value_other(spark, sf):
+    """``last_value`` of another column than the order: the value of the current row's last peer (peers share it here)."""
+    wall = fx.v_wall(spark, sf).withColumn("_hour", F.date_trunc("hour", "posted_ts").cast("timestamp_ntz"))
+    return wall.select("author_id", "post_id", "posted_ts", last_value_default_frame(["author_id"], "posted_ts", "_hour").alias("last_hour"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..operators import origin as og
@@ -129,3 +131,10 @@ def origin_date_one_medium(spark, sf):
     chat = fx.v_ochat(spark, sf)
     one = chat.where(F.col("media_duration") > 0).agg(F.min("media_id")).first()[0]
     return og.origin_date(chat, fx.v_wall(spark, sf), min_year=MIN_YEAR, media_id=one)
+
+
+@query("origin_date_posted_between", with_views(ORIGIN_BODY.format(min_year=str(MIN_YEAR) + " and s.day between date '2024-01-05' and date '2024-01-19'"), WALL_CTES))
+def origin_date_posted_between(spark, sf):
+    """The optional filter on the posting days of the bands."""
+    days = (dt.date(2024, 1, 5), dt.date(2024, 1, 19))
+    return og.origin_date(fx.v_ochat(spark, sf), fx.v_wall(spark, sf), min_year=MIN_YEAR, posted_between=days)
