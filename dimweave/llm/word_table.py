@@ -19,13 +19,14 @@ never cut: a longer one is a block of its own.
 Defined results: null and empty texts have no ids and decode to the empty
 text, as do null and empty lists of ids; repeated rows are handled each; an
 empty table gives an empty result; columns that are carried along may have any
-names but ``ids`` and ``text``.  A null id, or one that the vocabulary lacks,
-fails the run.
+names but ``ids`` and ``text``.  A null or negative id, or one that the
+vocabulary lacks, fails the run.
 """
 
 from __future__ import annotations
 
 import json
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
@@ -40,7 +41,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import stored
 
 #: Characters (or ids) of a block, but for a last whole document.
-BLOCK = 1 << 24
+BLOCK = 1 << 23
+#: Characters that are split, and places that are filled, at once.
+PORTION = 1 << 19
 #: Parts of the table of distinct words; one task holds one part at a time.
 PARTS = 1024
 #: A place where no word of the pattern goes through: white space after something else.
@@ -60,30 +63,48 @@ class Vocabulary:
         self.added = {t["content"]: t["id"] for t in loaded["added_tokens"]}
         self._ids = loaded["model"]["vocab"]
 
+    def _library(self):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(self.path)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
     def splitter(self) -> Callable[[str], list[str]]:
-        """Splits a text into words; a literal added token is a word of its own."""
+        """Splits a text into words; a literal added token is a word of its own.
+
+        The pattern's module knows letters and digits of a later Unicode than
+        ``tokenizers``; a text with a sign that Python's own, older table has not
+        assigned is split by the library.
+        """
         find = regex.compile(self.pattern).findall
         longest = sorted(self.added, key=len, reverse=True)
         cuts = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
+        newer = np.zeros(0x110000, bool)
+        signs = regex.findall(r"[\p{L}\p{N}\s]", "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000)))))
+        newer[[ord(c) for c in signs if unicodedata.category(c) == "Cn"]] = True
+        slow = self._library().pre_tokenizer.pre_tokenize_str
+
+        def plain(text: str) -> list[str]:
+            if text.isascii() or not newer[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")].any():
+                return find(text)
+            return [text[i:j] for _, (i, j) in slow(text)]
 
         def split(text: str) -> list[str]:
             if cuts is None or not cuts.search(text):
-                return find(text)
-            return [w for k, part in enumerate(cuts.split(text)) for w in ([part] if k % 2 else find(part))]
+                return plain(text)
+            return [w for k, part in enumerate(cuts.split(text)) for w in ([part] if k % 2 else plain(part))]
 
         return split
 
     def encoder(self) -> Callable[[list[str]], list[list[int]]]:
         """The ids of each word by itself."""
-        from tokenizers import Tokenizer
-
-        library = Tokenizer.from_file(self.path)
-        library.no_truncation()
-        library.no_padding()
-        return lambda words: [e.ids for e in library.encode_batch(words, add_special_tokens=False)]
+        encode = self._library().encode_batch
+        return lambda words: [e.ids for e in encode(words, add_special_tokens=False)]
 
-    def pieces(self) -> tuple[np.ndarray, np.ndarray]:
-        """The lengths of all ids' pieces, and their bytes one after the other.
+    def pieces(self) -> list[bytes | None]:
+        """The bytes of every id; none for numbers that are no id.
 
         The file writes a byte as a printable sign: those of Latin-1 as
         themselves, the others in order as the code points from 256 on.
@@ -93,8 +114,7 @@ class Vocabulary:
         byte |= {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(own)))}
         held = {i: bytes(byte[sign] for sign in piece) for piece, i in self._ids.items()}
         held |= {i: piece.encode() for piece, i in self.added.items()}
-        listed = [held.get(i) for i in range(max(held) + 1)]
-        return np.array([-1 if x is None else len(x) for x in listed]), np.frombuffer(b"".join(x or b"" for x in listed), np.uint8)
+        return [held.get(i) for i in range(max(held) + 1)]
 
 
 def _portions(text: str, size: int) -> Iterator[str]:
@@ -200,7 +220,7 @@ def text_blocks(docs: DataFrame, text: str, keep: list[str], vocabulary: Vocabul
 
     def reader():
         split = vocabulary.splitter()
-        return lambda text: (len(text or ""), map(split, _portions(text or "", 1 << 22)))
+        return lambda text: (len(text or ""), map(split, _portions(text or "", PORTION)))
 
     return _blocks(docs, F.col(text).cast("string"), keep, reader, size, "words-blocks")
 
@@ -236,10 +256,13 @@ def encoded_words(blocks: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def _placed(codes: np.ndarray, bounds: np.ndarray, sizes: np.ndarray, first: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The values in place of the codes, and the documents' bounds among them; code ``c`` has ``sizes[c]`` values from ``first[c]`` on."""
-    many = sizes[codes]
-    last = np.cumsum(many)
-    begin = first[codes] - (last - many)
-    return flat[np.repeat(begin, many) + np.arange(last[-1] if len(last) else 0)], np.concatenate([[0], last])[bounds]
+    out = [flat[:0]]
+    for k in range(0, len(codes), PORTION):
+        part = codes[k:k + PORTION]
+        many = sizes[part]
+        last = np.cumsum(many)
+        out.append(flat[np.repeat(first[part] - (last - many), many) + np.arange(last[-1])])
+    return np.concatenate(out), np.concatenate([[0], np.cumsum(sizes[codes])])[bounds]
 
 
 def _words_of(part: np.ndarray, lists) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -284,13 +307,9 @@ def placed(blocks: DataFrame, keep: list[str], ids: DataFrame | None, vocabulary
                     now, bounds = _placed(now, bounds, *_words_of(_numbers(b.column("_sizes")[k].as_py()), lists))
                     out.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(now.astype(np.int32))))
                 if table is not None:
-                    sizes, pieces = table.value
-                    if len(now) and (int(now.max()) >= len(sizes) or (sizes[now] < 0).any()):
-                        raise ValueError("an id is not in the vocabulary")
-                    held = np.maximum(sizes, 0)
-                    data, ends = _placed(now, bounds, held, np.cumsum(held) - held, pieces)
-                    data, ends = data.tobytes(), ends.tolist()
-                    out.append(pa.array([data[i:j].decode("utf-8", "replace") for i, j in zip(ends, ends[1:])], pa.string()))
+                    piece, ends = table.value.__getitem__, bounds.tolist()
+                    texts = [b"".join(map(piece, now[i:j].tolist())).decode("utf-8", "replace") for i, j in zip(ends, ends[1:])]
+                    out.append(pa.array(texts, pa.string()))
                 yield pa.RecordBatch.from_arrays([*(keys.field(i + 1) for i in range(len(inside) - 1)), *out], [*(f"k{i}" for i in range(len(inside) - 1)), *names])
 
     shape = [f"{f.name} {f.dataType.simpleString()}" for f in inside[1:]] + [{"ids": "ids array<int>", "text": "text string"}[n] for n in names]
