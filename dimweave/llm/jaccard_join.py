@@ -116,27 +116,30 @@ def able(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: in
     return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
 
 
-def components(links: DataFrame, name: str) -> DataFrame:
+def components(links: DataFrame, name: str, rounds: int | None = None) -> DataFrame:
     """``node, root`` of every linked node, root the smallest id, from links ``a, b``: alternating large and small stars.
 
-    The least neighbours are stored, so that a join with them is of two plain shuffles and a hot node's edges can be split.
+    With ``rounds`` it stops after as many: nodes of one root are then linked,
+    but nodes of one component may have several.  The least neighbours are
+    stored, so that a join with them is of two plain shuffles and a hot
+    node's edges can be split.
     """
-    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), name)
-    before = None
+    edges, done = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), name), 0
     while True:
         both = edges.union(edges.select("v", "u"))
         low = stored(both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("_m")), name)
-        large = stored(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v")).where("u != v").distinct(), name)
-        least = stored(large.groupBy("u").agg(F.min("v").alias("_m")), name)
+        # every edge ends in the least node of its component: stars
+        if done == rounds or not edges.join(low, "u").where("v != _m").limit(1).count() + edges.join(low.select(F.col("u").alias("v"), "_m"), "v").where("v != _m").limit(1).count():
+            dropped(edges)
+            return low.where("u != _m").select(F.col("u").alias("node"), F.col("_m").alias("root"))
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v")).where("u != v").distinct()
+        large = stored(large, name)
+        least = large.groupBy("u").agg(F.min("v").alias("_m"))
         joined = large.join(least, "u")
         small = joined.select("u", F.col("_m").alias("v")).union(joined.select(F.col("v").alias("u"), F.col("_m").alias("v"))).where("u != v").distinct()
         after = stored(small, name)
-        dropped(edges, low, large, least)
-        edges = after
-        state = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if state == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = state
+        dropped(edges, low, large)
+        edges, done = after, done + 1
 
 
 def _pairs(sig: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int):
@@ -328,7 +331,7 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     close = close.withColumn("_rank", F.row_number().over(likest)).where(F.col("_rank") <= NEAREST)
     close = stored(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-close")
     first = checked(close, "jaccard-links")
-    roots = components(first, "jaccard-components")
+    roots = components(first, "jaccard-components", rounds=3)
 
     labelled = entries.join(roots.withColumnRenamed("node", "_set"), "_set", "left").withColumn("_comp", F.coalesce("root", "_set")).drop("root")
     mixed = stored(labelled.groupBy("_column").agg(F.count("*").alias("_m"), F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).where("_lo != _hi"), "jaccard-columns")
