@@ -60,8 +60,8 @@ class Encoder:
 
     The split pattern never joins a sign to white space after it, so a text is
     encoded by its units (white space and the signs up to the next white
-    space), and each distinct unit of a shard once, by ``tiktoken`` over
-    the same vocabulary's ranks.
+    space), each distinct unit of a run of texts once, by ``tiktoken`` over the
+    same vocabulary's ranks.
     """
 
     def __init__(self, ranks_path: str, pattern: str, added: dict[str, int] | None = None):
@@ -75,6 +75,8 @@ class Encoder:
         self.added = added_tokens(ranks_path) if added is None else added
         longest = sorted(self.added, key=len, reverse=True)
         self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+        self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.lengths[list(ranks.values())] = [len(b) for b in ranks]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of every text, each closed by ``END``."""
@@ -100,23 +102,48 @@ class Encoder:
         begins[offsets[:-1][np.diff(offsets) > 0]] = True
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(data))
-        flat, first, size = np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64), None
+        flat, first = np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         if len(starts):
             key = gram_hash(prefix_hash(byte_symbols(data, offsets)[0]), starts, ends)
             _, example, unit = np.unique(key, return_index=True, return_inverse=True)
-            whole, joined = self.whole, data.tobytes()
-            found = [whole(joined[a:b].decode("utf-8", "surrogatepass")) for a, b in zip(starts[example].tolist(), ends[example].tolist())]
-            size = np.array([len(f) for f in found])
-            ids = np.fromiter(chain.from_iterable(found), np.uint32, int(size.sum()))
-            many = size[unit]
+            sizes, begins, ids = self._units(data.tobytes(), starts[example], ends[example], data)
+            many = sizes[unit]
             last = np.cumsum(many)
-            flat = ids[np.repeat((np.cumsum(size) - size)[unit] - (last - many), many) + np.arange(last[-1])]
+            flat = ids[np.repeat(begins[unit] - (last - many), many) + np.arange(last[-1])]
             first = np.concatenate([[0], last])[np.searchsorted(starts, offsets)]
         close = np.array([END], np.uint32)
         return [np.array([*self.whole(t), END], np.uint32) if i in odd else np.concatenate([flat[first[i]:first[i + 1]], close])
                 for i, t in enumerate(texts)]
 
 
+    def _units(self, joined: bytes, starts: np.ndarray, ends: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(sizes, first, ids)`` of units: unit ``k`` has ``sizes[k]`` ids from ``first[k]`` on.
+
+        Those that begin with white space and end in another sign are encoded
+        in one text: a word never goes through their borders, so the ids'
+        lengths in bytes tell which are whose.
+        """
+        def space(at):
+            return (data[at] == 32) | ((data[at] >= 9) & (data[at] <= 13))
+
+        inner = space(starts) & ~space(ends - 1)
+        parts = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        sizes, ids = np.zeros(len(parts), np.int64), np.zeros(0, np.uint32)
+        together = np.flatnonzero(inner)
+        if len(together):
+            ids = np.array(self.whole(b"".join(parts[k] for k in together.tolist()).decode("utf-8", "surrogatepass")), np.uint32)
+            done = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum((ends - starts)[together]))
+            sizes[together] = np.diff(done + 1, prepend=0)
+        alone = np.flatnonzero(~inner)
+        found = [self.whole(parts[k].decode("utf-8", "surrogatepass")) for k in alone.tolist()]
+        sizes[alone] = [len(f) for f in found]
+        order = np.concatenate([together, alone])
+        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(found), np.uint32)])
+        begins = np.zeros(len(parts), np.int64)
+        begins[order] = np.cumsum(sizes[order]) - sizes[order]
+        return sizes, begins, ids
+
+
 class Statistics(NamedTuple):
     """What BM25 needs of the whole corpus: documents, their mean length and each id's document frequency."""
 
@@ -128,11 +155,23 @@ class Statistics(NamedTuple):
         return np.log1p(np.maximum(self.documents - self.df + 0.5, 0) / (self.df + 0.5))
 
 
+def distinct(ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids in order, and how often each occurs, without sorting all; ``place`` is room for a number per id of the vocabulary."""
+    at = np.arange(len(ids))
+    place[ids] = at
+    terms = ids[place[ids] == at]  # where an id occurs last
+    terms = terms[np.argsort(terms, kind="stable")]
+    place[terms] = np.arange(len(terms))
+    return terms, np.bincount(place[ids], minlength=len(terms))
+
+
 def statistics_of(docs: list[np.ndarray], vocabulary: int) -> np.ndarray:
     """Document frequency of every id, then the number of documents and of ids."""
-    out = np.zeros(vocabulary + 2, np.int64)
+    out, place = np.zeros(vocabulary + 2, np.int64), np.zeros(vocabulary, np.int64)
     for d in docs:
-        out[np.unique(d)] += 1
+        at = np.arange(len(d))
+        place[d] = at
+        out[d[place[d] == at]] += 1
     out[vocabulary:] = len(docs), sum(map(len, docs))
     return out
 
@@ -148,11 +187,14 @@ class Bm25:
         n = len(docs)
         lengths = np.array([len(d) for d in docs])
         statistics = statistics or summed(statistics_of(docs, max(int(d.max(initial=0)) for d in docs) + 1))
-        key = np.concatenate(docs).astype(np.int64) * n + np.repeat(np.arange(n), lengths)
-        key, tf = np.unique(key, return_counts=True)
-        term, self.doc = key // n, key % n
-        terms, start, df = np.unique(term, return_index=True, return_counts=True)
-        self.start = np.append(start, len(key))
+        place = np.zeros(len(statistics.df), np.int64)
+        found = [distinct(d, place) for d in docs]
+        term, tf = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(term, kind="stable")
+        term, tf, self.doc = term[order], tf[order], np.repeat(np.arange(n), [len(t) for t, _ in found])[order]
+        start = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
+        terms, df = term[start], np.diff(np.append(start, len(term)))
+        self.start = np.append(start, len(term))
         weight = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[self.doc] / max(statistics.mean, 1)))
         self.weight = weight * np.repeat(statistics.idf()[terms], df)
         # a seed's query: all its terms that another document has too
@@ -210,9 +252,9 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW, statistics: Statist
     return pieces
 
 
-def route(ids: np.ndarray, idf: np.ndarray, mean: float) -> list[int]:
+def route(ids: np.ndarray, idf: np.ndarray, mean: float, place: np.ndarray) -> list[int]:
     """The ``ROUTE`` weightiest terms of a document whose ``idf`` is not 0, best first; -1 where there are fewer."""
-    terms, tf = np.unique(ids, return_counts=True)
+    terms, tf = distinct(ids, place)
     weight = idf[terms] * tf / (tf + K1 * (1 - B + B * len(ids) / max(mean, 1)))
     best = np.argsort(-weight, kind="stable")[:ROUTE]
     return [t if w > 0 else -1 for t, w in zip(terms[best].tolist(), weight[best].tolist())] + [-1] * (ROUTE - len(best))
@@ -279,8 +321,9 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id",
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         idf = np.where(statistics.value.df > 1, statistics.value.idf(), 0)  # a term of one document leads nowhere
+        place = np.zeros(vocabulary, np.int64)
         for b in batches:
-            found = np.array([route(np.frombuffer(x.as_buffer(), kind), idf, statistics.value.mean) for x in b.column("_ids")], np.int64).reshape(-1, ROUTE)
+            found = np.array([route(np.frombuffer(x.as_buffer(), kind), idf, statistics.value.mean, place) for x in b.column("_ids")], np.int64).reshape(-1, ROUTE)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("_id", "_rid", "_size", "_ids")), *(pa.array(x) for x in found.T.copy())], ["_id", "_rid", "_size", "_ids", *routes])
 
     if order is None:
