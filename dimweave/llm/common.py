@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, column: str) -> DataFrame:
+    """``stored``, with the rows dealt to as many buckets by ``column`` as the session shuffles to: a join on it then leaves them where they are."""
+    spark = df.sparkSession
+    path, entry = work_dir(spark, name), f"work_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(parts, column).option("path", path).format("parquet").saveAsTable(entry)
+    out = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")  # the catalog's entry; the files stay
+    return out
+
+
 def dropped(*tables: DataFrame) -> None:
     """Deletes the files of ``stored`` tables whose successors are written; files outside the work folder are left alone."""
     for df in tables:
@@ -82,4 +94,4 @@ def byte_rows(column: pa.Array, limit: int) -> Iterator[tuple[int, int, np.ndarr
         i = j
 
 
-__all__ = ["WORD", "BROADCAST_ROWS", "table", "stored", "dropped", "small_side", "with_row_id", "word_count", "byte_rows"]
+__all__ = ["WORD", "BROADCAST_ROWS", "table", "stored", "bucketed", "dropped", "small_side", "with_row_id", "word_count", "byte_rows"]

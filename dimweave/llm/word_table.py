@@ -11,8 +11,8 @@ the ids' places with the vocabulary's id-to-piece table (broadcast: a row per en
 of the vocabulary, whatever the data); bytes that are no UTF-8 become U+FFFD.
 
 Between tasks travel a block's distinct words and their ids, a packed row per
-block and part, and a small number per word of text, never a row per
-occurrence.  A word's group has one entry per block at most, so none grows
+block and part; a block's places, a small number per word of text, stay where
+they were stored, in buckets by block. No row is made per occurrence.  A word's group has one entry per block at most, so none grows
 when one document, or one word, makes up a third of the corpus.  A document is
 never cut: a longer one is a block of its own.
 
@@ -38,7 +38,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import stored
+from .common import bucketed
 
 #: Characters (or ids) of a block, but for a last whole document.
 BLOCK = 1 << 23
@@ -212,7 +212,7 @@ def _blocks(rows: DataFrame, value: Column, keep: list[str], reader: Callable, s
             yield block.rows(done)
 
     source = rows.select(key.alias("_key"), value.alias("_value"))
-    return stored(source.mapInArrow(run, f"_block long, _part int, _keys array<{shape}>, _bounds array<long>, _codes binary, _sizes binary, _words binary"), name)
+    return bucketed(source.mapInArrow(run, f"_block long, _part int, _keys array<{shape}>, _bounds array<long>, _codes binary, _sizes binary, _words binary"), name, "_block")
 
 
 def text_blocks(docs: DataFrame, text: str, keep: list[str], vocabulary: Vocabulary, size: int = BLOCK) -> DataFrame:
@@ -292,7 +292,7 @@ def placed(blocks: DataFrame, keep: list[str], ids: DataFrame | None, vocabulary
     coded = ids is not None
     if coded:
         lists = ids.groupBy("_block").agg(F.collect_list(F.struct("_part", F.col("_sizes").alias("_n"), "_ids")).alias("_lists"))  # PARTS at most
-        whole = whole.join(lists, "_block", "left")  # none: the block has no words
+        whole = whole.join(lists.hint("merge"), "_block", "left")  # none: the block has no words
     table = blocks.sparkSession.sparkContext.broadcast(vocabulary.pieces()) if vocabulary else None
     names = [n for n, t in (("ids", ids), ("text", table)) if t is not None]
 
