@@ -27,7 +27,10 @@ discarded where it arises; no linked pair is.
 A group of near copies is not multiplied out: a first product pairs each row
 with the likest of ``REACH`` neighbours in a column (by size, then at random),
 of which its ``NEAREST`` likest are tried; their links are joined to
-components, and the second product skips pairs inside a component.  Long
+components.  A second one pairs each row with the likest in a column of all rows of other
+components, which brings in what the first left beside a group.  The last
+product skips pairs inside a component.  Columns that the same rows hold are one column
+with a weight.  Long
 columns are cut into row blocks, and each pair of blocks is a group of its own.
 
 Defined results: words are lower-cased in A-Z only; a text of fewer words
@@ -66,7 +69,8 @@ PARITIES = 512
 BITS = [f"_s{k}" for k in range(PARITIES // 64)]
 #: Entries before one in its column among which the first product looks for the likest, and how many of a row's it tries.
 REACH, NEAREST = 12, 3
-PIECE = 1 << 21
+#: Bytes of text handled at once, at some hundred bytes of room for each.
+PIECE = 1 << 19
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -116,20 +120,18 @@ def able(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: in
     return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
 
 
-def components(links: DataFrame, name: str, rounds: int | None = None) -> DataFrame:
+def components(links: DataFrame, name: str) -> DataFrame:
     """``node, root`` of every linked node, root the smallest id, from links ``a, b``: alternating large and small stars.
 
-    With ``rounds`` it stops after as many: nodes of one root are then linked,
-    but nodes of one component may have several.  The least neighbours are
-    stored, so that a join with them is of two plain shuffles and a hot
-    node's edges can be split.
+    The least neighbours are stored, so that a join with them is of two plain
+    shuffles and a hot node's edges can be split.
     """
-    edges, done = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), name), 0
+    edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), name)
     while True:
         both = edges.union(edges.select("v", "u"))
         low = stored(both.groupBy("u").agg(F.min("v").alias("_m")).select("u", F.least("u", "_m").alias("_m")), name)
         # every edge ends in the least node of its component: stars
-        if done == rounds or not edges.join(low, "u").where("v != _m").limit(1).count() + edges.join(low.select(F.col("u").alias("v"), "_m"), "v").where("v != _m").limit(1).count():
+        if not edges.join(low, "u").where("v != _m").limit(1).count() + edges.join(low.select(F.col("u").alias("v"), "_m"), "v").where("v != _m").limit(1).count():
             dropped(edges)
             return low.where("u != _m").select(F.col("u").alias("node"), F.col("_m").alias("root"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("_m").alias("v")).where("u != v").distinct()
@@ -139,23 +141,27 @@ def components(links: DataFrame, name: str, rounds: int | None = None) -> DataFr
         small = joined.select("u", F.col("_m").alias("v")).union(joined.select(F.col("v").alias("u"), F.col("_m").alias("v"))).where("u != v").distinct()
         after = stored(small, name)
         dropped(edges, low, large)
-        edges, done = after, done + 1
+        edges = after
 
 
-def _pairs(sig: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int):
-    """Pairs between the rows ``left`` and ``right`` (sorted by size) that sizes, parities and components allow, ordered."""
+def _pairs(sig: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int, likest: bool = False):
+    """Pairs between the rows ``left`` and ``right`` (sorted by size) that sizes, parities and components allow, ordered; only the likest of each left row, if asked for, in the left row's order and with the share of columns that differ."""
     out = []
     for i in left.tolist():
         lo, hi = np.searchsorted(n[right], [-(-percent * n[i] // 100), 100 * n[i] // percent + 1])
         j = right[lo:hi]
         j = j[comp[j] != comp[i]]
         j = j[able(bits[i], bits[j], n[i], n[j], percent)]
-        if len(j):
-            out.append((np.full(len(j), sig[i]), sig[j]))
+        if likest and len(j):
+            share = differences(bits[i], bits[j]) / (n[i] + n[j])
+            best = int(np.argmin(share))
+            out.append((sig[i:i + 1], sig[j[best:best + 1]], share[best:best + 1]))
+        elif len(j):
+            out.append((np.full(len(j), sig[i]), sig[j], np.zeros(len(j))))
     if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    a, b = (np.concatenate(x) for x in zip(*out))
-    return np.minimum(a, b), np.maximum(a, b)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    a, b, share = (np.concatenate(x) for x in zip(*out))
+    return (a, b, share) if likest else (np.minimum(a, b), np.maximum(a, b), share)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
@@ -325,57 +331,74 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     # sizes that differ by a tenth or less mostly share a band; equal rows keep their order in every column
     ordered = ("_column", F.floor(F.ln("_n") * 10), F.xxhash64("_set"))
     chain = entries.repartitionByRange(*ordered).sortWithinPartitions(*ordered)
-    # this round only has to unite near copies; what it leaves out, the second product finds
-    likest = Window.partitionBy("a").orderBy("_share", "b")
-    close = chain.mapInArrow(neighbours, "a long, b long, _share double").groupBy("a", "b").agg(F.min("_share").alias("_share"))
-    close = close.withColumn("_rank", F.row_number().over(likest)).where(F.col("_rank") <= NEAREST)
-    close = stored(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "jaccard-close")
-    first = checked(close, "jaccard-links")
-    roots = components(first, "jaccard-components", rounds=3)
-
-    labelled = entries.join(roots.withColumnRenamed("node", "_set"), "_set", "left").withColumn("_comp", F.coalesce("root", "_set")).drop("root")
-    mixed = stored(labelled.groupBy("_column").agg(F.count("*").alias("_m"), F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi")).where("_lo != _hi"), "jaccard-columns")
-    blocks = F.ceil(F.col("_m") / BLOCK).cast("int")
-    parts = (labelled.join(mixed.select("_column", blocks.alias("_blocks")), "_column")
-             .withColumn("_mine", F.pmod(F.xxhash64("_set"), F.col("_blocks")).cast("int"))
-             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-             .select("_column", F.least("_mine", "_other").alias("_r"), F.greatest("_mine", "_other").alias("_s"), "_mine", "_n", "_set", "_comp", *BITS))
-
-    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The product of each (column, block pair), gathered until it ends."""
-        held = None
-        names = ("_column", "_r", "_s", "_mine", "_n", "_set", "_comp", *BITS)
 
-        def answer(rows, cuts):
-            _, r, s, mine, n, node, comp, *bits = rows
-            bits = np.stack(bits, axis=1)
-            out = []
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                at = np.arange(lo, hi)
-                if r[lo] == s[lo]:
-                    for k in range(len(at) - 1):
-                        out.append(_pairs(node, n, comp, bits, at[k:k + 1], at[k + 1:], percent))
-                else:
-                    out.append(_pairs(node, n, comp, bits, at[mine[at] == r[lo]], at[mine[at] == s[lo]], percent))
-            a, b = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 2
-            if len(a):
-                (a, b), times = np.unique(np.stack([a, b]), axis=1, return_counts=True)
-            else:
-                times = a
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(times.astype(np.int64))], ["a", "b", "_common"])
+    # these two rounds only have to unite near copies; what they leave out, the last product finds
+    def tried(near: DataFrame, name: str) -> DataFrame:
+        """Links among the ``NEAREST`` likest of each row's pairs ``a, b, _share``."""
+        likest = Window.partitionBy("a").orderBy("_share", "b")
+        close = near.groupBy("a", "b").agg(F.min("_share").alias("_share")).withColumn("_rank", F.row_number().over(likest)).where(F.col("_rank") <= NEAREST)
+        close = stored(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-close")
+        links = checked(close, f"{name}-links")
+        dropped(close)
+        return links
 
-        for b in batches:
-            now = [b.column(c).to_numpy(zero_copy_only=False) for c in names]
-            held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
-            new = np.flatnonzero((np.diff(held[0]) != 0) | (np.diff(held[1]) != 0) | (np.diff(held[2]) != 0)) + 1
-            if len(new):
-                yield answer(held, np.concatenate([[0], new]))
-                held = [x[new[-1]:] for x in held]
-        if held is not None and len(held[0]):
-            yield answer(held, np.array([0, len(held[0])]))
-
-    spread = parts.repartition("_column", "_r", "_s").sortWithinPartitions("_column", "_r", "_s", "_n", "_set")
-    counts = spread.mapInArrow(product, "a long, b long, _common long").groupBy("a", "b").agg(F.sum("_common").alias("_common"))
+    def parts_of(roots: DataFrame) -> DataFrame:
+        """Block pairs of the columns that hold several components, one column for all that the same rows hold."""
+        labelled = entries.join(roots.withColumnRenamed("node", "_set"), "_set", "left").withColumn("_comp", F.coalesce("root", "_set")).drop("root")
+        held = labelled.groupBy("_column").agg(F.count("*").alias("_m"), F.min("_comp").alias("_lo"), F.max("_comp").alias("_hi"), F.bit_xor(F.xxhash64("_set")).alias("_p"), F.bit_xor(F.xxhash64(F.lit(1), "_set")).alias("_q"))
+        mixed = stored(held.where("_lo != _hi").groupBy("_m", "_p", "_q").agg(F.min("_column").alias("_column"), F.count("*").alias("_weight")).drop("_p", "_q"), "jaccard-columns")
+        blocks = F.ceil(F.col("_m") / BLOCK).cast("int")
+        parts = (labelled.join(mixed.select("_column", "_weight", blocks.alias("_blocks")), "_column")
+                 .withColumn("_mine", F.pmod(F.xxhash64("_set"), F.col("_blocks")).cast("int"))
+                 .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+                 .select("_column", F.least("_mine", "_other").alias("_r"), F.greatest("_mine", "_other").alias("_s"), "_mine", "_n", "_set", "_comp", "_weight", *BITS))
+        return parts.repartition("_column", "_r", "_s").sortWithinPartitions("_column", "_r", "_s", "_n", "_set")
+
+    def multiplied(likest: bool):
+        """The product of each (column, block pair), gathered until it ends: pairs with the weight of their columns, or each row's likest with its share."""
+
+        def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = None
+            names = ("_column", "_r", "_s", "_mine", "_n", "_set", "_comp", "_weight", *BITS)
+
+            def answer(rows, cuts):
+                _, r, s, mine, n, node, comp, weight, *bits = rows
+                bits = np.stack(bits, axis=1)
+                out, of = [], []
+                for lo, hi in zip(cuts[:-1], cuts[1:]):
+                    at = np.arange(lo, hi)
+                    if r[lo] == s[lo] and likest:
+                        found = [_pairs(node, n, comp, bits, at, at, percent, True)]
+                    elif r[lo] == s[lo]:
+                        found = [_pairs(node, n, comp, bits, at[k:k + 1], at[k + 1:], percent) for k in range(len(at) - 1)]
+                    else:
+                        found = [_pairs(node, n, comp, bits, at[mine[at] == r[lo]], at[mine[at] == s[lo]], percent, likest)]
+                    out += found
+                    of += [weight[lo]] * sum(len(x[0]) for x in found)
+                a, b, share = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+                times = np.array(of, np.int64)
+                if len(a):
+                    (a, b), first, of_pair = np.unique(np.stack([a, b]), axis=1, return_index=True, return_inverse=True)
+                    times, share = np.bincount(of_pair.reshape(-1), weights=times, minlength=len(a)).astype(np.int64), share[first]
+                return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(share if likest else times)], ["a", "b", "_share" if likest else "_common"])
+
+            for b in batches:
+                now = [b.column(c).to_numpy(zero_copy_only=False) for c in names]
+                held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+                new = np.flatnonzero((np.diff(held[0]) != 0) | (np.diff(held[1]) != 0) | (np.diff(held[2]) != 0)) + 1
+                if len(new):
+                    yield answer(held, np.concatenate([[0], new]))
+                    held = [x[new[-1]:] for x in held]
+            if held is not None and len(held[0]):
+                yield answer(held, np.array([0, len(held[0])]))
+
+        return product
+
+    first = tried(chain.mapInArrow(neighbours, "a long, b long, _share double"), "jaccard")
+    roots = components(first, "jaccard-components")
+    first = first.union(tried(parts_of(roots).mapInArrow(multiplied(True), "a long, b long, _share double"), "jaccard-other"))
+    roots = components(first, "jaccard-components")
+    counts = parts_of(roots).mapInArrow(multiplied(False), "a long, b long, _common long").groupBy("a", "b").agg(F.sum("_common").alias("_common"))
     sizes = sets.select("_set", "_n")
     sized = (counts.join(sizes.select(F.col("_set").alias("a"), F.col("_n").alias("_na")), "a")
              .join(sizes.select(F.col("_set").alias("b"), F.col("_n").alias("_nb")), "b"))
@@ -385,7 +408,7 @@ def cluster(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     left = stored(sized.where(enough).select("a", "b"), "jaccard-left")
     second = checked(left, "jaccard-more-links")
     roots = components(first.union(second), "jaccard-components")
-    dropped(entries, mixed, close, left)
+    dropped(entries, left)
 
     # names are given to distinct sets, then to rows; stored, so that a hot component or set can be split in the joins
     rooted = sets.join(roots.withColumnRenamed("node", "_set"), "_set", "left").select(*name, "_least", F.coalesce("root", "_set").alias("_root"))
