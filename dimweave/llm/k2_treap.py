@@ -50,8 +50,8 @@ SEED_SHARES = 32
 ITEM_TERMS, SPLIT = 100_000, 48
 #: Impacts are below a million; a node keeps its maximum in units of this size, rounded up, in 16 bits.
 UNIT = 16
-#: Bytes of one document whose terms are counted at once.
-PIECE = 1 << 22
+#: Bytes whose terms are counted at once, at some fifty bytes of room for each.
+PIECE = 1 << 20
 
 _TERM = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 _LOWER = mix(np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint64) + np.uint64(1))

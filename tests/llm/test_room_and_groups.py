@@ -1,11 +1,14 @@
 """Groups of near copies stay linear, passages below 400 bytes leave the pipeline, tasks keep to little room."""
 
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline
-from dimweave.llm import jaccard_join
-from dimweave.llm.common import stored
+from dimweave.llm import jaccard_join, k2_treap
+from dimweave.llm.common import byte_rows, stored
 
 
 def _watched(monkeypatch):
@@ -59,3 +62,14 @@ def test_pipeline_removes_passages_of_over_fifty_words(spark):
     assert passage not in got[0] and passage not in got[1] and own[0][:-1] in got[0] and own[1][1:] in got[0] and own[2][:-1] in got[1]
     assert [got[k] for k in (2, 5)] == [texts[2], None]
     assert [len(got[k]) for k in (3, 4)] == [len(texts[3]), len(texts[4])]  # 200 bytes are too few
+
+
+def test_counting_terms_takes_little_room():
+    rng = np.random.default_rng(1)
+    texts = pa.array([" ".join(f"w{k}" for k in rng.integers(0, 5000, 400)) for _ in range(4000)])
+    tracemalloc.start()
+    for _, _, data, offsets in byte_rows(texts, min(k2_treap.PIECE, k2_treap.SHARD_BYTES)):
+        k2_treap.term_counts(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 120e6
