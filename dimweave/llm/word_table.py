@@ -84,11 +84,13 @@ class Vocabulary:
         newer = np.zeros(0x110000, bool)
         signs = regex.findall(r"[\p{L}\p{N}\s]", "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000)))))
         newer[[ord(c) for c in signs if unicodedata.category(c) == "Cn"]] = True
-        slow = self._library().pre_tokenizer.pre_tokenize_str
+        slow = None  # the library takes room; few texts ask for it
 
         def plain(text: str) -> list[str]:
+            nonlocal slow
             if text.isascii() or not newer[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")].any():
                 return find(text)
+            slow = slow or self._library().pre_tokenizer.pre_tokenize_str
             return [text[i:j] for _, (i, j) in slow(text)]
 
         def split(text: str) -> list[str]:
@@ -301,16 +303,22 @@ def placed(blocks: DataFrame, keep: list[str], ids: DataFrame | None, vocabulary
             for k in range(b.num_rows):
                 keys = b.column("_keys")[k].values
                 bounds = b.column("_bounds")[k].values.to_numpy(zero_copy_only=False)
-                now, out = _numbers(b.column("_codes")[k].as_py()), []
+                now = _numbers(b.column("_codes")[k].as_py())
                 if coded:
                     lists = [(x["_part"], x["_n"], x["_ids"]) for x in b.column("_lists")[k].as_py() or ()]
                     now, bounds = _placed(now, bounds, *_words_of(_numbers(b.column("_sizes")[k].as_py()), lists))
-                    out.append(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(now.astype(np.int32))))
-                if table is not None:
-                    piece, ends = table.value.__getitem__, bounds.tolist()
-                    texts = [b"".join(map(piece, now[i:j].tolist())).decode("utf-8", "replace") for i, j in zip(ends, ends[1:])]
-                    out.append(pa.array(texts, pa.string()))
-                yield pa.RecordBatch.from_arrays([*(keys.field(i + 1) for i in range(len(inside) - 1)), *out], [*(f"k{i}" for i in range(len(inside) - 1)), *names])
+                at = 0
+                while at < len(bounds) - 1:  # some documents at a time
+                    until = max(at + 1, int(np.searchsorted(bounds, bounds[at] + PORTION, side="right")) - 1)
+                    part, ends, out = now[bounds[at]:bounds[until]], bounds[at:until + 1] - bounds[at], []
+                    if coded:
+                        out.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(part.astype(np.int32))))
+                    if table is not None:
+                        piece, ends = table.value.__getitem__, ends.tolist()
+                        texts = [b"".join(map(piece, part[i:j].tolist())).decode("utf-8", "replace") for i, j in zip(ends, ends[1:])]
+                        out.append(pa.array(texts, pa.string()))
+                    yield pa.RecordBatch.from_arrays([*(keys.field(i + 1).slice(at, until - at) for i in range(len(inside) - 1)), *out], [*(f"k{i}" for i in range(len(inside) - 1)), *names])
+                    at = until
 
     shape = [f"{f.name} {f.dataType.simpleString()}" for f in inside[1:]] + [{"ids": "ids array<int>", "text": "text string"}[n] for n in names]
     return whole.mapInArrow(run, ", ".join(shape)).toDF(*keep, *names)

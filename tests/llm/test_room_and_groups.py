@@ -5,9 +5,10 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 import corpus_pipeline
-from dimweave.llm import jaccard_join, k2_treap
+from dimweave.llm import jaccard_join, k2_treap, word_table
 from dimweave.llm.common import byte_rows, stored
 
 
@@ -73,3 +74,10 @@ def test_counting_terms_takes_little_room():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 120e6
+
+
+def test_splitting_plain_texts_loads_no_library(monkeypatch):
+    import public_tokenizers as P
+    words = word_table.Vocabulary(P.path("byte_bpe_50k.json"), P.PATTERN)
+    monkeypatch.setattr(word_table.Vocabulary, "_library", lambda self: pytest.fail("loaded"))
+    assert words.splitter()("plain words, été") == ["plain", " words", ",", " été"]
