@@ -29,6 +29,7 @@ from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
@@ -105,7 +106,9 @@ class Encoder:
         flat, first = np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         if len(starts):
             key = gram_hash(prefix_hash(byte_symbols(data, offsets)[0]), starts, ends)
-            _, example, unit = np.unique(key, return_index=True, return_inverse=True)
+            unit, distinct_keys = pd.factorize(key)  # hashed, not sorted
+            example = np.empty(len(distinct_keys), np.int64)
+            example[unit[::-1]] = np.arange(len(unit))[::-1]
             sizes, begins, ids = self._units(data.tobytes(), starts[example], ends[example], data)
             many = sizes[unit]
             last = np.cumsum(many)
@@ -127,19 +130,20 @@ class Encoder:
             return (data[at] == 32) | ((data[at] >= 9) & (data[at] <= 13))
 
         inner = space(starts) & ~space(ends - 1)
-        parts = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-        sizes, ids = np.zeros(len(parts), np.int64), np.zeros(0, np.uint32)
+        sizes, ids = np.zeros(len(starts), np.int64), np.zeros(0, np.uint32)
         together = np.flatnonzero(inner)
         if len(together):
-            ids = np.array(self.whole(b"".join(parts[k] for k in together.tolist()).decode("utf-8", "surrogatepass")), np.uint32)
-            done = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum((ends - starts)[together]))
+            last = np.cumsum((ends - starts)[together])
+            bytes_of = np.repeat(ends[together] - last, (ends - starts)[together]) + np.arange(last[-1])
+            ids = np.array(self.whole(data[bytes_of].tobytes().decode("utf-8", "surrogatepass")), np.uint32)
+            done = np.searchsorted(np.cumsum(self.lengths[ids]), last)
             sizes[together] = np.diff(done + 1, prepend=0)
         alone = np.flatnonzero(~inner)
-        found = [self.whole(parts[k].decode("utf-8", "surrogatepass")) for k in alone.tolist()]
+        found = [self.whole(joined[a:b].decode("utf-8", "surrogatepass")) for a, b in zip(starts[alone].tolist(), ends[alone].tolist())]
         sizes[alone] = [len(f) for f in found]
         order = np.concatenate([together, alone])
         ids = np.concatenate([ids, np.fromiter(chain.from_iterable(found), np.uint32)])
-        begins = np.zeros(len(parts), np.int64)
+        begins = np.zeros(len(starts), np.int64)
         begins[order] = np.cumsum(sizes[order]) - sizes[order]
         return sizes, begins, ids
 
@@ -202,15 +206,21 @@ class Bm25:
         shared = np.flatnonzero(df[place] > 1)
         order = shared[np.argsort(self.doc[shared], kind="stable")]
         self.query, self.bounds = place[order], np.searchsorted(self.doc[order], np.arange(n + 1))
-        self.n = n
+        self.n, self.gone = n, 0
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term with the seed, best first."""
-        spans = [slice(self.start[t], self.start[t + 1]) for t in self.query[self.bounds[seed]:self.bounds[seed + 1]]]
+        """Unused documents that share a query term with the seed, best first; used ones never come back."""
+        gone = int(np.count_nonzero(used))
+        if 4 * (gone - self.gone) >= self.n - self.gone:  # the lists shrink with the documents left
+            keep = ~used[self.doc]
+            self.start = np.concatenate([[0], np.cumsum(keep)])[self.start]
+            self.doc, self.weight, self.gone = self.doc[keep], self.weight[keep], gone
+        terms = self.query[self.bounds[seed]:self.bounds[seed + 1]]
+        spans = list(zip(self.start[terms].tolist(), self.start[terms + 1].tolist()))
         if not spans:
             return np.zeros(0, np.int64)
-        docs = np.concatenate([self.doc[s] for s in spans])
-        score = np.bincount(docs, np.concatenate([self.weight[s] for s in spans]), self.n)
+        docs = np.concatenate([self.doc[i:j] for i, j in spans])
+        score = np.bincount(docs, np.concatenate([self.weight[i:j] for i, j in spans]), self.n)
         score[used] = 0
         found = np.flatnonzero(score)
         return found[np.argsort(-score[found], kind="stable")]

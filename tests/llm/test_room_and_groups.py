@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from dimweave.llm import jaccard_join, k2_treap, word_table
+from dimweave.llm import jaccard_join, k2_treap, packing, word_table
 from dimweave.llm.common import byte_rows, stored
 
 
@@ -81,3 +81,16 @@ def test_splitting_plain_texts_loads_no_library(monkeypatch):
     words = word_table.Vocabulary(P.path("byte_bpe_50k.json"), P.PATTERN)
     monkeypatch.setattr(word_table.Vocabulary, "_library", lambda self: pytest.fail("loaded"))
     assert words.splitter()("plain words, été") == ["plain", " words", ",", " été"]
+
+
+def test_bm25_lists_shrink_with_the_documents_left():
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, 200, 60).astype(np.uint32) for _ in range(100)]
+    index, whole = packing.Bm25(docs), packing.Bm25(docs)
+    used = np.zeros(100, bool)
+    for seed in range(99):
+        used[seed] = True
+        got = index.neighbours(seed, used)
+        whole.gone = 100  # never shrinks
+        assert got.tolist() == whole.neighbours(seed, used).tolist() and not used[got].any()
+    assert len(index.doc) < len(whole.doc) / 2
